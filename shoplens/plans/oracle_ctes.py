@@ -211,6 +211,14 @@ LEFT JOIN (SELECT website_session_id, count(*) AS n,
            FROM c_orders GROUP BY website_session_id) o
   ON s.website_session_id = o.website_session_id"""
 
+CTES["g"] = f"""
+SELECT strftime(session_ts, '%Y-%m') AS year_month, channel_group, marketing_channel, device_type,
+  count(*) AS sessions, CAST(sum(placed_order) AS BIGINT) AS orders,
+  CAST(sum(order_revenue) AS DOUBLE) AS gross_revenue, CAST(sum(order_margin) AS DOUBLE) AS net_margin,
+  {_pct('sum(placed_order)', 'count(*)')} AS cvr_pct,
+  {_div('CAST(sum(order_revenue) AS DOUBLE)', 'count(*)')} AS revenue_per_session
+FROM swo GROUP BY 1, 2, 3, 4"""
+
 # --------------------------------------------------------------- commerce world
 CTES["m_lines"] = """
 SELECT l.*, o.o_orderdate, o.o_custkey,
