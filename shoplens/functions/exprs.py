@@ -79,6 +79,7 @@ def month_index(ts) -> Column:
 
 def avg_exact(c) -> Column:
     """AVG of a DOUBLE column with an order-independent (DECIMAL) sum, so the
-    result does not depend on how rows reached the aggregate."""
-    x = col_(c).cast("decimal(38,12)")
+    result does not depend on how rows reached the aggregate. Inputs are
+    taken to 6 decimals (enough for percentages and ratios)."""
+    x = col_(c).cast("decimal(38,6)")
     return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))

@@ -18,7 +18,7 @@ def orders_by_session(orders: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("session_orders"),
                  F.sum(F.col("gross_revenue").cast("decimal(18,4)")).alias("_rev"),
                  F.sum(F.col("net_margin").cast("decimal(18,4)")).alias("_mar"),
-                 F.max(F.col("has_refund").cast("int")).alias("_ref")))
+                 F.sum(F.when(F.col("has_refund"), 1).otherwise(0)).alias("_ref")))
 
 
 def sessions_with_orders(sessions: DataFrame, funnel: DataFrame,
@@ -31,6 +31,7 @@ def sessions_with_orders(sessions: DataFrame, funnel: DataFrame,
         "placed_order": F.when(F.col("session_orders") > 0, 1).otherwise(0),
         "order_revenue": F.coalesce(F.col("_rev"), F.lit(0).cast("decimal(18,4)")),
         "order_margin": F.coalesce(F.col("_mar"), F.lit(0).cast("decimal(18,4)")),
+        "session_refunded_orders": F.coalesce(F.col("_ref"), F.lit(0)).cast("long"),
     }).drop("_rev", "_mar", "_ref")
 
 

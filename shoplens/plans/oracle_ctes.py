@@ -202,12 +202,14 @@ CTES["swo"] = """
 SELECT s.*, f.* EXCLUDE (website_session_id),
   coalesce(o.n, 0) AS session_orders,
   CASE WHEN coalesce(o.n, 0) > 0 THEN 1 ELSE 0 END AS placed_order,
-  coalesce(o.rev, 0) AS order_revenue, coalesce(o.mar, 0) AS order_margin
+  coalesce(o.rev, 0) AS order_revenue, coalesce(o.mar, 0) AS order_margin,
+  coalesce(o.nref, 0) AS session_refunded_orders
 FROM sess s
 LEFT JOIN funnel_l f ON s.website_session_id = f.website_session_id
 LEFT JOIN (SELECT website_session_id, count(*) AS n,
                   sum(CAST(gross_revenue AS DECIMAL(18,4))) AS rev,
-                  sum(CAST(net_margin AS DECIMAL(18,4))) AS mar
+                  sum(CAST(net_margin AS DECIMAL(18,4))) AS mar,
+                  count(CASE WHEN has_refund THEN 1 END) AS nref
            FROM c_orders GROUP BY website_session_id) o
   ON s.website_session_id = o.website_session_id"""
 
@@ -330,4 +332,34 @@ def with_ctes(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in order) + "\n" + body
+    head = "WITH " + ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in order)
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return head + ",\n" + stripped[5:]
+    return head + "\n" + body
+
+
+def sum_money_sql(c: str) -> str:
+    return f"CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DOUBLE)"
+
+
+def avg_money_sql(c: str) -> str:
+    return f"(CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(CAST(count({c}) AS DOUBLE), 0))"
+
+
+def avg_exact_sql(c: str) -> str:
+    return f"(CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / NULLIF(CAST(count({c}) AS DOUBLE), 0))"
+
+
+def count_true_sql(c: str) -> str:
+    return f"CAST(sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+def prev_month_sql(table: str, keys: list[str], cols: list[str], suffix: str = "_prev_month",
+                   key: str = "year_month") -> str:
+    """Previous *calendar* month's values via a null-safe self join."""
+    on = " AND ".join([f"p.{k} IS NOT DISTINCT FROM g.{k}" for k in keys] +
+                      [f"strptime(p.{key} || '-01', '%Y-%m-%d') + INTERVAL 1 MONTH = "
+                       f"strptime(g.{key} || '-01', '%Y-%m-%d')"])
+    sel = ", ".join(f"p.{c} AS {c}{suffix}" for c in cols)
+    return f"SELECT g.*, {sel} FROM {table} g LEFT JOIN {table} p ON {on}"
