@@ -2,7 +2,8 @@
 
 Builders take ``(spark, sf_dir)`` and return a lazy DataFrame over the whole
 driver tables. Output columns are normalised (integers -> BIGINT,
-decimals/floats -> DOUBLE) so both engines agree on types.
+decimals/floats -> DOUBLE, DATE -> 'yyyy-MM-dd' text) so both engines agree on
+types and on how values are rendered.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ def normalise_types(df: DataFrame) -> DataFrame:
             c = c.cast("long")
         elif isinstance(f.dataType, (T.FloatType, T.DecimalType)):
             c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
