@@ -1,4 +1,4 @@
 """Imports every query module so their ``@register`` calls run."""
 
-from . import q_customers, q_kpis, q_marketing, q_products, q_silver  # noqa: F401
+from . import q_customers, q_kpis, q_marketing, q_products, q_quality, q_silver  # noqa: F401
 from .catalog import ORACLE, QUERIES  # noqa: F401
