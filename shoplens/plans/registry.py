@@ -1,4 +1,5 @@
 """Imports every query module so their ``@register`` calls run."""
 
-from . import q_customers, q_kpis, q_marketing, q_products, q_quality, q_silver  # noqa: F401
+from . import (q_customers, q_incremental, q_kpis, q_marketing, q_products,  # noqa: F401
+               q_quality, q_silver)
 from .catalog import ORACLE, QUERIES  # noqa: F401
