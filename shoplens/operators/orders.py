@@ -72,23 +72,37 @@ def pnl_columns(price, cogs, refund) -> dict:
     }
 
 
-def enrich_orders(orders: DataFrame, items: DataFrame, refunds: DataFrame,
+def enrich_orders(orders: DataFrame, items: DataFrame | None, refunds: DataFrame | None,
                   attribution: DataFrame, products: DataFrame,
-                  attribution_key: str = "website_session_id") -> DataFrame:
+                  attribution_key: str = "website_session_id",
+                  rollup: DataFrame | None = None) -> DataFrame:
     """JN4: orders ⟕ items roll-up ⟕ refunds roll-up ⟕ attribution ⟕ products.
 
     ``attribution`` is keyed by ``attribution_key`` (session id for click
     data, user id when orders carry no session). The product side is a
     dimension (one row per product) and is left to AQE's size-checked
     broadcast; no hint is forced on sides that grow with traffic.
+
+    ``rollup`` (one row per order with the AG8 + AG9 columns) replaces the
+    two roll-ups when the caller already aggregated the lines once; when
+    ``orders`` already carries those columns nothing is joined.
     """
     o = orders.withColumn("order_ts", F.col("created_at").cast("timestamp_ntz"))
     prod = products.select(F.col("product_id").alias("primary_product_id"),
                            F.col("product_name").alias("primary_product_name"),
                            F.col("created_at").cast("timestamp_ntz").alias("product_launch_ts"))
-    df = (o.join(items_by_order(items), "order_id", "left")
-          .join(refunds_by_order(refunds), "order_id", "left")
-          .join(attribution, attribution_key, "left")
+    rolled = {"line_item_count", "cross_sell_product_id", "total_refund_usd",
+              "refund_item_count", "last_refund_ts"}
+    if rolled.issubset(o.columns):
+        df = o
+    elif rollup is not None:
+        df = o.join(rollup.select("order_id", "line_item_count", "cross_sell_product_id",
+                                  "total_refund_usd", "refund_item_count", "last_refund_ts"),
+                    "order_id", "left")
+    else:
+        df = (o.join(items_by_order(items), "order_id", "left")
+              .join(refunds_by_order(refunds), "order_id", "left"))
+    df = (df.join(attribution, attribution_key, "left")
           .join(prod, "primary_product_id", "left"))
     has_refund = F.col("refund_item_count").isNotNull()
     df = df.withColumns({

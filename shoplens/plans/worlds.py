@@ -95,10 +95,14 @@ class CommerceWorld:
             self._t("orders", ["o_orderkey", "o_orderdate"]),
             self._t("part", ["p_partkey", "p_brand"]))
 
+    @cached_property
+    def rollup(self) -> DataFrame:
+        return ad.commerce_rollup(self.items)
+
     @cached_property
     def raw_orders(self) -> DataFrame:
         return ad.commerce_orders(self._t("orders", ["o_orderkey", "o_custkey", "o_orderdate"]),
-                                  self.items)
+                                  self.rollup)
 
     @cached_property
     def refunds(self) -> DataFrame:
@@ -114,8 +118,8 @@ class CommerceWorld:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return od.enrich_orders(self.raw_orders, self.items, self.refunds,
-                                self.attribution, self.products, attribution_key="user_id")
+        return od.enrich_orders(self.raw_orders, None, None, self.attribution, self.products,
+                                attribution_key="user_id")
 
     @cached_property
     def items_enriched(self) -> DataFrame:

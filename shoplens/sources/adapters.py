@@ -15,7 +15,7 @@ pageview_url, order_id, price_usd, ...). Money is DECIMAL(18,4).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MONEY, money
@@ -172,22 +172,28 @@ def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> D
     """Line items with P&L, product (= brand number) and refund facts.
 
     ``is_primary_item`` marks the first line of its order in LINE_ORDER
-    (a total order: no two full rows are equal). The first line is found by
-    a partial ``min(struct)`` aggregate, not a per-order window, so one huge
-    order is pre-combined map-side.
+    (a total order: no two full rows are equal): ``min(struct)`` over an
+    unordered per-order window.
+
+    Lines are hash-partitioned by order key exactly once, after the part
+    lookup; the order join (sort-merge on the same key when orders are too
+    big to broadcast), the window and the per-order roll-up downstream all
+    run on that one shuffle. A self-join with a ``groupBy`` would prune
+    columns differently on its two sides, defeat exchange reuse and scan
+    lineitem twice. Group size is one order's basket.
     """
     li = lineitem.select("l_orderkey", *LINE_ORDER)
     prod = part.select("p_partkey",
                        F.substring_index("p_brand", "#", -1).cast("int").alias("product_id"))
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
-    base = (li.join(prod, li.l_partkey == prod.p_partkey, "left")
-            .join(o, li.l_orderkey == o.o_orderkey, "inner"))
-    first = (lineitem.groupBy(F.col("l_orderkey").alias("fk"))
-             .agg(F.min(F.struct(*LINE_ORDER)).alias("first_line")))
+    base = (li.join(prod, li.l_partkey == prod.p_partkey, "left").drop("p_partkey")
+            .repartition("l_orderkey"))
+    base = base.join(o, base.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
+    first = F.min(F.struct(*LINE_ORDER)).over(Window.partitionBy("l_orderkey"))
     ext = F.col("l_extendedprice").cast("decimal(15,2)")
     price = (ext * (F.lit(1).cast("decimal(15,2)") - F.col("l_discount").cast("decimal(15,2)"))).cast(MONEY)
     cogs = (ext * (F.lit(COMMERCE_COGS_BASE).cast("decimal(15,2)") + F.col("l_tax").cast("decimal(15,2)"))).cast(MONEY)
-    return (base.join(first, base.l_orderkey == first.fk, "left")
+    return (base.withColumn("first_line", first)
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").alias("line_number"),
                     "product_id",
@@ -199,22 +205,39 @@ def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> D
                     F.col("l_shipdate").alias("refund_ts")))
 
 
-def commerce_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders priced from their lines (0 when an order has no lines)."""
-    roll = items.groupBy(F.col("order_id").alias("oid")).agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("price_usd").alias("p"), F.sum("cogs_usd").alias("c"),
-        F.max(F.when(F.col("is_primary_item") == 1, F.col("product_id"))).alias("pp"))
+def commerce_rollup(items: DataFrame) -> DataFrame:
+    """Everything orders need from their lines, in ONE aggregate per order:
+    line count, price, cogs, primary / cross-sell product and the refund
+    roll-up (returned lines are refunded in full)."""
+    r = F.col("is_refunded")
+    return items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("line_item_count"),
+        F.sum("price_usd").cast(MONEY).alias("items_price"),
+        F.sum("cogs_usd").cast(MONEY).alias("items_cogs"),
+        F.max(F.when(F.col("is_primary_item") == 1, F.col("product_id"))).alias("primary_product_id_items"),
+        F.max(F.when(F.col("is_primary_item") == 0, F.col("product_id"))).alias("cross_sell_product_id"),
+        F.sum(F.when(r, F.col("price_usd"))).cast(MONEY).alias("total_refund_usd"),
+        F.count(F.when(r, F.lit(1))).alias("_n_ref"),
+        F.max(F.when(r, F.col("refund_ts"))).alias("last_refund_ts"),
+    ).withColumn("refund_item_count", F.when(F.col("_n_ref") > 0, F.col("_n_ref"))).drop("_n_ref")
+
+
+def commerce_orders(orders: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Orders priced from their lines (0 when an order has no lines), carrying
+    the rest of the roll-up so enrichment needs no second join."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    roll = rollup.withColumnRenamed("order_id", "oid")
     return (o.join(roll, o.o_orderkey == roll.oid, "left")
             .select(F.col("o_orderkey").alias("order_id"),
                     F.col("o_orderdate").alias("created_at"),
                     F.lit(None).cast("long").alias("website_session_id"),
                     F.col("o_custkey").alias("user_id"),
-                    F.col("pp").alias("primary_product_id"),
-                    F.coalesce("n_lines", F.lit(0)).cast("int").alias("items_purchased"),
-                    F.coalesce("p", F.lit(0)).cast(MONEY).alias("price_usd"),
-                    F.coalesce("c", F.lit(0)).cast(MONEY).alias("cogs_usd")))
+                    F.col("primary_product_id_items").alias("primary_product_id"),
+                    F.coalesce("line_item_count", F.lit(0)).cast("int").alias("items_purchased"),
+                    F.coalesce("items_price", F.lit(0)).cast(MONEY).alias("price_usd"),
+                    F.coalesce("items_cogs", F.lit(0)).cast(MONEY).alias("cogs_usd"),
+                    "line_item_count", "cross_sell_product_id", "total_refund_usd",
+                    "refund_item_count", "last_refund_ts"))
 
 
 def commerce_refunds(items: DataFrame) -> DataFrame:
