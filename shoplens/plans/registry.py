@@ -1,5 +1,5 @@
 """Imports every query module so their ``@register`` calls run."""
 
-from . import (q_customers, q_incremental, q_kpis, q_marketing, q_products,  # noqa: F401
+from . import (q_customers, q_incremental, q_kpis, q_marketing, q_ml, q_products,  # noqa: F401
                q_quality, q_silver, q_streaming)
 from .catalog import ORACLE, QUERIES  # noqa: F401
