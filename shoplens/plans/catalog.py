@@ -18,6 +18,7 @@ from .oracle_ctes import with_ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ORACLE_BODY: dict[str, str] = {}
 
 
 def normalise_types(df: DataFrame) -> DataFrame:
@@ -47,6 +48,7 @@ def register(name: str, sql: str | None = None):
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = with_ctes(sql)
+            ORACLE_BODY[name] = sql
         return fn
 
     return deco
