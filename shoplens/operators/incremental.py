@@ -246,7 +246,7 @@ def run_view(events: DataFrame) -> DataFrame:
         F.max_by(F.struct(*[c for c in events.columns if c not in ("run_id",)]), "event_time").alias("_l"))
     out = g.select("run_id", "start_time", "_l.*").withColumnRenamed("event_time", "end_time")
     return out.withColumn("duration_seconds",
-                          F.timestampdiff("SECOND", F.col("start_time"), F.col("end_time")))
+                          F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")))
 
 
 def idempotency_diff(once: DataFrame, twice: DataFrame) -> DataFrame:

@@ -51,7 +51,13 @@ def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     is a filter of the same scan (Spark re-reads, which is cheaper than
     caching a whole bronze table)."""
     bad = F.col(CORRUPT).isNotNull()
-    return df.filter(~bad).drop(CORRUPT), df.filter(bad)
+    # Spark refuses scans that read only the corrupt-record column (e.g. a
+    # bare count); the predicate also touches the first data column so the
+    # parser always materialises a real field.
+    first = df.columns[0]
+    touch = (F.length(F.concat_ws("", F.col(CORRUPT), F.col(first).cast("string")))
+             >= F.coalesce(F.length(F.col(CORRUPT)), F.lit(0)))
+    return df.filter(~bad & touch).drop(CORRUPT), df.filter(bad & touch)
 
 
 def with_audit(df: DataFrame, source_table: str, layer: str = "bronze") -> DataFrame:
