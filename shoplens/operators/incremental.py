@@ -200,12 +200,21 @@ def update_watermark(watermarks: DataFrame, marks: DataFrame) -> DataFrame:
     return merge_upsert(watermarks, marks, ["source_table", "timestamp_column"])
 
 
-def incremental_filter(df: DataFrame, ts_col: str, start: DataFrame) -> DataFrame:
-    """FLT4: rows strictly after the watermark (compared as timestamps; a
-    one-row cross join keeps it a plain filter after constant folding)."""
-    return (df.crossJoin(F.broadcast(start))
-            .filter(F.col(ts_col).cast("timestamp_ntz") > F.col("watermark_start"))
-            .drop("watermark_start"))
+def watermark_value(start: DataFrame):
+    """The one watermark scalar (a single-row, single-column read)."""
+    return start.first()[0]
+
+
+def incremental_filter(df: DataFrame, ts_col: str, start) -> DataFrame:
+    """FLT4: rows strictly after the watermark, compared as timestamps.
+
+    ``start`` is a timestamp or the one-row frame of ``get_watermark``; it
+    is turned into a literal so the predicate reaches the parquet scan
+    (``PushedFilters``, row-group skipping, partition pruning on a date
+    partition) instead of filtering after a full read.
+    """
+    wm = watermark_value(start) if isinstance(start, DataFrame) else start
+    return df.filter(F.col(ts_col).cast("timestamp_ntz") > F.lit(wm).cast("timestamp_ntz"))
 
 
 def with_audit(df: DataFrame, processed_at: Column | None = None,
@@ -266,7 +275,9 @@ def incremental_load(target: DataFrame, source: DataFrame, keys, ts_col: str,
     (at-least-once) and the newer-only merge makes the replay a no-op.
     """
     start = get_watermark(watermarks, source_table, lookback=lookback)
-    batch = incremental_filter(source, ts_col, start)
+    wm = watermark_value(start)
+    start = start.sparkSession.createDataFrame([(wm,)], "watermark_start timestamp_ntz")
+    batch = incremental_filter(source, ts_col, wm)
     after = merge_upsert(target, batch, keys,
                          update_condition=_s(update_col) > _t(update_col))
     end = new_high_water(batch, ts_col, start)

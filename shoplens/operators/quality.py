@@ -59,14 +59,77 @@ def sample_keys(failing: DataFrame, key: str, n: int = 5) -> DataFrame:
     return top.agg(F.when(F.size(keys) > 0, joined).alias("sample"))
 
 
+class Spec:
+    """A single-pass check: aggregate expressions for records checked /
+    failed (and an optional sample) over one table."""
+
+    def __init__(self, check, column, severity, definition, checked, failed, sample=None):
+        self.check, self.column, self.severity, self.definition = check, column, severity, definition
+        self.checked, self.failed, self.sample = checked, failed, sample
+
+
+def null_spec(column, severity="CRITICAL") -> Spec:
+    return Spec("null_rate_check", column, severity, f"{column} IS NULL", F.count(F.lit(1)),
+                F.sum(F.when(F.col(column).isNull(), 1).otherwise(0)))
+
+
+def date_spec(column, start=DATA_START_DATE, end=DATA_END_DATE, severity="WARNING") -> Spec:
+    d = F.to_date(F.col(column))
+    bad = (d < F.lit(start).cast("date")) | (d >= F.lit(end).cast("date"))
+    sample = F.concat(F.lit("min="), F.min(d).cast("string"), F.lit(", max="), F.max(d).cast("string"))
+    return Spec("date_range_validation", column, severity, f"{column} in [{start}, {end})",
+                F.count(F.lit(1)), F.sum(F.when(bad, 1).otherwise(0)), sample)
+
+
+def range_spec(column, lo=None, hi=None, strict_lo=False, severity="WARNING") -> Spec:
+    v = F.col(column)
+    ok = F.lit(True)
+    if lo is not None:
+        ok = ok & ((v > lo) if strict_lo else (v >= lo))
+    if hi is not None:
+        ok = ok & (v <= hi)
+    rule = f"{column} {'>' if strict_lo else '>='} {lo}" if lo is not None else ""
+    if hi is not None:
+        rule += f"{' AND ' if rule else ''}{column} <= {hi}"
+    return Spec("revenue_sanity_check", column, severity, rule, F.count(v),
+                F.sum(F.when(v.isNotNull() & ~ok, 1).otherwise(0)))
+
+
+def cardinality_spec(column, limit=MAX_SOURCE_CARDINALITY, severity="WARNING") -> Spec:
+    n = F.countDistinct(column)
+    return Spec("cardinality_validation", column, severity, f"COUNT(DISTINCT {column}) <= {limit}",
+                n, F.when(n > limit, n).otherwise(0))
+
+
+def domain_spec(column, allowed=VALID_DEVICES, severity="WARNING") -> Spec:
+    bad = ~F.lower(F.col(column)).isin(*allowed)
+    return Spec("cardinality_validation", column, severity,
+                f"LOWER({column}) IN ({', '.join(allowed)})", F.count(F.lit(1)),
+                F.sum(F.when(bad, 1).otherwise(0)))
+
+
+def table_checks(df: DataFrame, table: str, specs, stage="bronze") -> DataFrame:
+    """All single-pass checks of one table in ONE aggregate (one scan), the
+    aggregate row exploded into one result row per check."""
+    aggs = []
+    for i, sp in enumerate(specs):
+        aggs += [sp.checked.alias(f"_c{i}"), sp.failed.alias(f"_f{i}"),
+                 (sp.sample if sp.sample is not None else F.lit(None).cast("string")).alias(f"_s{i}")]
+    row = df.agg(*aggs)
+    rows = [F.struct(F.lit(sp.check).alias("check_name"), F.lit(table).alias("table_name"),
+                     F.lit(sp.column).cast("string").alias("column_name"),
+                     F.coalesce(F.col(f"_c{i}"), F.lit(0)).cast("long").alias("records_checked"),
+                     F.coalesce(F.col(f"_f{i}"), F.lit(0)).cast("long").alias("records_failed"),
+                     F.lit(sp.severity).alias("severity"), F.lit(stage).alias("pipeline_stage"),
+                     F.lit(sp.definition).alias("check_definition"),
+                     F.col(f"_s{i}").cast("string").alias("error_sample"))
+            for i, sp in enumerate(specs)]
+    return row.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
 def null_rate(df: DataFrame, table: str, columns, severity="CRITICAL", stage="bronze") -> list:
     """DQ1: NULL count per key column — all columns of a table in one pass."""
-    aggs = [F.count(F.lit(1)).alias("_n")] + \
-        [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"_f{i}") for i, c in enumerate(columns)]
-    base = df.agg(*aggs)
-    return [_row(base.select(F.col("_n").alias("checked"), F.col(f"_f{i}").alias("failed")),
-                 "null_rate_check", table, c, severity, stage, f"{c} IS NULL")
-            for i, c in enumerate(columns)]
+    return [table_checks(df, table, [null_spec(c, severity) for c in columns], stage)]
 
 
 def referential_integrity(child: DataFrame, fk: str, parent: DataFrame, pk: str,
@@ -84,31 +147,13 @@ def referential_integrity(child: DataFrame, fk: str, parent: DataFrame, pk: str,
 def date_range(df: DataFrame, table: str, column: str, start=DATA_START_DATE,
                end=DATA_END_DATE, severity="WARNING", stage="bronze") -> DataFrame:
     """DQ3: values outside [start, end); NULL dates count as valid."""
-    d = F.to_date(F.col(column))
-    bad = (d < F.lit(start).cast("date")) | (d >= F.lit(end).cast("date"))
-    agg = df.agg(F.count(F.lit(1)).alias("checked"),
-                 F.sum(F.when(bad, 1).otherwise(0)).alias("failed"),
-                 F.concat(F.lit("min="), F.min(d).cast("string"), F.lit(", max="),
-                          F.max(d).cast("string")).alias("sample"))
-    return _row(agg, "date_range_validation", table, column, severity, stage,
-                f"{column} in [{start}, {end})")
+    return table_checks(df, table, [date_spec(column, start, end, severity)], stage)
 
 
 def value_range(df: DataFrame, table: str, column: str, lo=None, hi=None,
                 strict_lo=False, severity="WARNING", stage="bronze") -> DataFrame:
     """DQ4: numeric sanity bounds (``lo``/``hi`` inclusive unless strict)."""
-    v = F.col(column)
-    ok = F.lit(True)
-    if lo is not None:
-        ok = ok & ((v > lo) if strict_lo else (v >= lo))
-    if hi is not None:
-        ok = ok & (v <= hi)
-    agg = df.agg(F.count(v).alias("checked"),
-                 F.sum(F.when(v.isNotNull() & ~ok, 1).otherwise(0)).alias("failed"))
-    rule = f"{column} {'>' if strict_lo else '>='} {lo}" if lo is not None else ""
-    if hi is not None:
-        rule += f"{' AND ' if rule else ''}{column} <= {hi}"
-    return _row(agg, "revenue_sanity_check", table, column, severity, stage, rule)
+    return table_checks(df, table, [range_spec(column, lo, hi, strict_lo, severity)], stage)
 
 
 def duplicate_keys(df: DataFrame, table: str, keys, severity="CRITICAL", stage="bronze") -> DataFrame:
@@ -129,20 +174,13 @@ def duplicate_keys(df: DataFrame, table: str, keys, severity="CRITICAL", stage="
 def max_cardinality(df: DataFrame, table: str, column: str, limit=MAX_SOURCE_CARDINALITY,
                     severity="WARNING", stage="bronze") -> DataFrame:
     """DQ6: distinct values above ``limit`` fail all-or-nothing."""
-    agg = df.agg(F.countDistinct(column).alias("checked"))
-    agg = agg.withColumn("failed", F.when(F.col("checked") > limit, F.col("checked")).otherwise(0))
-    return _row(agg, "cardinality_validation", table, column, severity, stage,
-                f"COUNT(DISTINCT {column}) <= {limit}")
+    return table_checks(df, table, [cardinality_spec(column, limit, severity)], stage)
 
 
 def domain(df: DataFrame, table: str, column: str, allowed=VALID_DEVICES,
            severity="WARNING", stage="bronze") -> DataFrame:
     """DQ7: case-insensitive controlled vocabulary."""
-    bad = ~F.lower(F.col(column)).isin(*allowed)
-    agg = df.agg(F.count(F.lit(1)).alias("checked"),
-                 F.sum(F.when(bad, 1).otherwise(0)).alias("failed"))
-    return _row(agg, "cardinality_validation", table, column, severity, stage,
-                f"LOWER({column}) IN ({', '.join(allowed)})")
+    return table_checks(df, table, [domain_spec(column, allowed, severity)], stage)
 
 
 def score_checks(results: DataFrame, critical=CRITICAL_FAILURE_THRESHOLD,

@@ -15,26 +15,26 @@ def suite(spark, sf_dir):
     c, m = ClickWorld(spark, sf_dir), CommerceWorld(spark, sf_dir)
     s, pv, o = c.raw_sessions, c.pageviews, c.raw_orders
     it, rf, pr, mo = m.items, m.refunds, m.products, m.raw_orders
-    checks = []
-    checks += dq.null_rate(s, "website_sessions", ["website_session_id"])
-    checks += dq.null_rate(pv, "website_pageviews", ["website_pageview_id"])
-    checks += dq.null_rate(o, "orders", ["order_id"])
-    checks += dq.null_rate(it, "order_items", ["order_id"])
-    checks += dq.null_rate(rf, "order_item_refunds", ["order_id"])
-    checks += dq.null_rate(pr, "products", ["product_id"])
+    # single-pass checks: one aggregate (one scan) per table
+    checks = [
+        dq.table_checks(s, "website_sessions", [
+            dq.null_spec("website_session_id"), dq.date_spec("created_at"),
+            dq.cardinality_spec("utm_source"), dq.domain_spec("device_type")]),
+        dq.table_checks(pv, "website_pageviews", [dq.null_spec("website_pageview_id")]),
+        dq.table_checks(o, "orders", [dq.null_spec("order_id"), dq.date_spec("created_at"),
+                                      dq.range_spec("price_usd", *dq.ORDER_PRICE_RANGE)]),
+        dq.table_checks(it, "order_items", [dq.null_spec("order_id"), dq.date_spec("created_at"),
+                                            dq.range_spec("price_usd", lo=0, strict_lo=True,
+                                                          severity="CRITICAL")]),
+        dq.table_checks(rf, "order_item_refunds", [dq.null_spec("order_id")]),
+        dq.table_checks(pr, "products", [dq.null_spec("product_id")]),
+    ]
+    # checks that need a join or a grouping of their own
     checks.append(dq.referential_integrity(o, "website_session_id", s, "website_session_id", "orders"))
     checks.append(dq.referential_integrity(it, "order_id", mo, "order_id", "order_items"))
-    checks.append(dq.date_range(s, "website_sessions", "created_at"))
-    checks.append(dq.date_range(o, "orders", "created_at"))
-    checks.append(dq.date_range(it, "order_items", "created_at"))
-    checks.append(dq.value_range(o, "orders", "price_usd", *dq.ORDER_PRICE_RANGE))
-    checks.append(dq.value_range(it, "order_items", "price_usd", lo=0, strict_lo=True,
-                                 severity="CRITICAL"))
     checks.append(dq.duplicate_keys(s, "website_sessions", ["website_session_id"]))
     checks.append(dq.duplicate_keys(o, "orders", ["order_id"]))
     checks.append(dq.duplicate_keys(it, "order_items", ["order_id", "line_number"]))
-    checks.append(dq.max_cardinality(s, "website_sessions", "utm_source"))
-    checks.append(dq.domain(s, "website_sessions", "device_type"))
     return dq.score_checks(dq.run_checks(checks))
 
 

@@ -18,8 +18,6 @@ Event timestamps arrive as TIMESTAMP_NTZ; watermarks need TIMESTAMP, so
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,14 +93,28 @@ def daily_kpis(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
             .select(F.col("day.start").alias("day_start"), "events", "purchases", "revenue"))
 
 
-def latest_version(base: str) -> str | None:
-    """Highest ``v=<n>`` directory under ``base`` (driver-side listing of
-    version folders only, never of data)."""
-    if not os.path.isdir(base):
-        return None
-    vs = [int(d[2:]) for d in os.listdir(base) if d.startswith("v=") and
-          os.path.exists(os.path.join(base, d, "_SUCCESS"))]
-    return os.path.join(base, f"v={max(vs)}") if vs else None
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Committed ``v=<n>`` folders under ``base`` via the Hadoop FileSystem
+    of the path (HDFS / object store / local alike); lists folder names
+    only, never data."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st_ in fs.listStatus(path):
+        name = st_.getPath().getName()
+        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st_.getPath(), "_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def latest_version(base: str, spark: SparkSession | None = None, below: int | None = None) -> str | None:
+    """Highest committed version folder (optionally below ``below``)."""
+    spark = spark or SparkSession.getActiveSession()
+    vs = [v for v in _versions(spark, base) if below is None or v < below]
+    return f"{base.rstrip('/')}/v={vs[-1]}" if vs else None
 
 
 def upsert_sink(base: str, keys, update_col: str | None = None):
@@ -111,11 +123,9 @@ def upsert_sink(base: str, keys, update_col: str | None = None):
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_version(base)
-        out = os.path.join(base, f"v={batch_id}")
-        if prev == out:      # replay of the last committed batch: redo from the one before
-            older = [d for d in os.listdir(base) if d.startswith("v=") and int(d[2:]) < batch_id]
-            prev = os.path.join(base, max(older, key=lambda d: int(d[2:]))) if older else None
+        # a replayed batch id rebuilds from the version before it
+        prev = latest_version(base, spark, below=batch_id)
+        out = f"{base.rstrip('/')}/v={batch_id}"
         if prev is None:
             result = batch
         else:
@@ -132,4 +142,4 @@ def run_upsert_stream(stream: DataFrame, base: str, checkpoint: str, keys,
          .option("checkpointLocation", checkpoint).outputMode(mode)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_version(base)
+    return latest_version(base, stream.sparkSession)
