@@ -89,7 +89,7 @@ WHERE website_session_id IS NOT NULL AND created_at IS NOT NULL AND user_id IS N
 
 CTES["sess"] = """
 SELECT website_session_id, session_ts, user_id, is_repeat_session,
-  CAST(row_number() OVER w AS INTEGER) AS user_session_rank,
+  CAST(row_number() OVER w AS BIGINT) AS user_session_rank,
   row_number() OVER w = 1 AS is_acquisition_session,
   utm_source, utm_campaign, utm_content, device_type, http_referer, marketing_channel,
   CASE WHEN marketing_channel LIKE 'paid_search%' THEN 'Paid Search'
@@ -124,10 +124,10 @@ PAGE_FLAG_SQL = [
 CTES["funnel"] = "SELECT website_session_id,\n" + ",\n".join(
     f"  coalesce(bool_or(pageview_url {cond}), false) AS {name}" for name, cond in PAGE_FLAG_SQL
 ) + """,
-  max(CASE WHEN pageview_url = '/thank-you-for-your-order' THEN 7
+  CAST(max(CASE WHEN pageview_url = '/thank-you-for-your-order' THEN 7
            WHEN pageview_url LIKE '/billing%' THEN 6 WHEN pageview_url = '/shipping' THEN 5
            WHEN pageview_url = '/cart' THEN 4 WHEN pageview_url LIKE '/the-%' THEN 3
-           WHEN pageview_url = '/products' THEN 2 ELSE 1 END) AS funnel_depth,
+           WHEN pageview_url = '/products' THEN 2 ELSE 1 END) AS BIGINT) AS funnel_depth,
   count(*) AS total_pageviews_in_session
 FROM pv GROUP BY website_session_id"""
 
@@ -143,7 +143,7 @@ FROM pv GROUP BY website_session_id"""
 
 CTES["c_orders_raw"] = """
 SELECT event_id AS order_id, ts AS created_at, website_session_id, user_id,
-  CAST(k % 4 + 1 AS INTEGER) AS primary_product_id, 1 AS items_purchased,
+  CAST(k % 4 + 1 AS BIGINT) AS primary_product_id, CAST(1 AS BIGINT) AS items_purchased,
   CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS price_usd,
   CAST(CAST(value AS DECIMAL(18,2)) * 0.4 AS DECIMAL(18,4)) AS cogs_usd, k
 FROM ev WHERE event_type = 'purchase'"""
@@ -184,7 +184,7 @@ FROM (
   SELECT o.order_id, CAST(o.created_at AS TIMESTAMP) AS order_ts, o.website_session_id, o.user_id,
     o.primary_product_id, p.product_name AS primary_product_name, p.launch_ts AS product_launch_ts,
     o.items_purchased, CAST(1 AS BIGINT) AS line_item_count, false AS is_cross_sell_order,
-    CAST(NULL AS INTEGER) AS cross_sell_product_id, o.price_usd, o.cogs_usd,
+    CAST(NULL AS BIGINT) AS cross_sell_product_id, o.price_usd, o.cogs_usd,
     coalesce(r.refund, CAST(0 AS DECIMAL(18,4))) AS refund,
     coalesce(r.n, 0) AS refund_item_count, r.n IS NOT NULL AS has_refund, r.last_ts AS last_refund_ts,
     s.marketing_channel AS session_channel, s.channel_group AS session_channel_group,
@@ -224,7 +224,7 @@ FROM swo GROUP BY 1, 2, 3, 4"""
 # --------------------------------------------------------------- commerce world
 CTES["m_lines"] = """
 SELECT l.*, o.o_orderdate, o.o_custkey,
-  CAST(split_part(p.p_brand, '#', 2) AS INTEGER) AS product_id,
+  CAST(split_part(p.p_brand, '#', 2) AS BIGINT) AS product_id,
   CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(15,2)))
        AS DECIMAL(18,4)) AS price_usd,
   CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (0.35 + CAST(l.l_tax AS DECIMAL(15,2)))
@@ -256,7 +256,7 @@ FROM (
   SELECT o.o_orderkey AS order_id, o.o_orderdate AS order_ts,
     CAST(NULL AS BIGINT) AS website_session_id, o.o_custkey AS user_id,
     li.primary_product_id, p.product_name AS primary_product_name, p.launch_ts AS product_launch_ts,
-    CAST(coalesce(li.n, 0) AS INTEGER) AS items_purchased, coalesce(li.n, 0) AS line_item_count,
+    CAST(coalesce(li.n, 0) AS BIGINT) AS items_purchased, coalesce(li.n, 0) AS line_item_count,
     li.cross_id IS NOT NULL AS is_cross_sell_order, li.cross_id AS cross_sell_product_id,
     coalesce(li.price, 0) AS price_usd, coalesce(li.cogs, 0) AS cogs_usd,
     coalesce(li.refund, CAST(0 AS DECIMAL(18,4))) AS refund,

@@ -42,7 +42,7 @@ def _snap_sql(as_of: str) -> str:
     return f"""
 SELECT l_orderkey AS order_id, count(*) AS n_lines,
   CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2))) AS DECIMAL(18,4)))
-       AS DECIMAL(18,4)) AS total_price, max(l_shipdate) AS updated_at
+       AS DOUBLE) AS total_price, max(l_shipdate) AS updated_at
 FROM lineitem WHERE l_shipdate >= CAST(DATE '{as_of}' - INTERVAL {WINDOW_DAYS} DAY AS TIMESTAMP)
   AND l_shipdate < TIMESTAMP '{as_of}'
 GROUP BY l_orderkey"""

@@ -228,7 +228,7 @@ WITH f AS (SELECT count(*) AS s0, sum(CASE WHEN saw_products THEN 1 ELSE 0 END)
              sum(CASE WHEN saw_shipping THEN 1 ELSE 0 END) AS s4, sum(CASE WHEN saw_billing_any THEN 1 ELSE 0 END) AS s5,
              sum(CASE WHEN converted THEN 1 ELSE 0 END) AS s6
            FROM sess JOIN funnel_l USING (website_session_id)),
-u AS (SELECT 'Entry -> Products' AS transition, 1 AS step_order, s0 AS from_sessions, s1 AS to_sessions FROM f
+u AS (SELECT 'Entry -> Products' AS transition, CAST(1 AS BIGINT) AS step_order, s0 AS from_sessions, s1 AS to_sessions FROM f
   UNION ALL SELECT 'Products -> Product Page', 2, s1, s2 FROM f
   UNION ALL SELECT 'Product Page -> Cart', 3, s2, s3 FROM f
   UNION ALL SELECT 'Cart -> Shipping', 4, s3, s4 FROM f

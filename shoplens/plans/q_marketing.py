@@ -21,7 +21,7 @@ def funnel_rates_sql(source: str, group_cols: str) -> str:
             "pct_to_billing", "pct_to_order"]
     drops = ["dropoff_entry_to_products", "dropoff_products_to_page", "dropoff_page_to_cart",
              "dropoff_cart_to_shipping", "dropoff_shipping_to_billing", "dropoff_billing_to_order"]
-    counts = ",\n  ".join(f"sum(CASE WHEN {f} THEN 1 ELSE 0 END) AS {r}" for r, f in steps)
+    counts = ",\n  ".join(f"CAST(sum(CASE WHEN {f} THEN 1 ELSE 0 END) AS BIGINT) AS {r}" for r, f in steps)
     outer = [f"{_pct(r, 'sessions_entered')} AS {p}" for (r, _), p in zip(steps, pcts)]
     prev = "100.0"
     for (r, _), d in zip(steps, drops):
@@ -171,7 +171,7 @@ SELECT channel_group, device_type, funnel_step, sessions_remaining, pct_remainin
 FROM (""" + funnel_rates_sql("sess JOIN funnel_l USING (website_session_id)",
                              "channel_group, device_type") + """) f,
 LATERAL (VALUES
-  ('Sessions entered', CAST(sessions_entered AS DOUBLE), 100.0, 1),
+  ('Sessions entered', CAST(sessions_entered AS DOUBLE), 100.0, CAST(1 AS BIGINT)),
   ('Reached products', CAST(reached_products AS DOUBLE), pct_to_products, 2),
   ('Viewed product page', CAST(reached_product_page AS DOUBLE), pct_to_product_page, 3),
   ('Added to cart', CAST(reached_cart AS DOUBLE), pct_to_cart, 4),

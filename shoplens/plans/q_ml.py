@@ -19,8 +19,8 @@ def _train_set(spark, sf_dir):
 
 @register("ml1_training_set", """
 SELECT s.website_session_id, s.user_id, s.marketing_channel, s.device_type, s.channel_group, s.session_hour,
-  s.day_of_week, CAST(s.is_repeat_session AS INTEGER) AS is_repeat_int, CAST(s.is_weekend AS INTEGER) AS is_weekend_int,
-  s.session_year, s.session_month, CASE WHEN o.website_session_id IS NULL THEN 0 ELSE 1 END AS converted_label
+  s.day_of_week, CAST(s.is_repeat_session AS BIGINT) AS is_repeat_int, CAST(s.is_weekend AS BIGINT) AS is_weekend_int,
+  s.session_year, s.session_month, CAST(CASE WHEN o.website_session_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS converted_label
 FROM sess s LEFT JOIN (SELECT DISTINCT website_session_id FROM c_orders_raw) o
   ON s.website_session_id = o.website_session_id""")
 def ml1_training_set(spark, sf_dir):
@@ -31,7 +31,7 @@ def ml1_training_set(spark, sf_dir):
 @register("ml2_class_weights", f"""
 SELECT converted_label, count(*) AS sessions,
   CAST((SELECT count(*) FROM sess) AS DOUBLE) / (2.0 * count(*)) AS weight
-FROM (SELECT s.website_session_id, CASE WHEN o.website_session_id IS NULL THEN 0 ELSE 1 END AS converted_label
+FROM (SELECT s.website_session_id, CAST(CASE WHEN o.website_session_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS converted_label
       FROM sess s LEFT JOIN (SELECT DISTINCT website_session_id FROM c_orders_raw) o
         ON s.website_session_id = o.website_session_id) t GROUP BY converted_label""")
 def ml2_class_weights(spark, sf_dir):

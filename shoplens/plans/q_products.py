@@ -92,7 +92,7 @@ def gd13_days_to_refund(spark, sf_dir):
 
 
 @register("gd14_product_channel_mix", f"""
-SELECT *, sum(orders) OVER (PARTITION BY primary_product_name) AS product_total_orders,
+SELECT *, CAST(sum(orders) OVER (PARTITION BY primary_product_name) AS BIGINT) AS product_total_orders,
   {_pct('orders', 'sum(orders) OVER (PARTITION BY primary_product_name)')} AS channel_order_share_pct
 FROM (SELECT primary_product_name, session_channel, session_channel_group, session_device_type,
         count(order_id) AS orders, {sum_money_sql('gross_revenue')} AS gross_revenue,

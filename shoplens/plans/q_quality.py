@@ -129,7 +129,8 @@ CTES["dq_card"] = f"""
 SELECT severity, count(*) AS total_checks, CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS BIGINT) AS passed_checks,
   CAST(sum(CASE WHEN NOT passed THEN 1 ELSE 0 END) AS BIGINT) AS failed_checks,
   {_pct('sum(CASE WHEN passed THEN 1 ELSE 0 END)', 'count(*)')} AS pass_rate_pct,
-  CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 WHEN 'INFO' THEN 3 ELSE 4 END AS severity_order
+  CAST(CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 WHEN 'INFO' THEN 3 ELSE 4 END AS BIGINT)
+    AS severity_order
 FROM dq_scored GROUP BY severity"""
 
 
@@ -160,7 +161,8 @@ def dq10_health_score(spark, sf_dir):
 
 
 @register("dq11_failed_checks", """
-SELECT *, CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 WHEN 'INFO' THEN 3 ELSE 4 END AS severity_order
+SELECT *, CAST(CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 WHEN 'INFO' THEN 3 ELSE 4 END
+  AS BIGINT) AS severity_order
 FROM dq_scored WHERE NOT passed""")
 def dq11_failed_checks(spark, sf_dir):
     """DQ11 + SO2: failed checks, most severe first."""

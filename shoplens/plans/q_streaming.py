@@ -43,7 +43,7 @@ def str1_stream_ingest(spark, sf_dir):
 
 @register("str5_stream_daily_kpis", """
 SELECT date_trunc('day', ts) AS day_start, count(*) AS events,
-  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases,
+  CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS purchases,
   CAST(sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS revenue
 FROM events GROUP BY 1""")
 def str5_stream_daily_kpis(spark, sf_dir):
@@ -59,7 +59,7 @@ def str5_stream_daily_kpis(spark, sf_dir):
 
 @register("str4_sessionize", """
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events,
-  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases,
+  CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS purchases,
   min(ts) AS first_event_ts, max(ts) AS last_event_ts
 FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
         OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid

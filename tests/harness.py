@@ -46,10 +46,27 @@ def frame_rows(df: pd.DataFrame, digits):
     return cols, rows
 
 
+SPARK_FAMILY = {"bigint": "int", "double": "float", "string": "str", "boolean": "bool",
+                "timestamp_ntz": "ts"}
+DUCK_FAMILY = {"BIGINT": "int", "DOUBLE": "float", "VARCHAR": "str", "BOOLEAN": "bool",
+               "TIMESTAMP": "ts"}
+
+
+def type_diff(spark_df, sql: str, con) -> dict:
+    """Columns whose type family differs between the engines."""
+    s = {f.name: SPARK_FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_df.schema.fields}
+    d = {r[0]: DUCK_FAMILY.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}
+
+
 def compare(spark_df, sql: str, con) -> dict:
+    tdiff = type_diff(spark_df, sql, con)
     s = spark_df.toPandas()
     d = con.execute(sql).df()
-    res = {"rows_spark": len(s), "rows_oracle": len(d)}
+    res = {"rows_spark": len(s), "rows_oracle": len(d), "types_match": not tdiff}
+    if tdiff:
+        res["type_diff"] = tdiff
     sc, dc = sorted(s.columns), sorted(d.columns)
     res["columns_match"] = sc == dc
     if sc != dc:

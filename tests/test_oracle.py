@@ -20,6 +20,7 @@ def con():
 def test_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SF_SMALL), ORACLE[name], con)
     assert res["columns_match"], res
+    assert res["types_match"], res
     assert res["rows_spark"] == res["rows_oracle"], res
     assert res["exact"], res
 
