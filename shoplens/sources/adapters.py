@@ -98,9 +98,10 @@ def raw_sessions(ev: DataFrame) -> DataFrame:
     first = (ev.groupBy("website_session_id")
              .agg(F.min(F.struct("event_id", "ts", "k", "user_id", "event_date"))
                   .alias("f")))
-    user_first = ev.groupBy(F.col("user_id").alias("u")).agg(
-        F.min("event_date").alias("user_first_date"))
     s = first.select("website_session_id", "f.*")
+    # the user's first day comes from the (much smaller) session table
+    user_first = s.groupBy(F.col("user_id").alias("u")).agg(
+        F.min("event_date").alias("user_first_date"))
     k8 = F.col("k") % 8
     src = _pick(k8, [t[0] for t in CHANNEL_TRIPLES])
     src = F.when((k8 == 0) & (F.col("k") >= 50), F.lit(" GSearch")).otherwise(src)
