@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import ratio
 from ..functions.labels import propensity_band
+from ..session import shared_dir
 
 # --- fixed values -------------------------------------------------------------
 SEED = 42
@@ -114,8 +115,9 @@ def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, fol
     Like the source search (10% validation fraction with early stopping),
     boosting stops once the error on a 10% hash-selected validation slice
     stops improving, so ``maxIter`` is an upper bound."""
+    shared_dir(train.sparkSession)   # tree learners checkpoint node caches to the shared folder
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed,
-                        validationIndicatorCol="is_validation")
+                        validationIndicatorCol="is_validation", checkpointInterval=10)
     names = list(space)
     combos = list(itertools.product(*[space[n] for n in names]))
     picked = random.Random(seed).sample(combos, min(n_search, len(combos)))

@@ -266,7 +266,8 @@ def assert_gate(scored: DataFrame) -> None:
 
 
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
-    """DQ13 + WN13: value counts with % of total (window over the aggregated,
-    small table)."""
+    """DQ13 + WN13: value counts with % of total (a one-row total joined to
+    the groups, so a high-cardinality column never lands in one task)."""
     g = df.groupBy(column).agg(F.count(F.lit(1)).alias("records"))
-    return g.withColumn("pct_of_total", pct("records", F.sum("records").over(Window.partitionBy())))
+    total = g.agg(F.sum("records").alias("_total"))       # one-row aggregate of the same groups
+    return g.crossJoin(total).withColumn("pct_of_total", pct("records", "_total")).drop("_total")
