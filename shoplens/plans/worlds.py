@@ -17,11 +17,29 @@ from ..sources import adapters as ad
 from ..sources.driver import read_table
 
 
-class ClickWorld:
-    """Sessions, pageviews and purchase orders from ``events``."""
+class _World:
+    """One lazy plan set per (session, data folder): building the DataFrame
+    objects (Python -> JVM expression trees, eager analysis) is done once and
+    shared by every query over the same folder. Only plans are shared —
+    every action still executes in full."""
+
+    _cache: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (cls.__name__, id(spark), spark.sparkContext.applicationId, sf_dir)
+        inst = cls._cache.get(key)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir = spark, sf_dir
+            cls._cache[key] = inst
+        return inst
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        pass
+
+
+class ClickWorld(_World):
+    """Sessions, pageviews and purchase orders from ``events``."""
 
     @cached_property
     def events(self) -> DataFrame:
@@ -79,12 +97,9 @@ class ClickWorld:
         return mk.sessions_with_orders(self.sessions, self.funnel, self.orders)
 
 
-class CommerceWorld:
+class CommerceWorld(_World):
     """Orders, line items, refunds and brands from the star schema."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
     def _t(self, name, cols):
         return read_table(self.spark, self.sf_dir, name, cols)
 
