@@ -171,14 +171,15 @@ def model_metrics(spark: SparkSession, scored_test: DataFrame, model_name: str,
                      "tp", "fp", "fn", "tn")
 
 
-def feature_importances(spark: SparkSession, pipeline_model) -> DataFrame:
-    """ML6: named GBT feature importances (one row per feature slot)."""
+def feature_importances(spark: SparkSession, pipeline_model, scored: DataFrame) -> DataFrame:
+    """ML6: named GBT feature importances (one row per feature slot; names
+    from the assembled vector's ML attribute metadata)."""
     gbt = pipeline_model.stages[-1]
-    attrs = []
-    imp = gbt.featureImportances.toArray().tolist()
-    names = [f"f{i}" for i in range(len(imp))]
-    attrs = list(zip(names, [float(x) for x in imp]))
-    return spark.createDataFrame(attrs, "feature string, importance double")
+    imp = [float(x) for x in gbt.featureImportances.toArray()]
+    meta = scored.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    names = {a["idx"]: a["name"] for group in meta.values() for a in group}
+    rows = [(names.get(i, f"f{i}"), v) for i, v in enumerate(imp)]
+    return spark.createDataFrame(rows, "feature string, importance double")
 
 
 def segment_features(users: DataFrame) -> DataFrame:

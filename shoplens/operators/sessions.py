@@ -55,7 +55,7 @@ def typed_sessions(raw: DataFrame) -> DataFrame:
     return s
 
 
-def rank_and_first_touch(s: DataFrame) -> DataFrame:
+def rank_and_first_touch(s: DataFrame, bucket: str = "day") -> DataFrame:
     """WN1 + WN2 without a per-user window over all sessions.
 
     A per-user window puts every session of one user into one task; a bot
@@ -68,8 +68,11 @@ def rank_and_first_touch(s: DataFrame) -> DataFrame:
        first session (first touch);
     3. joined back on (user, day), which is co-partitioned with step 1.
     Order is (session_ts, website_session_id) so ties are deterministic.
+    ``bucket`` ('day' or 'hour') sets the first-level group; 'hour' bounds a
+    bot's burst to one user-hour per task at the price of a larger (still
+    calendar-bounded) second-level table.
     """
-    s = s.withColumn("_day", F.to_date("session_ts"))
+    s = s.withColumn("_day", F.date_trunc(bucket, "session_ts"))
     w_day = Window.partitionBy("user_id", "_day").orderBy("session_ts", "website_session_id")
     ranked = s.withColumn("_rank_in_day", F.row_number().over(w_day))
     daily = (ranked.groupBy("user_id", "_day")
@@ -92,7 +95,7 @@ def rank_and_first_touch(s: DataFrame) -> DataFrame:
         .drop("_day", "_rank_in_day", "_offset", "_first"))
 
 
-def enrich_sessions(raw: DataFrame, keep_failed: bool = False) -> DataFrame:
+def enrich_sessions(raw: DataFrame, keep_failed: bool = False, bucket: str = "day") -> DataFrame:
     """Bronze sessions -> silver ``sessions_enriched`` (22 columns).
 
     Rows failing the DQ flag are dropped (PRJ6) before ranking, so ranks and
@@ -101,8 +104,8 @@ def enrich_sessions(raw: DataFrame, keep_failed: bool = False) -> DataFrame:
     s = typed_sessions(raw)
     if not keep_failed:
         s = s.filter(F.col("dq_flag") == "PASS")
-        return rank_and_first_touch(s).select(*SESSION_COLUMNS)
-    good = rank_and_first_touch(s.filter(F.col("dq_flag") == "PASS"))
+        return rank_and_first_touch(s, bucket).select(*SESSION_COLUMNS)
+    good = rank_and_first_touch(s.filter(F.col("dq_flag") == "PASS"), bucket)
     bad = s.filter(F.col("dq_flag") != "PASS")
     return good.select(*SESSION_COLUMNS).unionByName(bad, allowMissingColumns=True) \
         .select(*SESSION_COLUMNS)

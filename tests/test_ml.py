@@ -31,3 +31,16 @@ def test_class_weights_balance(spark):
     df = spark.createDataFrame([(i, 1 if i < 10 else 0) for i in range(100)], "website_session_id long, converted_label int")
     w = {r.converted_label: r.weight for r in ml.class_weights(df).select("converted_label", "weight").distinct().collect()}
     assert abs(w[1] - 5.0) < 1e-9 and abs(w[0] - 100 / 180) < 1e-9
+
+
+def test_session_rank_hour_bucket_matches_day(spark):
+    import datetime as dt
+    from shoplens.operators.sessions import enrich_sessions
+    from shoplens.sources.ingest import SCHEMAS
+    rows = [(i, (dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * i)).strftime("%Y-%m-%d %H:%M:%S"), i % 2, 0,
+             "gsearch" if i % 3 else None, "brand", None, "mobile", None) for i in range(1, 120)]
+    raw = spark.createDataFrame(rows, SCHEMAS["website_sessions"])
+    a = sorted(enrich_sessions(raw).select("website_session_id", "user_session_rank", "acquisition_channel").collect())
+    b = sorted(enrich_sessions(raw, bucket="hour").select("website_session_id", "user_session_rank",
+                                                          "acquisition_channel").collect())
+    assert a == b
