@@ -77,9 +77,16 @@ def month_index(ts) -> Column:
     return F.year(col_(ts)) * 12 + F.month(col_(ts))
 
 
+def micro_units(c) -> Column:
+    """A DOUBLE as an integer count of millionths, rounded half up with plain
+    IEEE arithmetic (floor(x * 1e6 + 0.5)); every engine gets the same
+    integer, unlike a double -> decimal cast, whose tie rounding differs."""
+    return F.floor(col_(c).cast("double") * F.lit(1e6) + F.lit(0.5))
+
+
 def avg_exact(c) -> Column:
-    """AVG of a DOUBLE column with an order-independent (DECIMAL) sum, so the
-    result does not depend on how rows reached the aggregate. Inputs are
-    taken to 6 decimals (enough for percentages and ratios)."""
-    x = col_(c).cast("decimal(38,6)")
-    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
+    """AVG of a DOUBLE column with an order-independent sum: values are taken
+    to 6 decimals as integers (``micro_units``), summed exactly, divided
+    once. The result does not depend on how rows reached the aggregate."""
+    x = micro_units(c)
+    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")) / F.lit(1e6)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import month_key, month_start, pct, pct_change, ratio
+from ..functions.exprs import micro_units, month_key, month_start, pct, pct_change, ratio
 from ..functions.labels import rag_status, trend_label
 
 M4 = "decimal(18,4)"
@@ -72,8 +72,15 @@ def daily_kpis(orders: DataFrame, swo: DataFrame | None = None) -> DataFrame:
     })
 
 
+DOUBLE_METRICS = {"daily_cvr", "monthly_cvr"}
+
+
 def _wavg(c, w):
-    """Window average with an exact DECIMAL sum (order-independent)."""
+    """Window average with an exact sum (order-independent): DECIMAL for
+    money and counts, integer millionths for DOUBLE rates."""
+    if c in DOUBLE_METRICS:
+        x = micro_units(c)
+        return F.try_divide(F.sum(x).over(w).cast("double"), F.count(x).over(w).cast("double")) / F.lit(1e6)
     x = F.col(c).cast(D12)
     return F.try_divide(F.sum(x).over(w).cast("double"), F.count(x).over(w).cast("double"))
 

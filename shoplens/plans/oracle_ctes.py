@@ -348,7 +348,8 @@ def avg_money_sql(c: str) -> str:
 
 
 def avg_exact_sql(c: str) -> str:
-    return f"(CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / NULLIF(CAST(count({c}) AS DOUBLE), 0))"
+    x = f"CAST(floor(CAST({c} AS DOUBLE) * 1000000.0 + 0.5) AS BIGINT)"
+    return f"(CAST(sum({x}) AS DOUBLE) / NULLIF(CAST(count({x}) AS DOUBLE), 0) / 1000000.0)"
 
 
 def count_true_sql(c: str) -> str:

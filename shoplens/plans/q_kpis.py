@@ -63,6 +63,9 @@ def gd23_daily_metrics(spark, sf_dir):
 
 def _wavg_sql(c: str, n: int) -> str:
     w = f"OVER (ORDER BY metric_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    if c == "daily_cvr":
+        x = f"CAST(floor(CAST({c} AS DOUBLE) * 1000000.0 + 0.5) AS BIGINT)"
+        return f"(CAST(sum({x}) {w} AS DOUBLE) / NULLIF(CAST(count({x}) {w} AS DOUBLE), 0) / 1000000.0)"
     return (f"(CAST(sum(CAST({c} AS DECIMAL(38,6))) {w} AS DOUBLE) / "
             f"NULLIF(CAST(count(CAST({c} AS DECIMAL(38,6))) {w} AS DOUBLE), 0))")
 
@@ -139,8 +142,8 @@ FROM (
       WHEN monthly_cross_sell_rate >= 0.08 THEN CAST(70.0 AS DOUBLE) WHEN monthly_cross_sell_rate >= 0.08 * 0.75 THEN CAST(50.0 AS DOUBLE)
       ELSE CAST(25.0 AS DOUBLE) END AS cross_sell_rate_score
   FROM (SELECT *, lag(monthly_revenue) OVER (ORDER BY score_month) AS prior_month_revenue,
-          CAST(sum(CAST(monthly_cvr AS DECIMAL(38,6))) OVER w AS DOUBLE)
-            / NULLIF(CAST(count(CAST(monthly_cvr AS DECIMAL(38,6))) OVER w AS DOUBLE), 0) AS cvr_avg
+          CAST(sum(CAST(floor(monthly_cvr * 1000000.0 + 0.5) AS BIGINT)) OVER w AS DOUBLE)
+            / NULLIF(CAST(count(monthly_cvr) OVER w AS DOUBLE), 0) / 1000000.0 AS cvr_avg
         FROM m_monthly WINDOW w AS (ORDER BY score_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) a) b""")
 def gd26_executive_scorecard(spark, sf_dir):
     """GD26 + WN9 + WN10 + PRJ17: monthly scorecard, composite and RAG."""

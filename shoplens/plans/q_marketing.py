@@ -8,7 +8,7 @@ from ..functions import channels as ch
 from ..operators import funnel as fn
 from ..operators import marketing as mk
 from .catalog import register
-from .oracle_ctes import _div, _pct
+from .oracle_ctes import _div, _pct, avg_exact_sql
 from .worlds import ClickWorld
 
 
@@ -137,10 +137,8 @@ SELECT {group_exprs}, count(order_id) AS orders,
   CAST(sum(CAST(gross_revenue AS DECIMAL(18,4))) AS DOUBLE) AS gross_revenue{suffix},
   CAST(sum(CAST(net_revenue AS DECIMAL(18,4))) AS DOUBLE) AS net_revenue{suffix},
   CAST(sum(CAST(net_margin AS DECIMAL(18,4))) AS DOUBLE) AS net_margin{suffix},
-  CAST(sum(CAST(gross_margin_pct AS DECIMAL(38,6))) AS DOUBLE) / NULLIF(CAST(count(gross_margin_pct) AS DOUBLE), 0)
-    AS avg_gross_margin_pct,
-  CAST(sum(CAST(net_margin_pct AS DECIMAL(38,6))) AS DOUBLE) / NULLIF(CAST(count(net_margin_pct) AS DOUBLE), 0)
-    AS avg_net_margin_pct,
+  {avg_exact_sql('gross_margin_pct')} AS avg_gross_margin_pct,
+  {avg_exact_sql('net_margin_pct')} AS avg_net_margin_pct,
   CAST(sum(CASE WHEN has_refund THEN 1 ELSE 0 END) AS BIGINT) AS refund_count,
   CAST(sum(CAST(total_refund_usd AS DECIMAL(18,4))) AS DOUBLE) AS total_refunds,
   {_pct('sum(CASE WHEN has_refund THEN 1 ELSE 0 END)', 'count(order_id)')} AS refund_rate_pct,
