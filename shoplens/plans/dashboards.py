@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import customers as cu
-from ..operators import kpis as kp
 from ..operators import marketing as mk
 from ..operators import products as pr
 from .worlds import ClickWorld, CommerceWorld

@@ -3,13 +3,11 @@ sessions), long-history KPIs on the commerce orders."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import funnel as fn
 from ..operators import kpis as kp
 from ..operators.customers import user_order_summary
 from .catalog import register
-from .oracle_ctes import CTES, _div, _pct
+from .oracle_ctes import CTES, _div
 from .worlds import ClickWorld, CommerceWorld
 
 CTES["c_daily"] = """

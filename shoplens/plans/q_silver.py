@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import orders as od
 from .catalog import register
 from .worlds import ClickWorld, CommerceWorld

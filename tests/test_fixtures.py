@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shoplens.functions.channels import channel_group, classify_channel
 from shoplens.operators import customers as cu

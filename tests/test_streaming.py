@@ -4,8 +4,6 @@ dropped; replayed ids are removed."""
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from shoplens.streaming import pipeline as st
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
