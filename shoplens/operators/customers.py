@@ -188,3 +188,25 @@ def rfm(orders: DataFrame, as_of=None, buckets: int = 5) -> DataFrame:
             ratio(F.datediff("last_order_date", "first_order_date"), F.col("frequency") - 1)),
     }).drop("_as_of")
     return u
+
+
+def cohort_retention_keyed(orders: DataFrame, days=RETENTION_DAYS) -> DataFrame:
+    """GD18 in the dashboard's shape (JN9 + AG4): first orders joined to
+    their repeat purchases on (user, cohort, channel) null-safely — a NULL
+    acquisition channel still matches — and repeaters counted as distinct
+    users per window. Each order meets its user's single first-order row, so
+    the join never builds pairs."""
+    fo = first_orders(orders)
+    o = orders.select("user_id", F.col("order_ts").alias("_ts"))
+    rp = (fo.join(o, "user_id", "inner")
+          .withColumn("days_since_first", F.datediff(F.to_date("_ts"), F.to_date("first_order_ts")))
+          .filter(F.col("days_since_first") > 0)
+          .select(F.col("user_id").alias("rp_user"), F.col("acquisition_cohort").alias("rp_cohort"),
+                  F.col("acquisition_channel").alias("rp_channel"), "days_since_first"))
+    j = fo.join(rp, (fo.user_id == rp.rp_user) & (fo.acquisition_cohort == rp.rp_cohort)
+                & fo.acquisition_channel.eqNullSafe(rp.rp_channel), "left")
+    aggs = [F.countDistinct("user_id").alias("new_customers")]
+    aggs += [F.countDistinct(F.when(F.col("days_since_first") <= d, F.col("rp_user"))).alias(f"repeated_{d}d")
+             for d in days]
+    g = j.groupBy("acquisition_cohort", "acquisition_channel").agg(*aggs)
+    return g.withColumns({f"retention_rate_{d}d": pct(f"repeated_{d}d", "new_customers") for d in days})

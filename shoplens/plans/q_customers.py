@@ -160,3 +160,14 @@ FROM (SELECT user_id, max(CAST(order_ts AS DATE)) AS last_order_date, min(CAST(o
 def gd32_rfm(spark, sf_dir):
     """GD32: recency / frequency / monetary features per customer."""
     return cu.rfm(CommerceWorld(spark, sf_dir).orders)
+
+
+@register("gd18b_cohorts_three_key", """
+WITH cohort_g AS (""" + _cohort_sql("CAST(o.order_ts AS DATE) - CAST(fo.first_order_ts AS DATE) > 0") + """)
+SELECT acquisition_cohort, acquisition_channel, new_customers, repeated_60d, repeated_90d, repeated_180d,
+  repeated_365d, retention_rate_60d, retention_rate_90d, retention_rate_180d, retention_rate_365d
+FROM cohort_g""")
+def gd18b_cohorts_three_key(spark, sf_dir):
+    """GD18 + JN9 + AG4: dashboard cohort retention with a 3-key null-safe
+    join and distinct-user counts; equals GD18 on the shared columns."""
+    return cu.cohort_retention_keyed(CommerceWorld(spark, sf_dir).orders)
