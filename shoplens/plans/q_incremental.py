@@ -205,3 +205,11 @@ def mrg12_idempotency(spark, sf_dir):
     once = inc.merge_upsert(v0, v1, KEYS, update_condition=cond)
     twice = inc.merge_upsert(once, v1, KEYS, update_condition=cond)
     return inc.idempotency_diff(once, twice)
+
+
+@register("mrg14_batch_audit", "SELECT *, updated_at AS processed_at, false AS is_deleted FROM v1")
+def mrg14_batch_audit(spark, sf_dir):
+    """MRG14: batch audit columns (processed_at from the batch's own change
+    time here, so the output is reproducible; is_deleted = false)."""
+    _, v1 = _snapshots(spark, sf_dir)
+    return inc.with_audit(v1, processed_at=F.col("updated_at"), updated_col="updated_at")
