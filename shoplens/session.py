@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,13 +47,16 @@ def build_session(master: str | None = None, app: str = "shoplens",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a private folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Only where it is unset and Spark runs
+    on this machine alone (tests) a private folder is created and registered;
+    on a cluster that is an error, as executors would write to their own disks.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
@@ -63,14 +67,4 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder for a written intermediate table."""
     base = shared_dir(spark)
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
