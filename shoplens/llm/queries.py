@@ -6,10 +6,14 @@ from __future__ import annotations
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import lang_id
 from .bpe import encode_documents
 from .common import table
+from .decontam import contaminated
 from .exact_dedup import exact_dedup
+from .sharding import row_bytes, shards_path, shuffle_to_shards
 from .simhash import simhash_dedup
 
 QUERIES: dict = {}
@@ -21,6 +25,13 @@ def register(f):
     return f
 
 
+@register
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and its coverage."""
+    return contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "benchmark", "item_id", "text")).drop("tiles")
+
+
 @register
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -45,8 +56,27 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@register
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that training may use."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    learns = lang_id.learns_from(F.col("doc_id"))
+    model = lang_id.fit(docs.where(learns).select("lang", "text"))
+    return lang_id.predict(docs.select("doc_id", (~learns).alias("held_out"), "text"), model)
+
+
 @register
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=("doc_id",), with_ids=False)
+
+
+@register
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, from the shards as written; law: rows."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    done = shuffle_to_shards(docs, shards_path(spark))
+    return done.select("doc_id", row_bytes(F.col("text")).alias("size"),
+                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+                       F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
