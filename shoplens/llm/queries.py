@@ -15,6 +15,7 @@ from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .sharding import row_bytes, shards_path, shuffle_to_shards
 from .simhash import simhash_dedup
+from .warc import archive_path, read_archives, write_archives
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +33,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         table(spark, sf_dir, "benchmark", "item_id", "text")).drop("tiles")
 
 
+@register
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, as read back from the archives it was written to."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return read_archives(write_archives(pages, archive_path(spark))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+g AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM g
+"""
+
+
 @register
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
