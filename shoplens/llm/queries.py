@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_id
+from . import html_text, lang_id
 from .bpe import encode_documents
 from .common import table
 from .decontam import contaminated
@@ -63,6 +63,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(docs).select("doc_id", "fingerprint", "component_id")
 
 
+@register
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 @register
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of equal documents stays, for every document."""
