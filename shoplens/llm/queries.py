@@ -13,6 +13,7 @@ from .bpe import encode_documents
 from .common import table
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
+from .ppm import ppm_score
 from .sharding import row_bytes, shards_path, shuffle_to_shards
 from .simhash import simhash_dedup
 from .warc import archive_path, read_archives, write_archives
@@ -86,6 +87,13 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@register
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return ppm_score(docs.withColumn("train", lang_id.learns_from(F.col("doc_id"), 10, 0)), "train")
+
+
 @register
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that training may use."""
