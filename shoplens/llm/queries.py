@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, lang_id
+from . import fm_quality, html_text, lang_id
 from .bpe import encode_documents
 from .common import table
 from .decontam import contaminated
@@ -94,6 +94,16 @@ def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_score(docs.withColumn("train", lang_id.learns_from(F.col("doc_id"), 10, 0)), "train")
 
 
+@register
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels training may use."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    learns = lang_id.learns_from(F.col("doc_id"))
+    machine = fm_quality.fit(docs, labels.where(learns), metadata=("n_chars",))
+    return fm_quality.score(docs.withColumn("held_out", ~learns), machine, metadata=("n_chars",))
+
+
 @register
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that training may use."""
