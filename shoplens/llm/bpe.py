@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -256,29 +257,22 @@ def encode_documents(docs: DataFrame, vocab_path: str, text_col: str = "text", k
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     schema = ", ".join(([kept] if kept else []) + outputs)
 
+    names = [*keep, *(c.split()[0] for c in outputs)]
+
     def run(batches):
-        enc = encoder(vocab_path)
-        sha = hashlib.sha256
+        enc, sha = encoder(vocab_path), hashlib.sha256
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            ids, n, digest, back = [], [], [], []
-            for block in blocks(texts, BLOCK_CHARS):
-                for code in enc.encode(block):
-                    if with_ids:
-                        ids.append(pa.array(np.frombuffer(code, "<i4")))
-                    n.append(len(code) // 4)
-                    digest.append(sha(code).hexdigest())
-                    back.append(sha(enc.decode(code)).hexdigest())
-            cols = [batch.column(k) for k in range(batch.num_columns - 1)]
-            if with_ids:
-                offsets = [0]
-                for a in ids:
-                    offsets.append(offsets[-1] + len(a))
-                values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
-                cols.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
-            cols += [pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(back, pa.string())]
-            names = [*batch.schema.names[:-1], *(["ids"] if with_ids else []), "n_tokens", "ids_sha256",
-                     "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            at = 0
+            for block in blocks(batch.column(batch.num_columns - 1), BLOCK_CHARS):
+                codes = enc.encode(block)
+                cols = [batch.column(k).slice(at, len(block)) for k in range(batch.num_columns - 1)]
+                at += len(block)
+                n = [len(c) // 4 for c in codes]
+                if with_ids:
+                    cols.append(pa.ListArray.from_arrays(pa.array([0, *itertools.accumulate(n)], pa.int32()),
+                                                         pa.array(np.frombuffer(b"".join(codes), "<i4"))))
+                cols += [pa.array(n, pa.int64()), pa.array([sha(c).hexdigest() for c in codes], pa.string()),
+                         pa.array([sha(enc.decode(c)).hexdigest() for c in codes], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return src.mapInArrow(run, schema)

@@ -20,8 +20,10 @@ by ``buckets`` and ``rank``. Every row is scored on its whole text.
 
 from __future__ import annotations
 
+import itertools
 import math
-import re
+import operator
+import string
 import zlib
 from collections import Counter
 
@@ -42,27 +44,26 @@ L2 = 1e-5
 #: Buckets of one structure statistic or metadata number.
 LEVELS = 24
 
-_MARK = re.compile(r"[^\w\s]")
-_DIGIT = re.compile(r"\d")
+_MARKS = string.punctuation.encode()
+_DIGITS = string.digits.encode()
 
 
 def statistics(text: str, words: list[str], counts: Counter) -> list[float]:
     """Structure of a text, each value from 0 to 1."""
-    n, m = max(len(text), 1), max(len(words), 1)
+    data = text.encode()
+    n, m = max(len(data), 1), max(len(words), 1)
     lines = [line for line in text.split("\n") if line.strip()] or [""]
-    top = counts.most_common(1)[0][1] if counts else 0
-    same = sum(a == b for a, b in zip(words, words[1:]))
-    marks, digits = len(_MARK.findall(text)), len(_DIGIT.findall(text))
-    upper = sum(map(str.isupper, words))
-    pairs = len(set(zip(words, words[1:])))
-    return [marks / n, min(1.0, 4 * digits / n), upper / m, sum(map(str.istitle, words)) / m,
-            len(counts) / m, top / m, same / m, pairs / max(m - 1, 1), min(1.0, len(text.split()) / m / 2),
-            min(1.0, sum(map(len, words)) / m / 20), min(1.0, math.log1p(m) / 12), min(1.0, math.log1p(n) / 14),
-            min(1.0, n / len(lines) / 1000), len(set(lines)) / len(lines), min(1.0, math.log1p(len(lines)) / 8),
-            sum(line.rstrip()[-1:] in ".!?…\"'" for line in lines) / len(lines)]
+    marks, digits = (len(data) - len(data.translate(None, kind)) for kind in (_MARKS, _DIGITS))
+    upper = sum(k for w, k in counts.items() if w.isupper())
+    title = sum(k for w, k in counts.items() if w.istitle())
+    same = sum(map(operator.eq, words, itertools.islice(words, 1, None)))
+    return [marks / n, min(1.0, 4 * digits / n), upper / m, title / m, len(counts) / m,
+            max(counts.values(), default=0) / m, same / m, min(1.0, len(data) / m / 20), min(1.0, math.log1p(m) / 12),
+            min(1.0, math.log1p(n) / 14), min(1.0, n / len(lines) / 1000), len(set(lines)) / len(lines),
+            min(1.0, math.log1p(len(lines)) / 8), sum(x.rstrip().endswith((".", "!", "?")) for x in lines) / len(lines)]
 
 
-N_STATISTICS = 16
+N_STATISTICS = 14
 
 
 class Features:
@@ -82,17 +83,20 @@ class Features:
     def __call__(self, text: str | None, metadata: tuple = ()) -> tuple[np.ndarray, np.ndarray]:
         text = text or ""
         words = text.split()
-        lower = Counter(text.lower().split())
+        counts = Counter(words)
+        lower: dict[str, int] = {}
+        for w, k in counts.items():
+            w = w.lower()
+            lower[w] = lower.get(w, 0) + k
         cache = self.cache
         if len(cache) > 300_000:
             cache.clear()
-        for w in lower.keys() - cache.keys():
-            cache[w] = self.word(w)
+        cache.update((w, self.word(w)) for w in lower if w not in cache)
         at = list(map(cache.__getitem__, lower))
         value = np.log1p(np.fromiter(lower.values(), np.float64, len(lower)))
         norm = math.sqrt(float(value @ value)) or 1.0
         extra, base = [], self.buckets
-        for x in statistics(text, words, Counter(words)):
+        for x in statistics(text, words, counts):
             extra.append(base + min(LEVELS - 1, int(x * LEVELS)))
             base += LEVELS + 1
         for x in metadata:  # a missing value has a level of its own
@@ -127,14 +131,13 @@ class Machine:
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int, step: float, l2: float,
             seed: int) -> None:
-        """Adaptive gradient steps (AdaGrad) on the logistic loss, both labels of
-        equal weight, rows in seeded order."""
+        """Adaptive gradient steps (AdaGrad) on the logistic loss, rows in seeded
+        order."""
         n1 = labels.sum()
         if not 0 < n1 < len(labels):  # one label only: its share
             self.w0 = math.log((n1 + 1) / (len(labels) - n1 + 1))
             self.v[:] = 0
             return
-        weight = np.where(labels == 1, len(labels) / 2 / n1, len(labels) / 2 / (len(labels) - n1))
         rng = np.random.default_rng(seed)
         gw0, gw, gv = 1e-8, np.full(len(self.w), 1e-8), np.full(self.v.shape, 1e-8)
         for _ in range(epochs):
@@ -144,7 +147,7 @@ class Machine:
                 xv = x[:, None] * va
                 s = xv.sum(axis=0)
                 raw = self.w0 + float(wa @ x) + 0.5 * float(s @ s - (xv * xv).sum())
-                g = (1 / (1 + math.exp(-max(-500.0, min(500.0, raw)))) - labels[k]) * weight[k]
+                g = 1 / (1 + math.exp(-max(-500.0, min(500.0, raw)))) - labels[k]
                 gw0 += g * g
                 self.w0 -= step * g / math.sqrt(gw0)
                 dw = g * x + l2 * wa

@@ -203,7 +203,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in a learned
-    language at a score of ``min_score`` or more."""
+    language at a score of ``min_score`` or more. A model without a language (no
+    row was labelled) can reject nothing."""
+    if not model.langs:
+        return docs
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(model)
