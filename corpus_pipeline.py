@@ -5,7 +5,7 @@ as Parquet and read back as the next stage's ``docs``. All stages but the last
 return the columns of ``documents``, whatever further ones there are.
 
 * language: documents in none of the learned languages go (no letter, or the
-  best language has less than half of the posterior). Learned from the labelled
+  best language is hardly likelier than chance). Learned from the labelled
   rows of its own input; where no row is labelled, all stay.
 * exact: one row stays of rows with equal texts (white space normalised), the
   one with the smallest id.

@@ -59,6 +59,7 @@ ARTICLE = frozenset("article main".split())
 BODY = frozenset("html body".split())
 
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?]")
 _NAME = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
@@ -211,6 +212,8 @@ def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
         return ""
     page = Page()
     page.feed(html)
+    if _CUT_TAG.match(page.rawdata):  # the page ends inside a tag
+        page.rawdata = ""
     page.close()
     # Neighbouring pieces of one element and block are one: comments and
     # references don't split a text.

@@ -15,7 +15,7 @@ grows with the number of words (words of a text are not independent).
 
 from __future__ import annotations
 
-import functools
+import itertools
 import math
 import re
 from collections import Counter
@@ -35,8 +35,8 @@ MIN_SHARE = 2e-5
 MAX_LANGS = 200
 #: Words a task counts before it passes its counts on.
 COUNT_WORDS = 300_000
-#: Unseen words a worker keeps scored; beyond it they start anew.
-UNSEEN_WORDS = 200_000
+#: Unseen words and n-grams a worker keeps worked out; beyond it they start anew.
+KEPT = 300_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -84,6 +84,30 @@ def frequent(counts: DataFrame, key: list[str], min_share: float) -> DataFrame:
     return counts.join(F.broadcast(totals), key).where(F.col("n") >= F.lit(min_share) * F.col("total"))
 
 
+class Rows:
+    """Rows of numbers by name: the known ones, and a bounded number of others
+    that were worked out from them."""
+
+    def __init__(self, table: dict[str, np.ndarray], width: int):
+        self.at = {name: k for k, name in enumerate(table)}
+        self.known = len(table)
+        self.logs = np.array([*table.values()], float).reshape(len(table), width)
+
+    def add(self, names: list[str], rows: np.ndarray) -> int:
+        """The first of the new names' rows."""
+        at = len(self.at)
+        self.at.update(zip(names, range(at, at + len(names))))
+        if at + len(names) > len(self.logs):
+            self.logs = np.concatenate((self.logs, np.empty((1000 + at // 2 + len(names), self.logs.shape[1]))))
+        self.logs[at:at + len(names)] = rows
+        return at
+
+    def trim(self, most: int) -> None:
+        if len(self.at) - self.known > most:
+            for name in list(itertools.islice(self.at, self.known, None)):
+                del self.at[name]
+
+
 class Model:
     """Log frequencies of words and n-grams, a row of numbers over the languages."""
 
@@ -97,53 +121,49 @@ class Model:
         # What a language gives for an entry only others have: half an occurrence.
         least = {length: np.array([math.log(0.5 / t.get(k, 1)) for k in range(len(self.langs))])
                  for length, t in totals.items()}
-        self.table: dict[int, dict[str, np.ndarray]] = {length: {} for length in range(MAX_GRAM + 1)}
+        rows_of: tuple[dict[str, np.ndarray], ...] = ({}, {})  # words; n-grams of all lengths
         for lang, length, gram, n, total in rows:
-            entry = self.table[length].get(gram)
+            table = rows_of[length > 0]
+            entry = table.get(gram)
             if entry is None:
-                entry = self.table[length][gram] = least[length].copy()
+                entry = table[gram] = least[length].copy()
             entry[of[lang]] = math.log(n / total)
-        known = self.table.pop(0)
-        self.known = len(known)
-        self.row = {w: k for k, w in enumerate(known)}
-        self.logs = np.array([*known.values()]).reshape(len(known), len(self.langs))
-
-    def gram(self, text: str) -> np.ndarray:
-        """An n-gram's log frequencies, from its shorter ones if it is unseen."""
-        found = self.table[len(text)].get(text)
-        if found is not None:
-            return found
-        if len(text) <= 1:
-            return np.zeros(len(self.langs))
-        return (self.gram(text[:-1]) + self.gram(text[1:])) / 2
+        self.words, self.grams = (Rows(table, len(self.langs)) for table in rows_of)
+        self.known = self.words.known
+
+    def row(self, text: str) -> np.ndarray:
+        at = self.gram(text)  # may enlarge the rows
+        return self.grams.logs[at]
+
+    def gram(self, text: str) -> int:
+        """The row of an n-gram; of an unseen one the mean of its shorter ones."""
+        at = self.grams.at.get(text)
+        if at is None:
+            at = self.grams.add([text], np.zeros(len(self.langs)) if len(text) <= 1 else
+                                (self.row(text[:-1]) + self.row(text[1:])) / 2)
+        return at
 
     def unseen(self, words: list[str]) -> None:
-        """Give unseen words rows of their own, from their n-grams; a bounded
-        number of them is kept."""
-        if len(self.row) - self.known > UNSEEN_WORDS:
-            self.row = dict(list(self.row.items())[:self.known])
-        at = len(self.row)
-        if at + len(words) > len(self.logs):
-            self.logs = np.concatenate((self.logs[:at], np.empty((at + 2 * len(words), len(self.langs)))))
-        for k, w in enumerate(words, at):
-            grams = grams_of(w, MAX_GRAM)
-            self.row[w] = k
-            self.logs[k] = sum(map(self.gram, grams)) / len(grams)
+        """Give unseen words rows of their own, the mean over their n-grams."""
+        self.grams.trim(KEPT)
+        cut = [grams_of(w, MAX_GRAM) for w in words]
+        seen = self.grams.at
+        at = [seen[g] if g in seen else self.gram(g) for grams in cut for g in grams]
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        self.words.add(words, np.add.reduceat(self.grams.logs[at], np.cumsum(n) - n) / n[:, None])
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, share of the posterior); und and 0 without letters."""
         counts = Counter(words_of(text or ""))
         if not counts or not self.langs:
             return UNKNOWN, 0.0
-        new = [w for w in counts if w not in self.row]
-        if new:
+        self.words.trim(KEPT)
+        row = self.words.at
+        if new := [w for w in counts if w not in row]:
             self.unseen(new)
-            new = [w for w in counts if w not in self.row]
-            if new:  # the others were dropped just now
-                self.unseen(new)
-        at = np.fromiter(map(self.row.__getitem__, counts), np.int64, len(counts))
+        at = np.fromiter(map(row.__getitem__, counts), np.int64, len(counts))
         n = np.fromiter(counts.values(), np.float64, len(counts))
-        total = n @ self.logs[at]
+        total = n @ self.words.logs[at]
         total /= math.sqrt(n.sum())
         p = np.exp(total - total.max())
         best = int(np.argmax(total))  # ties: the first in alphabetical order
@@ -201,20 +221,22 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
-def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", min_lift: float = 1.2) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in a learned
-    language at a score of ``min_score`` or more. A model without a language (no
-    row was labelled) can reject nothing."""
+    language: it has letters, and the best language's score is at least
+    ``min_lift`` times chance (with one language: any score). A model without a
+    language (no row was labelled) can reject nothing."""
     if not model.langs:
         return docs
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    least = min_lift / len(model.langs) if len(model.langs) > 1 else 0.0
 
     def run(batches):
         for batch in batches:
             found = [sent.value.predict(t.as_py()) for t in batch.column(at)]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_()))
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -37,10 +37,12 @@ from pyspark.sql import functions as F
 
 from .common import ship, written
 
-ORDER = 6
-#: Text bytes of a block, and of what is held as arrays at a time. Larger blocks
-#: share more grams; a task needs about 30 bytes of memory for each byte.
-BLOCK_BYTES = 8 << 20
+ORDER = 5
+#: Text bytes of a block: larger blocks share more grams and words. A task holds
+#: one block's text, distinct grams and words.
+BLOCK_BYTES = 16 << 20
+#: Text bytes held as arrays at a time (about 30 bytes for each).
+CHUNK_BYTES = 2 << 20
 #: Text bytes for each part of the trie.
 PART_BYTES = 64 << 20
 #: Counts merged at a time.
@@ -79,7 +81,7 @@ def words_in(text: bytes, limit: int):
         at = end
 
 
-def chunks(texts: list[bytes], order: int, limit: int = BLOCK_BYTES):
+def chunks(texts: list[bytes], order: int, limit: int = CHUNK_BYTES):
     """(text numbers, pieces) of neighbouring pieces within the limit together."""
     of, pieces, size = [], [], 0
     for k, t in enumerate(texts):
@@ -140,7 +142,7 @@ def word_counts(texts: list[bytes], train: list[bool]) -> tuple[np.ndarray, np.n
     """The same for the words, by their hash."""
     total: dict[bytes, int] = {}
     for t, learn in zip(texts, train):
-        for words in words_in(t, BLOCK_BYTES):
+        for words in words_in(t, CHUNK_BYTES):
             for w in words:
                 total[w] = total.get(w, 0) + learn
     return distinct_counts(np.fromiter(map(xxhash.xxh64_intdigest, total), np.uint64, len(total)),
@@ -443,7 +445,7 @@ def score_blocks(blocks: DataFrame, costs: DataFrame, parts: int, order: int, tr
             np.add.at(score, of, np.add.reduceat(cost[place(code)].astype(np.float64), start))
         total: dict[bytes, int] = {}
         for t in texts:
-            for words in words_in(t, BLOCK_BYTES):
+            for words in words_in(t, CHUNK_BYTES):
                 total.update(dict.fromkeys(words, 0))
         hashed = np.fromiter(map(xxhash.xxh64_intdigest, total), np.uint64, len(total))
         keys = np.unique(hashed)
@@ -453,7 +455,7 @@ def score_blocks(blocks: DataFrame, costs: DataFrame, parts: int, order: int, tr
         tokens, known, base = [], [], []
         for t in texts:
             n, k, b = 1, int(train_docs > 0), math.log10(train_docs + 0.1) - scale
-            for words in words_in(t, BLOCK_BYTES):
+            for words in words_in(t, CHUNK_BYTES):
                 at = np.fromiter(map(total.__getitem__, words), np.int64, len(words))
                 n, k, b = n + len(words), k + int((seen[at] > 0).sum()), b + float(value[at].sum())
             tokens.append(n)
@@ -503,7 +505,7 @@ def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: s
         F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0)),
         F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()
     parts = int(min(max(4, -(-n_bytes // part_bytes)), 32768))
-    counted = written(count_blocks(blocks.repartition(max(1, n_blocks)), parts, order), "ppm-counts")
+    counted = written(count_blocks(blocks, parts, order), "ppm-counts")
     model = written(merge_parts(counted, 2 * parts), "ppm-model")
     low = np.zeros(65536, np.int64)
     pairs = (model.where("kind = 'g'").select(F.explode(F.arrays_zip("pairs", "pair_counts")).alias("p"))
@@ -512,5 +514,5 @@ def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: s
         low[pair] = n
     known, total = model.where("kind = 'w'").agg(
         F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
-    costs = written(cost_parts(counted, model, low, order, 2 * parts), "ppm-costs")
+    costs = cost_parts(counted, model, low, order, 2 * parts)
     return score_blocks(blocks, costs, parts, order, train_docs, total, known, max(1, n_blocks))

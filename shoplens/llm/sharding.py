@@ -55,29 +55,29 @@ def shuffle_to_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: in
     if {"shard", "slot"} & {c.lower() for c in docs.columns}:
         raise ValueError("docs has a column named shard or slot")
     work = work_columns(docs, h=None, n=None, bucket=None, at=None, rows=None, copy=None)
-    h, bucket, copy, at, rows = (work[k] for k in ("h", "bucket", "copy", "at", "rows"))
+    h, n, bucket, copy, at, rows = (work[k] for k in ("h", "n", "bucket", "copy", "at", "rows"))
     hashed = docs.withColumn(h, F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns]))
     size = row_bytes(F.col(f"`{text_col}`"))
-    stats = written(hashed.groupBy(h).agg(F.count("*").alias("n"), F.sum(size).alias("size")), "row-hashes")
-    total, all_bytes = stats.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    stats = written(hashed.groupBy(h).agg(F.count("*").alias(n), F.sum(size).alias("size")), "row-hashes")
+    total, all_bytes = stats.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = max(1, -(-all_bytes // bucket_bytes))
     limit = max(HOT_COPIES, total // HOT_SHARE)
-    hot = written(stats.where(F.col("n") > limit).select(h, "n"), "hot-rows")
+    hot = written(stats.where(F.col(n) > limit).select(h, n), "hot-rows")
 
     plain = F.pmod(F.col(h), F.lit(buckets))
     salted = F.pmod(F.xxhash64(F.lit(seed), F.col(h), F.col(copy)), F.lit(buckets))
 
     # Where each bucket starts in the shuffled order.
-    counts = (stats.where(F.col("n") <= limit).select(plain.alias(bucket), "n")
-              .unionByName(_copies(hot, F.col("n"), copy).select(salted.alias(bucket), F.lit(1).alias("n")))
-              .groupBy(bucket).agg(F.sum("n").alias("n")))
+    counts = (stats.where(F.col(n) <= limit).select(plain.alias(bucket), n)
+              .unionByName(_copies(hot, F.col(n), copy).select(salted.alias(bucket), F.lit(1).alias(n)))
+              .groupBy(bucket).agg(F.sum(n).alias("n")))
     starts = written(counts.select(bucket, F.expr(f"sum(n) OVER (ORDER BY `{bucket}`) - n").alias(at)), "bucket-starts")
 
     # Pass 1: scatter.
     known = F.broadcast(hot.select(h))
     rest = hashed.join(known, h, "left_anti").withColumn(bucket, plain)
     fewer = hashed.join(known, h, "left_semi").dropDuplicates([h])
-    spread = _copies(fewer.join(hot, h), F.col("n"), copy).withColumn(bucket, salted)
+    spread = _copies(fewer.join(hot, h), F.col(n), copy).withColumn(bucket, salted)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     scattered = rest.select(bucket, F.struct(*columns).alias(rows)).unionByName(
         spread.select(bucket, F.struct(*columns).alias(rows)))
