@@ -4,11 +4,12 @@ DataFrames (MRG1-MRG14, FLT4, SNK7).
 Plain Parquet has no MERGE, so every operator is ``before, batch -> after``;
 the caller writes ``after`` to a *new* path (never the one being read).
 
-Merge plan: the batch is the small side. Untouched target rows come from a
-left-anti join against the batch keys and matched rows from an inner join
-with the batch, so the target is only streamed; AQE turns both joins into
-broadcast joins when the batch's runtime size is under the broadcast
-threshold (a checked size), and into sort-merge joins otherwise.
+Merge plan: the batch is the small side and is reduced to one row per key. The
+target is streamed once through a left join with the batch, and once more, keys
+only, to find which batch keys it holds; the insert side then works on batch-sized
+data alone. AQE turns the joins into broadcast joins while the batch's runtime
+size is under the broadcast threshold (a checked size), so the target is not
+shuffled; beyond it they are sort-merge joins.
 """
 
 from __future__ import annotations
@@ -40,10 +41,22 @@ def _t(c):
     return F.col(f"_tgt.{c}")
 
 
+def newest_per_key(source: DataFrame, keys, order_col: str) -> DataFrame:
+    """One row per key: the newest by ``order_col`` (nulls are oldest; of equally
+    new rows the largest by the other columns, so the choice doesn't depend on
+    how rows arrive). A partial aggregate: repeats are combined before the
+    shuffle."""
+    keys = list(keys)
+    vals = [c for c in source.columns if c not in keys]
+    best = F.max(F.struct(F.col(order_col).alias("_order"), F.struct(*vals).alias("_row")))
+    return source.groupBy(*keys).agg(best.alias("_best")).select(
+        *keys, *[F.col(f"_best._row.{c}").alias(c) for c in vals]).select(*source.columns)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys, set_cols=None,
                  update_condition: Column | None = None, insert: bool = True,
                  delete_col: str | None = None, deleted_at_col: str | None = None,
-                 check_unique: bool = False) -> DataFrame:
+                 order_col: str | None = None, check_unique: bool = True) -> DataFrame:
     """MRG1 / MRG2 / MRG3: upsert ``source`` into ``target`` on ``keys``.
 
     * ``set_cols``: columns taken from the source on match (default: all
@@ -53,45 +66,53 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, set_cols=None,
     * ``delete_col``: a boolean source column; matched rows with it true are
       soft-deleted (``is_deleted`` = true, ``deleted_at`` = source value of
       ``deleted_at_col``) instead of updated; evaluated first.
-    * ``insert``: unmatched source rows are appended (with target columns).
+    * ``insert``: unmatched source rows are appended (with target columns;
+      ``is_deleted`` is false where the source has no such column).
+    * ``order_col``: the batch is reduced to the newest row per key. Without it
+      a batch that repeats a key is an error (``check_unique=False``: the caller
+      guarantees distinct keys).
     """
     keys = list(keys)
-    if check_unique:
+    if order_col is not None:
+        source = newest_per_key(source, keys, order_col)
+    elif check_unique:
         assert_unique_keys(source, keys)
     tcols = target.columns
     if set_cols is None:
         set_cols = [c for c in tcols if c not in keys and c in source.columns]
-    src_keys = source.select(*keys)
-    untouched = target.join(src_keys, keys, "left_anti")
-    j = target.alias("_tgt").join(source.alias("_src"), keys, "inner")
-    cond = update_condition if update_condition is not None else F.lit(True)
+    j = target.alias("_tgt").join(source.withColumn("_matched", F.lit(True)).alias("_src"), keys, "left")
+    matched = F.coalesce(F.col("_matched"), F.lit(False))
+    cond = matched & (update_condition if update_condition is not None else F.lit(True))
+    is_del = matched & F.coalesce(_s(delete_col), F.lit(False)) if delete_col is not None else F.lit(False)
     out = []
     for c in tcols:
         if c in keys:
             out.append(F.col(c))
             continue
-        v = _t(c)
-        if c in set_cols:
-            v = F.when(cond, _s(c)).otherwise(_t(c))
-        if delete_col is not None:
-            is_del = F.coalesce(_s(delete_col), F.lit(False))
-            if c == "is_deleted":
-                v = F.when(is_del, F.lit(True)).otherwise(v)
-            elif c == "deleted_at" and deleted_at_col is not None:
-                v = F.when(is_del, _s(deleted_at_col)).otherwise(v)
-            elif c in set_cols:
-                v = F.when(is_del, _t(c)).otherwise(v)
+        v = F.when(cond & ~is_del, _s(c)).otherwise(_t(c)) if c in set_cols else _t(c)
+        if delete_col is not None and c == "is_deleted":
+            v = F.when(is_del, F.lit(True)).otherwise(v)
+        elif delete_col is not None and c == "deleted_at" and deleted_at_col is not None:
+            v = F.when(is_del, _s(deleted_at_col)).otherwise(v)
         out.append(v.alias(c))
-    matched = j.select(*out)
-    parts = [untouched.select(*tcols), matched]
-    if insert:
-        new = source.join(target.select(*keys), keys, "left_anti")
-        if delete_col is not None:
-            new = new.filter(~F.coalesce(F.col(delete_col), F.lit(False)))
-        cols = [F.col(c) if c in new.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                for c in tcols]
-        parts.append(new.select(*cols))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    kept = j.select(*out)
+    if not insert:
+        return kept
+    present = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    new = source.join(present, keys, "left_anti")
+    if delete_col is not None:
+        new = new.filter(~F.coalesce(F.col(delete_col), F.lit(False)))
+
+    def fresh(c):
+        if c in new.columns:
+            return F.col(c)
+        empty = F.lit(False) if c == "is_deleted" else F.lit(None)
+        return empty.cast(target.schema[c].dataType).alias(c)
+
+    # Inserts are dealt anew: both sides come out of joins on the keys, and a union
+    # of equally partitioned sides fails where their partitions were coalesced
+    # differently at run time.
+    return kept.unionByName(new.select(*map(fresh, tcols)).hint("rebalance"))
 
 
 def conditional_update(df: DataFrame, predicate: Column, assignments: dict) -> DataFrame:
@@ -159,6 +180,15 @@ def as_of(log: DataFrame, keys, version: int) -> DataFrame:
             .select(*keys, *[F.col(f"_m.{c}").alias(c) for c in vals]))
 
 
+def as_of_time(log: DataFrame, keys, ts: Column) -> DataFrame:
+    """MRG6: table state at a time: at the last version committed by then (an
+    empty table before the first). The version is one small aggregate of the
+    log's two version columns."""
+    version = (log.filter(F.col("_commit_timestamp") <= ts)
+               .agg(F.max("_commit_version").alias("v")).first().v)
+    return as_of(log, keys, -1 if version is None else version)
+
+
 def version_diff(log: DataFrame, v_from: int, v_to: int) -> DataFrame:
     """Number of change rows between two versions (time-travel diff)."""
     return (log.filter((F.col("_commit_version") > v_from) & (F.col("_commit_version") <= v_to))
@@ -188,16 +218,25 @@ def get_watermark(watermarks: DataFrame, source_table: str, default=DEFAULT_STAR
                                F.lit(default).cast("timestamp_ntz")).alias("watermark_start"))
 
 
-def new_high_water(batch: DataFrame, ts_col: str, start: DataFrame) -> DataFrame:
-    """MRG9: max timestamp of the batch, never below the previous mark."""
-    return batch.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("_mx")).crossJoin(start).select(
-        F.greatest(F.coalesce("_mx", "watermark_start"), F.col("watermark_start")).alias("watermark_end"))
+def stored_mark(watermarks: DataFrame, source_table: str) -> DataFrame:
+    """One row ``stored``: the last mark as it stands (no lookback), or null."""
+    return watermarks.filter((F.col("source_table") == source_table) & F.col("is_active")).agg(
+        F.max("last_processed_timestamp").alias("stored"))
+
+
+def new_high_water(batch: DataFrame, ts_col: str, stored: DataFrame) -> DataFrame:
+    """MRG9: max timestamp of the batch, never below the stored mark. An empty
+    batch leaves the mark where it is; without mark and rows there is no row."""
+    return (batch.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("_mx")).crossJoin(stored)
+            .select(F.greatest("_mx", F.col("stored").cast("timestamp_ntz")).alias("watermark_end"))
+            .where("watermark_end IS NOT NULL"))
 
 
 def update_watermark(watermarks: DataFrame, marks: DataFrame) -> DataFrame:
     """MRG8: upsert new marks (rows of WATERMARK_SCHEMA) into the control
     table on (source_table, timestamp_column)."""
-    return merge_upsert(watermarks, marks, ["source_table", "timestamp_column"])
+    return merge_upsert(watermarks, marks, ["source_table", "timestamp_column"],
+                        order_col="last_processed_timestamp")
 
 
 def watermark_value(start: DataFrame):
@@ -265,6 +304,24 @@ def idempotency_diff(once: DataFrame, twice: DataFrame) -> DataFrame:
             .unionByName(twice.exceptAll(once).withColumn("_side", F.lit("only_twice"))))
 
 
+def idempotency_report(once: DataFrame, twice: DataFrame, keys) -> DataFrame:
+    """MRG12 as one row: rows of both sides, keys on one side only, and keys whose
+    rows differ. One full outer join on the keys."""
+    keys = list(keys)
+    vals = [c for c in once.columns if c not in keys]
+    a = once.select(*keys, F.struct(*vals).alias("_a"))
+    b = twice.select(*keys, F.struct(*[F.col(c) for c in vals]).alias("_b"))
+    j = a.join(b, keys, "full")
+
+    def n(cond):
+        return F.coalesce(F.sum(cond.cast("long")), F.lit(0).cast("long"))
+
+    has_a, has_b = F.col("_a").isNotNull(), F.col("_b").isNotNull()
+    return j.agg(n(has_a).alias("rows_once"), n(has_b).alias("rows_twice"), n(has_a & ~has_b).alias("only_once"),
+                 n(has_b & ~has_a).alias("only_twice"),
+                 n(has_a & has_b & ~F.col("_a").eqNullSafe(F.col("_b"))).alias("rows_changed"))
+
+
 def incremental_load(target: DataFrame, source: DataFrame, keys, ts_col: str,
                      watermarks: DataFrame, source_table: str, pipeline: str,
                      update_col: str = "updated_at", lookback: str = LOOKBACK):
@@ -272,17 +329,53 @@ def incremental_load(target: DataFrame, source: DataFrame, keys, ts_col: str,
 
     Returns lazy ``(after, new_watermarks, start, end)``. The caller writes
     ``after`` first and the watermark second, so a crash replays the batch
-    (at-least-once) and the newer-only merge makes the replay a no-op.
+    (at-least-once) and the newer-only merge makes the replay a no-op. A batch
+    with several versions of a key counts by its newest.
     """
     start = get_watermark(watermarks, source_table, lookback=lookback)
     wm = watermark_value(start)
     start = start.sparkSession.createDataFrame([(wm,)], "watermark_start timestamp_ntz")
     batch = incremental_filter(source, ts_col, wm)
-    after = merge_upsert(target, batch, keys,
+    after = merge_upsert(target, batch, keys, order_col=update_col,
                          update_condition=_s(update_col) > _t(update_col))
-    end = new_high_water(batch, ts_col, start)
+    end = new_high_water(batch, ts_col, stored_mark(watermarks, source_table))
     marks = end.select(F.lit(source_table).alias("source_table"), F.lit(ts_col).alias("timestamp_column"),
                        F.col("watermark_end").alias("last_processed_timestamp"),
                        F.col("watermark_end").alias("last_update_time"),
                        F.lit(pipeline).alias("pipeline_name"), F.lit(True).alias("is_active"))
     return after, update_watermark(watermarks, marks), start, end
+
+
+def run_incremental_load(target: DataFrame, source: DataFrame, keys, ts_col: str, watermarks: DataFrame,
+                         source_table: str, target_table: str, pipeline: str, run_id: str,
+                         write_target, write_watermarks, log_event, **options) -> DataFrame:
+    """MRG11 with its run log (MRG10): RUNNING, then SUCCESS with the rows read and
+    truly changed, or FAILED with the error, which is raised again.
+
+    ``write_target(df)`` and ``write_watermarks(df)`` write to a new place and
+    return what they wrote, read back; ``log_event(df)`` appends one event. The
+    watermark is written only after the target.
+    """
+    spark = target.sparkSession
+
+    def log(status, **fields):
+        now = spark.range(1).select(F.localtimestamp().alias("t")).first().t
+        log_event(run_event(spark, run_id=run_id, pipeline_name=pipeline, source_table=source_table,
+                            target_table=target_table, event_time=now, status=status, **fields))
+
+    log("RUNNING")
+    try:
+        after, marks, start, end = incremental_load(target, source, keys, ts_col, watermarks, source_table,
+                                                    pipeline, **options)
+        begun = start.first()[0]
+        rows_read = incremental_filter(source, ts_col, begun).count()
+        after = write_target(after)
+        counts = change_counts(change_feed(target, after, keys)).first().asDict()
+        ended = end.first()
+        write_watermarks(marks)
+    except Exception as e:
+        log("FAILED", error_message=f"{type(e).__name__}: {e}"[:2000])
+        raise
+    log("SUCCESS", rows_read=rows_read, watermark_start=begun, watermark_end=ended and ended[0],
+        **{k: v or 0 for k, v in counts.items()})
+    return after

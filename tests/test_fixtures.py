@@ -175,6 +175,73 @@ def test_upsert_semantics(spark):
     assert inc.idempotency_diff(once, twice).count() == 0
 
 
+def test_upsert_takes_the_newest_of_repeated_keys(spark):
+    tgt = _snap(spark, [(1, 1, TS(2024, 1, 2)), (2, 1, TS(2024, 1, 5)), (None, 1, TS(2024, 1, 1))])
+    src = _snap(spark, [(1, 7, TS(2024, 1, 3)), (1, 8, TS(2024, 1, 4)), (1, 6, None), (3, 1, TS(2024, 1, 1)),
+                        (3, 2, TS(2024, 1, 2)), (3, 2, TS(2024, 1, 2)), (2, 9, TS(2024, 1, 4))])
+    out = inc.merge_upsert(tgt, src, ["order_id"], order_col="updated_at",
+                           update_condition=F.col("_src.updated_at") > F.col("_tgt.updated_at")).collect()
+    assert sorted((str(r.order_id), r.n) for r in out) == [("1", 8), ("2", 1), ("3", 2), ("None", 1)]
+    with pytest.raises(inc.DuplicateKeyError):  # no order given: repeated keys are refused
+        inc.merge_upsert(tgt, src, ["order_id"])
+
+
+def _marks(spark, rows):
+    return spark.createDataFrame(rows, inc.WATERMARK_SCHEMA)
+
+
+def test_high_water_mark_never_falls(spark):
+    stored = TS(2024, 1, 1, 12, 0)
+    marks = _marks(spark, [("s", "updated_at", stored, stored, "p", True)])
+    tgt = _snap(spark, [(1, 1, TS(2024, 1, 1))])
+    none = _snap(spark, [])
+    for batch, want in ((none, stored), (_snap(spark, [(1, 2, TS(2024, 1, 1, 11, 0))]), stored),
+                        (_snap(spark, [(1, 2, TS(2024, 1, 1, 13, 0))]), TS(2024, 1, 1, 13, 0))):
+        _, after, _, _ = inc.incremental_load(tgt, batch, ["order_id"], "updated_at", marks, "s", "p")
+        assert [r.last_processed_timestamp for r in after.collect()] == [want]
+    _, after, _, _ = inc.incremental_load(tgt, none, ["order_id"], "updated_at", _marks(spark, []), "s", "p")
+    assert after.collect() == []  # no mark, no rows: nothing to write
+
+
+def test_logged_load(spark):
+    events, written = [], []
+    tgt = _snap(spark, [(1, 1, TS(2024, 1, 1)), (2, 1, TS(2024, 1, 1))])
+    src = _snap(spark, [(1, 2, TS(2024, 1, 2)), (3, 1, TS(2024, 1, 2)), (3, 0, TS(2024, 1, 1))])
+
+    def write(df):
+        written.append(df.collect())
+        return spark.createDataFrame(written[-1], df.schema)
+
+    def load(**writers):
+        return inc.run_incremental_load(tgt, src, ["order_id"], "updated_at", _marks(spark, []), "s", "t", "p", "r1",
+                                        **{"write_target": write, "write_watermarks": write,
+                                           "log_event": lambda e: events.extend(e.collect())} | writers)
+
+    assert sorted((r.order_id, r.n) for r in load().collect()) == [(1, 2), (2, 1), (3, 1)]
+    assert [e.status for e in events] == ["RUNNING", "SUCCESS"]
+    assert (events[1].rows_read, events[1].rows_inserted, events[1].rows_updated, events[1].rows_deleted) == (3, 1, 1, 0)
+    assert events[1].watermark_end == TS(2024, 1, 2) and len(written) == 2
+
+    def broken(df):
+        raise OSError("can't write 'there'")
+
+    with pytest.raises(OSError):
+        load(write_target=broken)
+    assert events[-1].status == "FAILED" and "can't write 'there'" in events[-1].error_message
+    assert len(written) == 2  # and no watermark
+
+
+def test_as_of_time(spark):
+    v0 = _snap(spark, [(1, 1, TS(2024, 1, 1))])
+    v1 = _snap(spark, [(1, 2, TS(2024, 1, 2))])
+    log = inc.snapshot_log(v0, 0).withColumn("_commit_timestamp", F.lit(TS(2024, 1, 1)).cast("timestamp_ntz"))
+    log = log.unionByName(inc.change_feed(v0, v1, ["order_id"], 1, F.lit(TS(2024, 1, 3)).cast("timestamp_ntz")))
+    for day, n in ((1, [1]), (2, [1]), (3, [2])):
+        at = F.lit(TS(2024, 1, day)).cast("timestamp_ntz")
+        assert [r.n for r in inc.as_of_time(log, ["order_id"], at).collect()] == n
+    assert inc.as_of_time(log, ["order_id"], F.lit(TS(2023, 1, 1)).cast("timestamp_ntz")).collect() == []
+
+
 def test_change_feed_and_as_of(spark):
     v0 = _snap(spark, [(1, 1, TS(2024, 1, 1)), (2, 1, TS(2024, 1, 1))])
     v1 = _snap(spark, [(1, 2, TS(2024, 1, 2)), (3, 1, TS(2024, 1, 2))])
@@ -205,6 +272,10 @@ def test_soft_delete(spark):
                                                    delete_col="del", deleted_at_col="at").collect()}
     assert out[1].is_deleted and out[1].n == 1 and out[1].deleted_at == TS(2024, 1, 9)
     assert not out[2].is_deleted
+    new = src.withColumns({"order_id": F.lit(7).cast("long"), "del": F.lit(False)})
+    out = {r.order_id: r for r in inc.merge_upsert(tgt, new, ["order_id"], set_cols=["n", "updated_at"],
+                                                   delete_col="del", deleted_at_col="at").collect()}
+    assert out[7].is_deleted is False and out[7].deleted_at is None
 
 
 def test_csv_quarantine(spark, tmp_path):
