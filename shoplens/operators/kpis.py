@@ -9,19 +9,24 @@ channel list, never by traffic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import micro_units, month_key, month_start, pct, pct_change, ratio
+from ..functions.exprs import micro_units, month_index, month_key, month_start, pct, pct_change, ratio
 from ..functions.labels import rag_status, trend_label
+from .marketing import previous_period
 
 M4 = "decimal(18,4)"
 D12 = "decimal(38,6)"
 
 
-def daily_metrics(orders: DataFrame, swo: DataFrame | None = None) -> DataFrame:
+def daily_metrics(orders: DataFrame, swo: DataFrame | None = None,
+                  visits: DataFrame | None = None) -> DataFrame:
     """GD23: per day orders, revenue, sessions, CVR, refund rate.
 
+    With ``visits`` (session_ts, placed_order) orders count on their own day and
+    sessions on theirs; the two sides are joined day by day.
+
     With sessions (``swo``: sessions with per-session order roll-up) days are
     *session* days and orders are attributed to their session's day; without
     sessions (order-only data) days are order days and session columns are
@@ -34,13 +39,19 @@ def daily_metrics(orders: DataFrame, swo: DataFrame | None = None) -> DataFrame:
                      F.count(F.lit(1)).alias("daily_sessions"),
                      F.sum("placed_order").cast("long").alias("converted_sessions"),
                      F.sum("session_refunded_orders").cast("long").alias("refunded_orders")))
-    return (orders.groupBy(F.to_date("order_ts").alias("metric_date"))
-            .agg(F.count(F.lit(1)).alias("daily_orders"),
-                 F.sum(F.col("gross_revenue").cast(M4)).cast(M4).alias("daily_revenue"),
-                 F.lit(None).cast("long").alias("daily_sessions"),
-                 F.lit(None).cast("long").alias("converted_sessions"),
-                 F.sum(F.when(F.col("has_refund"), 1).otherwise(0)).cast("long")
-                 .alias("refunded_orders")))
+    o = (orders.groupBy(F.to_date("order_ts").alias("metric_date"))
+         .agg(F.count(F.lit(1)).alias("daily_orders"),
+              F.sum(F.col("gross_revenue").cast(M4)).cast(M4).alias("daily_revenue"),
+              F.sum(F.when(F.col("has_refund"), 1).otherwise(0)).cast("long").alias("refunded_orders")))
+    columns = ["metric_date", "daily_orders", "daily_revenue", "daily_sessions", "converted_sessions",
+               "refunded_orders"]
+    if visits is None:
+        return o.withColumns({c: F.lit(None).cast("long") for c in ("daily_sessions", "converted_sessions")}
+                             ).select(*columns)
+    v = (visits.groupBy(F.to_date("session_ts").alias("metric_date"))
+         .agg(F.count(F.lit(1)).alias("daily_sessions"),
+              F.sum("placed_order").cast("long").alias("converted_sessions")))
+    return o.join(v, "metric_date", "full").select(*columns)
 
 
 def dense_calendar(daily: DataFrame, date_col: str = "metric_date") -> DataFrame:
@@ -59,11 +70,10 @@ def dense_calendar(daily: DataFrame, date_col: str = "metric_date") -> DataFrame
     })
 
 
-def daily_kpis(orders: DataFrame, swo: DataFrame | None = None) -> DataFrame:
+def daily_kpis(orders: DataFrame, swo: DataFrame | None = None, visits: DataFrame | None = None) -> DataFrame:
     """GD23 on a dense calendar, with CVR and refund rate (NULL-guarded)."""
-    d = daily_metrics(orders, swo)
-    d = dense_calendar(d)
-    if swo is not None:
+    d = dense_calendar(daily_metrics(orders, swo, visits))
+    if swo is not None or visits is not None:
         d = d.withColumns({"daily_sessions": F.coalesce("daily_sessions", F.lit(0)).cast("long"),
                            "converted_sessions": F.coalesce("converted_sessions", F.lit(0)).cast("long")})
     return d.withColumns({
@@ -108,7 +118,8 @@ def period_over_period(daily: DataFrame, lags=(("wow", 7), ("mom", 30), ("yoy",
             out = out.withColumn(f"{base}_prev_{n}d", prev.cast("double") if m == "daily_revenue" else prev)
             out = out.withColumn(f"{base}_{name}_pct", pct_change(m, f"{base}_prev_{n}d"))
             out = out.withColumn(f"{base}_{name}_trend", trend_label(f"{base}_{name}_pct"))
-    return out
+    cvr_change = pct_change("daily_cvr", F.lag("daily_cvr", 30).over(w))
+    return out.withColumn("cvr_trend_30d", trend_label(cvr_change))
 
 
 def monthly_metrics(orders: DataFrame, swo: DataFrame | None = None) -> DataFrame:
@@ -142,20 +153,28 @@ SCORE_WEIGHTS = (0.25, 0.25, 0.25, 0.25)   # growth, cvr, refund, cross-sell
 # ---------------------------------------------------------------------------
 
 
+def month_number(key: str) -> Column:
+    """Calendar number of a 'yyyy-MM' key."""
+    return month_index(month_start(key))
+
+
 def executive_scorecard(monthly: DataFrame, refund_target=REFUND_RATE_TARGET,
                         cross_sell_target=CROSS_SELL_TARGET, weights=SCORE_WEIGHTS) -> DataFrame:
-    """GD26 + WN9 + WN10 + PRJ17: 4 component scores, composite, RAG."""
-    w = Window.orderBy("score_month")
-    m = monthly.withColumns({
-        "prior_month_revenue": F.lag("monthly_revenue", 1).over(w),
-        "cvr_90d_avg": _wavg("monthly_cvr", w.rowsBetween(-2, 0)),
-    })
+    """GD26 + WN9 + WN10 + PRJ17: 4 component scores, composite, RAG. The prior
+    month is the calendar month before; growth and CVR without a value to compare
+    score 50."""
+    # Three calendar months, whether or not each has a row.
+    w = Window.orderBy(month_number("score_month")).rangeBetween(-2, 0)
+    m = previous_period(monthly, [], "score_month", ["monthly_revenue"], "_prior")
+    m = m.withColumnRenamed("monthly_revenue_prior", "prior_month_revenue").withColumn(
+        "cvr_90d_avg", _wavg("monthly_cvr", w))
     g = F.try_divide(F.col("monthly_revenue") - F.col("prior_month_revenue"),
                      F.col("prior_month_revenue"))
     growth = (F.when(F.col("prior_month_revenue").isNull(), 50.0).when(g > 0.10, 100.0)
               .when(g > 0.05, 85.0).when(g > 0, 70.0).when(g > -0.05, 50.0).otherwise(25.0))
     cvr, avg = F.col("monthly_cvr"), F.col("cvr_90d_avg")
-    cvr_s = (F.when(cvr > avg * 1.10, 100.0).when(cvr > avg * 1.05, 85.0)
+    cvr_s = (F.when(cvr.isNull(), 50.0)  # no sessions: as for no prior revenue
+             .when(cvr > avg * 1.10, 100.0).when(cvr > avg * 1.05, 85.0)
              .when(cvr >= avg * 0.95, 70.0).when(cvr >= avg * 0.90, 50.0).otherwise(25.0))
     rr = F.col("monthly_refund_rate")
     ref_s = (F.when(rr < refund_target * 0.5, 100.0).when(rr < refund_target * 0.75, 85.0)
@@ -169,8 +188,7 @@ def executive_scorecard(monthly: DataFrame, refund_target=REFUND_RATE_TARGET,
     comp = (F.col("revenue_growth_score") * weights[0] + F.col("cvr_performance_score") * weights[1]
             + F.col("refund_rate_score") * weights[2] + F.col("cross_sell_rate_score") * weights[3])
     m = m.withColumn("composite_performance_score", comp)
-    return m.withColumn("rag_status", rag_status("composite_performance_score")) \
-        .drop("cvr_90d_avg")
+    return m.withColumn("rag_status", rag_status("composite_performance_score"))
 
 
 # --- fixed values: channel efficiency ---------------------------------------
@@ -236,8 +254,8 @@ def monthly_revenue(orders: DataFrame, ts_col="order_ts", rev_col="gross_revenue
 def revenue_forecast(monthly: DataFrame, history: int = 6, horizon: int = 3) -> DataFrame:
     """GD28 + WN14 + AG13 + SE1: OLS on the last ``history`` months by month
     index, ``horizon`` months ahead, appended to the actuals."""
-    w = Window.orderBy("year_month")
-    m = monthly.withColumn("month_index", F.row_number().over(w))
+    first = monthly.agg(F.min(month_number("year_month")).alias("_first"))
+    m = monthly.crossJoin(first).withColumn("month_index", month_number("year_month") - F.col("_first") + 1)
     last = m.agg(F.max("year_month").alias("_last"))
     recent = (m.crossJoin(last)
               .filter(month_start("year_month") >= F.add_months(month_start("_last"), -(history - 1))))
@@ -255,8 +273,8 @@ def revenue_forecast(monthly: DataFrame, history: int = 6, horizon: int = 3) ->
 
 def revenue_inflections(monthly: DataFrame, threshold: float = 20.0) -> DataFrame:
     """GD29 + WN10: months whose revenue moved more than ``threshold`` % MoM."""
-    w = Window.orderBy("year_month")
-    m = monthly.withColumn("prev_month_revenue", F.lag("revenue", 1).over(w))
+    m = previous_period(monthly, [], "year_month", ["revenue"], "_prev").withColumnRenamed(
+        "revenue_prev", "prev_month_revenue")
     m = m.withColumn("pct_change", pct_change("revenue", "prev_month_revenue"))
     shown = F.format_number(F.abs("pct_change"), 1)
     m = m.filter(F.abs("pct_change") > threshold)
@@ -302,17 +320,22 @@ def anomalies(daily: DataFrame, metric: str = "daily_revenue", lookback: int = 2
               z: float = 3.0) -> DataFrame:
     """GD31: rolling z-score against the previous ``lookback`` days.
 
-    mean and variance come from exact DECIMAL sums of x and x^2 over the
-    frame, so the score does not depend on summation order.
+    mean and variance come from exact DECIMAL sums over the frame, in whole
+    cents (a day's revenue up to 10^15), so the score does not depend on summation
+    order.
     """
     w = Window.orderBy("metric_date").rowsBetween(-lookback, -1)
     x = F.col(metric).cast(M4)
     n = F.count(x).over(w).cast("double")
-    s = F.sum(x).over(w).cast("double")
-    ss = F.sum((x * x).cast("decimal(38,8)")).over(w).cast("double")
-    mean = F.try_divide(s, n)
-    var = F.try_divide(ss - F.try_divide(s * s, n), n - 1.0)
-    sd = F.sqrt(F.greatest(var, F.lit(0.0)))
+    # n * sum(x^2) - sum(x)^2 over cents as whole numbers: nothing cancels before
+    # the subtraction, however small the deviation is against the mean.
+    cents = F.round(x * 100).cast("decimal(19,0)")
+    s = F.sum(cents).over(w)
+    ss = F.sum((cents * cents).cast("decimal(38,0)")).over(w)
+    spread = (F.count(x).over(w).cast("decimal(5,0)") * ss).cast("decimal(38,0)") - (
+        s.cast("decimal(19,0)") * s.cast("decimal(19,0)")).cast("decimal(38,0)")
+    mean = F.try_divide(F.sum(x).over(w).cast("double"), n)
+    sd = F.sqrt(F.try_divide(spread.cast("double"), n * (n - 1.0))) / 100.0
     out = daily.withColumns({"baseline_mean": mean, "baseline_std": sd})
     out = out.withColumn("z_score", F.try_divide(F.col(metric).cast("double") - F.col("baseline_mean"),
                                                  F.when(F.col("baseline_std") > 0, F.col("baseline_std"))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from ..operators import funnel as fn
 from ..operators import kpis as kp
+from ..sources import adapters as ad
 from ..operators.customers import user_order_summary
 from .catalog import register
 from .oracle_ctes import CTES, _div
@@ -42,6 +43,19 @@ def _kpi(dense: str) -> str:
   {_div('refunded_orders', 'daily_orders')} AS daily_refund_rate FROM ({dense}) t"""
 
 
+CTES["visits"] = f"""
+SELECT s.session_ts - ({ad.VISITS_BACK} + s.user_id % {ad.VISITS_SPREAD}) * INTERVAL 1 MONTH AS session_ts,
+  CASE WHEN o.website_session_id IS NULL THEN 0 ELSE 1 END AS placed_order
+FROM sess s LEFT JOIN (SELECT DISTINCT website_session_id FROM c_orders_raw) o
+  ON s.website_session_id = o.website_session_id"""
+CTES["mv_daily"] = """
+SELECT coalesce(o.metric_date, v.metric_date) AS metric_date, o.daily_orders, o.daily_revenue, v.daily_sessions,
+  v.converted_sessions, o.refunded_orders
+FROM m_daily o FULL JOIN (
+  SELECT CAST(session_ts AS DATE) AS metric_date, count(*) AS daily_sessions,
+    CAST(sum(placed_order) AS BIGINT) AS converted_sessions FROM visits GROUP BY 1) v
+  ON o.metric_date = v.metric_date"""
+CTES["mv_dense"] = _kpi(_dense("mv_daily", True))
 CTES["c_dense"] = _kpi(_dense("c_daily", True))
 CTES["m_dense"] = _kpi(_dense("m_daily", False))
 
@@ -74,10 +88,15 @@ ROLL = ", ".join(f"{_wavg_sql(m, n)} AS {m.replace('daily_', '')}_{n}d_avg"
 
 
 @register("gd24_rolling_kpis", f"""SELECT * REPLACE (CAST(metric_date AS VARCHAR) AS metric_date,
-  CAST(daily_revenue AS DOUBLE) AS daily_revenue) FROM (SELECT *, {ROLL} FROM m_dense) t""")
+  CAST(daily_revenue AS DOUBLE) AS daily_revenue) FROM (SELECT *, {ROLL} FROM mv_dense) t""")
 def gd24_rolling_kpis(spark, sf_dir):
-    """GD24 + WN8: 7/30/90-day trailing averages on the order calendar."""
-    return kp.rolling_kpis(kp.daily_kpis(CommerceWorld(spark, sf_dir).orders))
+    """GD24 + WN8: 7/30/90-day trailing averages on the order calendar, with the
+    sessions of its days."""
+    return kp.rolling_kpis(_daily(spark, sf_dir))
+
+
+def _daily(spark, sf_dir):
+    return kp.daily_kpis(CommerceWorld(spark, sf_dir).orders, visits=ClickWorld(spark, sf_dir).visits)
 
 
 def _pop_sql() -> str:
@@ -92,26 +111,37 @@ def _pop_sql() -> str:
             cols.append(f"{chg} AS {base}_{name}_pct")
             cols.append(f"CASE WHEN {chg} > 5.0 THEN 'UP' WHEN {chg} < -5.0 THEN 'DOWN' ELSE 'STABLE' END "
                         f"AS {base}_{name}_trend")
+    prev = "lag(daily_cvr, 30) OVER (ORDER BY metric_date)"
+    chg = f"((daily_cvr - {prev}) / NULLIF({prev}, 0) * 100.0)"
+    cols.append(f"CASE WHEN {chg} > 5.0 THEN 'UP' WHEN {chg} < -5.0 THEN 'DOWN' ELSE 'STABLE' END AS cvr_trend_30d")
     return ", ".join(cols)
 
 
 @register("gd25_period_over_period", f"""SELECT * REPLACE (CAST(metric_date AS VARCHAR) AS metric_date,
-  CAST(daily_revenue AS DOUBLE) AS daily_revenue) FROM (SELECT *, {_pop_sql()} FROM m_dense) t""")
+  CAST(daily_revenue AS DOUBLE) AS daily_revenue) FROM (SELECT *, {_pop_sql()} FROM mv_dense) t""")
 def gd25_period_over_period(spark, sf_dir):
     """GD25 + WN7 + PRJ15: WoW / MoM / YoY by calendar day with trend labels."""
-    return kp.period_over_period(kp.daily_kpis(CommerceWorld(spark, sf_dir).orders))
+    return kp.period_over_period(_daily(spark, sf_dir))
 
 
 CTES["m_monthly"] = """
-SELECT strftime(order_ts, '%Y-%m') AS score_month, count(*) AS monthly_orders,
-  CAST(sum(CAST(gross_revenue AS DECIMAL(18,4))) AS DOUBLE) AS monthly_revenue,
-  CAST(sum(CAST(net_margin AS DECIMAL(18,4))) AS DOUBLE) AS monthly_margin,
-  CAST(NULL AS DOUBLE) AS monthly_cvr,
-  CAST(sum(CASE WHEN has_refund THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0)
-    AS monthly_refund_rate,
-  CAST(sum(CASE WHEN is_cross_sell_order THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0)
-    AS monthly_cross_sell_rate
-FROM m_orders GROUP BY 1"""
+SELECT coalesce(o.score_month, v.score_month) AS score_month, coalesce(o.n, 0) AS monthly_orders,
+  o.monthly_revenue, o.monthly_margin,
+  CAST(v.conv AS DOUBLE) / NULLIF(CAST(v.n AS DOUBLE), 0) AS monthly_cvr,
+  CAST(o.refunded AS DOUBLE) / NULLIF(CAST(coalesce(o.n, 0) AS DOUBLE), 0) AS monthly_refund_rate,
+  CAST(o.cross AS DOUBLE) / NULLIF(CAST(coalesce(o.n, 0) AS DOUBLE), 0) AS monthly_cross_sell_rate
+FROM (
+  SELECT strftime(order_ts, '%Y-%m') AS score_month, count(*) AS n,
+    CAST(sum(CAST(gross_revenue AS DECIMAL(18,4))) AS DOUBLE) AS monthly_revenue,
+    CAST(sum(CAST(net_margin AS DECIMAL(18,4))) AS DOUBLE) AS monthly_margin,
+    sum(CASE WHEN has_refund THEN 1 ELSE 0 END) AS refunded,
+    sum(CASE WHEN is_cross_sell_order THEN 1 ELSE 0 END) AS cross
+  FROM m_orders GROUP BY 1) o
+FULL JOIN (SELECT strftime(session_ts, '%Y-%m') AS score_month, count(*) AS n, sum(placed_order) AS conv
+           FROM visits GROUP BY 1) v ON o.score_month = v.score_month"""
+CTES["m_scored"] = """
+SELECT *, CAST(substr(score_month, 1, 4) AS INTEGER) * 12 + CAST(substr(score_month, 6, 2) AS INTEGER) AS mi
+FROM m_monthly"""
 
 
 @register("gd26_executive_scorecard", """
@@ -123,14 +153,14 @@ SELECT *, revenue_growth_score * CAST(0.25 AS DOUBLE) + cvr_performance_score *
     + cross_sell_rate_score * CAST(0.25 AS DOUBLE) >= 60 THEN 'AMBER' ELSE 'RED' END AS rag_status
 FROM (
   SELECT score_month, monthly_orders, monthly_revenue, monthly_margin, monthly_cvr, monthly_refund_rate,
-    monthly_cross_sell_rate, prior_month_revenue,
+    monthly_cross_sell_rate, prior_month_revenue, cvr_avg AS cvr_90d_avg,
     CASE WHEN prior_month_revenue IS NULL THEN CAST(50.0 AS DOUBLE)
       WHEN (monthly_revenue - prior_month_revenue) / NULLIF(prior_month_revenue, 0) > 0.10 THEN CAST(100.0 AS DOUBLE)
       WHEN (monthly_revenue - prior_month_revenue) / NULLIF(prior_month_revenue, 0) > 0.05 THEN CAST(85.0 AS DOUBLE)
       WHEN (monthly_revenue - prior_month_revenue) / NULLIF(prior_month_revenue, 0) > 0 THEN CAST(70.0 AS DOUBLE)
       WHEN (monthly_revenue - prior_month_revenue) / NULLIF(prior_month_revenue, 0) > -0.05 THEN CAST(50.0 AS DOUBLE)
       ELSE CAST(25.0 AS DOUBLE) END AS revenue_growth_score,
-    CASE WHEN monthly_cvr > cvr_avg * 1.10 THEN CAST(100.0 AS DOUBLE) WHEN monthly_cvr > cvr_avg * 1.05 THEN CAST(85.0 AS DOUBLE)
+    CASE WHEN monthly_cvr IS NULL THEN CAST(50.0 AS DOUBLE) WHEN monthly_cvr > cvr_avg * 1.10 THEN CAST(100.0 AS DOUBLE) WHEN monthly_cvr > cvr_avg * 1.05 THEN CAST(85.0 AS DOUBLE)
       WHEN monthly_cvr >= cvr_avg * 0.95 THEN CAST(70.0 AS DOUBLE) WHEN monthly_cvr >= cvr_avg * 0.90 THEN CAST(50.0 AS DOUBLE)
       ELSE CAST(25.0 AS DOUBLE) END AS cvr_performance_score,
     CASE WHEN monthly_refund_rate < 0.05 * 0.5 THEN CAST(100.0 AS DOUBLE) WHEN monthly_refund_rate < 0.05 * 0.75 THEN CAST(85.0 AS DOUBLE)
@@ -139,13 +169,16 @@ FROM (
     CASE WHEN monthly_cross_sell_rate > 0.08 * 1.25 THEN CAST(100.0 AS DOUBLE) WHEN monthly_cross_sell_rate > 0.08 * 1.10 THEN CAST(85.0 AS DOUBLE)
       WHEN monthly_cross_sell_rate >= 0.08 THEN CAST(70.0 AS DOUBLE) WHEN monthly_cross_sell_rate >= 0.08 * 0.75 THEN CAST(50.0 AS DOUBLE)
       ELSE CAST(25.0 AS DOUBLE) END AS cross_sell_rate_score
-  FROM (SELECT *, lag(monthly_revenue) OVER (ORDER BY score_month) AS prior_month_revenue,
+  FROM (SELECT m.*, p.monthly_revenue AS prior_month_revenue, a.cvr_avg
+        FROM m_scored m LEFT JOIN m_scored p ON p.mi = m.mi - 1
+        JOIN (SELECT mi,
           CAST(sum(CAST(floor(monthly_cvr * 1000000.0 + 0.5) AS BIGINT)) OVER w AS DOUBLE)
             / NULLIF(CAST(count(monthly_cvr) OVER w AS DOUBLE), 0) / 1000000.0 AS cvr_avg
-        FROM m_monthly WINDOW w AS (ORDER BY score_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) a) b""")
+          FROM m_scored WINDOW w AS (ORDER BY mi RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)) a ON a.mi = m.mi) c) b""")
 def gd26_executive_scorecard(spark, sf_dir):
     """GD26 + WN9 + WN10 + PRJ17: monthly scorecard, composite and RAG."""
-    return kp.executive_scorecard(kp.monthly_metrics(CommerceWorld(spark, sf_dir).orders))
+    return kp.executive_scorecard(kp.monthly_metrics(CommerceWorld(spark, sf_dir).orders,
+                                                     ClickWorld(spark, sf_dir).visits))
 
 
 @register("gd27_channel_efficiency", """
@@ -194,7 +227,9 @@ FROM m_orders GROUP BY 1"""
 
 
 @register("gd28_revenue_forecast", """
-WITH mi AS (SELECT *, row_number() OVER (ORDER BY year_month) AS month_index FROM m_month_rev),
+WITH mn AS (SELECT *, CAST(substr(year_month, 1, 4) AS INTEGER) * 12 + CAST(substr(year_month, 6, 2) AS INTEGER) AS no
+            FROM m_month_rev),
+mi AS (SELECT year_month, revenue, no - (SELECT min(no) FROM mn) + 1 AS month_index FROM mn),
 last6 AS (SELECT * FROM mi WHERE strptime(year_month || '-01', '%Y-%m-%d')
             >= (SELECT max(strptime(year_month || '-01', '%Y-%m-%d')) FROM mi) - INTERVAL 5 MONTH),
 fit AS (SELECT regr_slope(revenue, CAST(month_index AS DOUBLE)) AS slope,
@@ -216,7 +251,9 @@ SELECT year_month, revenue, prev_month_revenue, pct_change,
        ELSE 'Revenue down ' || format('{:,.1f}', abs(pct_change)) || '%' END AS annotation_label,
   CASE WHEN pct_change > 20 THEN 'Increase' ELSE 'Decrease' END AS direction
 FROM (SELECT *, (revenue - prev_month_revenue) / NULLIF(prev_month_revenue, 0) * 100.0 AS pct_change
-      FROM (SELECT *, lag(revenue) OVER (ORDER BY year_month) AS prev_month_revenue FROM m_month_rev) a) b
+      FROM (SELECT m.year_month, m.revenue, p.revenue AS prev_month_revenue
+            FROM m_month_rev m LEFT JOIN m_month_rev p
+              ON p.year_month = strftime(strptime(m.year_month || '-01', '%Y-%m-%d') - INTERVAL 1 MONTH, '%Y-%m')) a) b
 WHERE abs(pct_change) > 20""")
 def gd29_revenue_inflections(spark, sf_dir):
     """GD29 + WN10: months with more than 20% MoM revenue change."""
@@ -258,9 +295,11 @@ SELECT * EXCLUDE (n, s, ss) REPLACE (CAST(metric_date AS VARCHAR) AS metric_date
   coalesce(abs((CAST(daily_revenue AS DOUBLE) - baseline_mean) / NULLIF(baseline_std, 0)) > 3.0, false) AS is_anomaly
 FROM (
   SELECT *, s / NULLIF(n, 0) AS baseline_mean,
-    sqrt(greatest((ss - (s * s) / NULLIF(n, 0)) / NULLIF(n - 1.0, 0), 0.0)) AS baseline_std
+    sqrt(ss / NULLIF(n * (n - 1.0), 0)) / 100.0 AS baseline_std
   FROM (SELECT *, CAST(count(daily_revenue) OVER w AS DOUBLE) AS n, CAST(sum(daily_revenue) OVER w AS DOUBLE) AS s,
-          CAST(sum(CAST(daily_revenue AS DECIMAL(38,4)) * CAST(daily_revenue AS DECIMAL(38,4))) OVER w AS DOUBLE) AS ss
+          CAST(count(daily_revenue) OVER w * sum(CAST(round(daily_revenue * 100) AS HUGEINT) * CAST(round(daily_revenue * 100) AS HUGEINT)) OVER w
+            - sum(CAST(round(daily_revenue * 100) AS HUGEINT)) OVER w * sum(CAST(round(daily_revenue * 100) AS HUGEINT)) OVER w
+            AS DOUBLE) AS ss
         FROM m_dense WINDOW w AS (ORDER BY metric_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)) a) b""")
 def gd31_anomalies(spark, sf_dir):
     """GD31: rolling z-score anomaly flag on daily revenue."""

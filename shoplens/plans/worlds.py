@@ -59,6 +59,10 @@ class ClickWorld(_World):
     def sessions(self) -> DataFrame:
         return enrich_sessions(self.raw_sessions)
 
+    @cached_property
+    def visits(self) -> DataFrame:
+        return ad.spread_visits(self.raw_sessions, self.raw_orders)
+
     @cached_property
     def funnel(self) -> DataFrame:
         return fn.funnel_steps(self.pageviews)

@@ -164,6 +164,22 @@ def click_products(ev: DataFrame) -> DataFrame:
                          "created_at", name.alias("product_name"))
 
 
+# --- fixed values: months that click sessions move back to the order history
+VISITS_BACK, VISITS_SPREAD = 270, 79
+# ---------------------------------------------------------------------------
+
+
+def spread_visits(sessions: DataFrame, orders: DataFrame) -> DataFrame:
+    """Click sessions over the years of the order history (the clicks are one
+    month): each user's sessions move back by whole months, VISITS_BACK and the
+    user's rest modulo VISITS_SPREAD. Columns session_ts, placed_order."""
+    bought = orders.select("website_session_id").distinct().withColumn("_bought", F.lit(1))
+    back = F.make_ym_interval(F.lit(0), (F.lit(VISITS_BACK) + F.col("user_id") % VISITS_SPREAD).cast("int"))
+    return sessions.join(bought, "website_session_id", "left").select(
+        (F.col("created_at").cast("timestamp_ntz") - back).alias("session_ts"),
+        F.coalesce("_bought", F.lit(0)).alias("placed_order"))
+
+
 # -------------------------------------------------------------- commerce world
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
