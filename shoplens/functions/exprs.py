@@ -89,4 +89,5 @@ def avg_exact(c) -> Column:
     to 6 decimals as integers (``micro_units``), summed exactly, divided
     once. The result does not depend on how rows reached the aggregate."""
     x = micro_units(c)
-    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")) / F.lit(1e6)
+    total = F.sum(x.cast("decimal(20,0)"))  # a BIGINT sum overflows near 1e11 rows
+    return F.try_divide(total.cast("double"), F.count(x).cast("double")) / F.lit(1e6)

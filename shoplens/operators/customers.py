@@ -132,13 +132,14 @@ def ltv_by_channel(users: DataFrame) -> DataFrame:
 
 
 def executive_kpis(orders: DataFrame) -> DataFrame:
-    """GD21: one row, 16 metrics (AG11)."""
+    """GD21: one row, 17 metrics (AG11)."""
     return orders.agg(
         F.count("order_id").alias("total_orders"),
         F.countDistinct("user_id").alias("total_customers"),
         _sum_money("gross_revenue").alias("total_gross_revenue"),
         _sum_money("net_revenue").alias("total_net_revenue"),
         _sum_money("net_margin").alias("total_net_margin"),
+        _sum_money("gross_cogs").alias("total_cogs"),
         avg_exact("gross_margin_pct").alias("avg_gross_margin_pct"),
         avg_exact("net_margin_pct").alias("avg_net_margin_pct"),
         _avg_money("gross_revenue").alias("avg_order_value"),

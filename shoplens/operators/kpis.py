@@ -200,7 +200,7 @@ EFFICIENCY_LAST = "TIER_3_LOW_EFFICIENCY"
 
 
 def channel_efficiency(swo: DataFrame, users_first_channel: DataFrame,
-                       channel_col: str = "marketing_channel", min_sessions: int = 0) -> DataFrame:
+                       channel_col: str = "marketing_channel", min_sessions: int = 100) -> DataFrame:
     """GD27 + WN11 + WN12 + FLT2: five dense ranks, weighted composite, tier.
 
     Per-channel figures come from session-grain rows (orders already rolled

@@ -62,9 +62,11 @@ def training_set(sessions: DataFrame, orders: DataFrame) -> DataFrame:
             .filter(F.col("website_session_id").isNotNull()))
 
 
-def stratified_sample(df: DataFrame, label="converted_label", frac=SAMPLE_FRAC, seed=SEED) -> DataFrame:
-    """ML2: the same fraction of each class (``sampleBy``)."""
-    return df.sampleBy(label, {0: frac, 1: frac}, seed)
+def stratified_sample(df: DataFrame, key="website_session_id", frac=SAMPLE_FRAC, seed=SEED) -> DataFrame:
+    """ML2: the same fraction of each class, by a hash of the key: which rows are
+    taken doesn't depend on how they are partitioned."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    return df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1000 < int(frac * 1000))
 
 
 def split(df: DataFrame, key="website_session_id", train_pct=TRAIN_PCT, seed=SEED):

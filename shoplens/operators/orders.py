@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import MONEY, money, month_index, pct
 
+# --- fixed values: output columns of the order and item tables ----------------
 ORDER_COLUMNS = [
     "order_id", "order_ts", "order_year", "order_quarter", "order_month",
     "website_session_id", "user_id",
@@ -27,6 +28,9 @@ ORDER_COLUMNS = [
 ]
 
 
+# ---------------------------------------------------------------------------
+
+
 def refunds_by_order(refunds: DataFrame) -> DataFrame:
     """AG9: total, count and last refund per order."""
     return (refunds.groupBy("order_id")
@@ -125,12 +129,14 @@ def enrich_orders(orders: DataFrame, items: DataFrame | None, refunds: DataFrame
     return df.select(*ORDER_COLUMNS)
 
 
+# --- fixed values: output columns of the item table ---------------------------
 ITEM_COLUMNS = [
     "order_item_id", "item_ts", "item_year", "item_month", "order_id", "product_id",
     "product_name", "product_launch_date", "is_primary_item", "price_usd", "cogs_usd",
     "item_refund_usd", "refund_ts", "is_refunded", "item_net_revenue",
     "item_net_margin", "item_margin_pct",
 ]
+# ---------------------------------------------------------------------------
 
 
 def enrich_items(items: DataFrame, products: DataFrame,
@@ -155,8 +161,8 @@ def enrich_items(items: DataFrame, products: DataFrame,
             "refund_ts": F.when(F.col("is_refunded"), F.col("refund_ts")),
         })
         if "order_item_id" not in i.columns:
-            i = i.withColumn("order_item_id",
-                             F.col("order_id") * 1000 + F.col("line_number"))
+            # line numbers may repeat in an order; ranks don't
+            i = i.withColumn("order_item_id", F.col("order_id") * 1000 + F.col("line_rank"))
     p, c = money("price_usd"), money("cogs_usd")
     r = F.coalesce(money("item_refund_usd"), F.lit(0).cast(MONEY))
     i = i.join(prod, "product_id", "left").withColumns({

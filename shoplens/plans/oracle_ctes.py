@@ -233,7 +233,7 @@ SELECT l.*, o.o_orderdate, o.o_custkey,
     l.l_shipdate, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag,
     l.l_linestatus) AS line_pos
 FROM lineitem l
-JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
 
 CTES["m_products"] = """
@@ -280,7 +280,7 @@ FROM (
   LEFT JOIN m_products p ON li.primary_product_id = p.product_id) x"""
 
 CTES["m_items"] = f"""
-SELECT l_orderkey * 1000 + l_linenumber AS order_item_id, o_orderdate AS item_ts,
+SELECT l_orderkey * 1000 + line_pos AS order_item_id, o_orderdate AS item_ts,
   year(o_orderdate) AS item_year, month(o_orderdate) AS item_month, l_orderkey AS order_id,
   l.product_id, p.product_name, p.launch_ts AS product_launch_date, line_pos = 1 AS is_primary_item,
   CAST(price_usd AS DOUBLE) AS price_usd, CAST(cogs_usd AS DOUBLE) AS cogs_usd,

@@ -119,7 +119,7 @@ def gd20_ltv_by_channel(spark, sf_dir):
 EXEC_KPI_SQL = f"""
 SELECT count(order_id) AS total_orders, count(DISTINCT user_id) AS total_customers,
   {sum_money_sql('gross_revenue')} AS total_gross_revenue, {sum_money_sql('net_revenue')} AS total_net_revenue,
-  {sum_money_sql('net_margin')} AS total_net_margin, {avg_exact_sql('gross_margin_pct')} AS avg_gross_margin_pct,
+  {sum_money_sql('net_margin')} AS total_net_margin, {sum_money_sql('gross_cogs')} AS total_cogs, {avg_exact_sql('gross_margin_pct')} AS avg_gross_margin_pct,
   {avg_exact_sql('net_margin_pct')} AS avg_net_margin_pct, {avg_money_sql('gross_revenue')} AS avg_order_value,
   {count_true_sql('has_refund')} AS total_refunded_orders, {sum_money_sql('total_refund_usd')} AS total_refund_value,
   {_pct(count_true_sql('has_refund'), 'count(order_id)')} AS overall_refund_rate_pct,

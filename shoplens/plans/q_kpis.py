@@ -213,7 +213,7 @@ FROM (
                  / NULLIF(CAST(count(gross_lifetime_value) AS DOUBLE), 0) AS avg_ltv_acquired
                FROM c_users GROUP BY acquisition_channel) l
       ON s.marketing_channel = l.acquisition_channel
-    WHERE s.total_sessions > 0) c) r""")
+    WHERE s.total_sessions > 100) c) r""")
 def gd27_channel_efficiency(spark, sf_dir):
     """GD27 + WN11 + WN12 + FLT2: channel efficiency ranks and tiers."""
     w = ClickWorld(spark, sf_dir)

@@ -33,16 +33,39 @@ def src1_csv_pageviews(spark, sf_dir):
     return good
 
 
+@register("src2_csv_quarantine", """
+SELECT CASE WHEN website_pageview_id % 97 <> 0 THEN website_pageview_id END AS website_pageview_id,
+  CASE WHEN website_pageview_id % 97 = 0 THEN 'x' || CAST(website_pageview_id AS VARCHAR) || ','
+    || strftime(created_at, '%Y-%m-%d %H:%M:%S') || ',' || CAST(website_session_id AS VARCHAR) || ',' || pageview_url
+    END AS raw_row, website_pageview_id % 97 = 0 AS quarantined FROM pv""")
+def src2_csv_quarantine(spark, sf_dir):
+    """SRC2: a CSV in which one id in 97 is not a number: good rows by their id,
+    bad rows with their raw text; none is lost."""
+    ident = F.col("website_pageview_id").cast("string")
+    pv = ClickWorld(spark, sf_dir).pageviews.select(
+        F.when(F.col("website_pageview_id") % 97 == 0, F.concat(F.lit("x"), ident)).otherwise(ident)
+        .alias("website_pageview_id"), F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+        "website_session_id", "pageview_url")
+    path = _scratch(spark, "src2")
+    pv.write.option("header", True).csv(path)
+    good, bad = ingest.split_bad_rows(ingest.read_csv(spark, path, ingest.SCHEMAS["website_pageviews"]))
+    none = F.lit(None)
+    return (good.select("website_pageview_id", none.cast("string").alias("raw_row"), F.lit(False).alias("quarantined"))
+            .unionByName(bad.select(none.cast("long").alias("website_pageview_id"),
+                                    F.col(ingest.CORRUPT).alias("raw_row"), F.lit(True).alias("quarantined"))))
+
+
 @register("snk8_clustered_items", """
-SELECT product_id, count(*) AS line_items, CAST(sum(CAST(price_usd AS DECIMAL(18,4))) AS DOUBLE) AS revenue
-FROM m_items GROUP BY product_id""")
+SELECT CAST(item_year AS BIGINT) AS item_year, product_id, count(*) AS line_items,
+  CAST(sum(CAST(price_usd AS DECIMAL(18,4))) AS DOUBLE) AS revenue
+FROM m_items WHERE item_year >= 1997 AND product_id BETWEEN 20 AND 39 GROUP BY 1, 2""")
 def snk8_clustered_items(spark, sf_dir):
-    """SNK8 + SNK5: items written range-clustered by product and partitioned
-    by year, read back; a product filter then skips row groups."""
+    """SNK8 + SNK5: items written partitioned by year and clustered by product,
+    read back by year (whole partitions are skipped) and product (row groups)."""
     items = CommerceWorld(spark, sf_dir).items_enriched
     path = _scratch(spark, "snk8")
-    sinks.clustered_write(items.withColumn("item_year_p", F.col("item_year")), path, ["product_id", "order_id"])
-    back = spark.read.parquet(path)
-    return back.groupBy("product_id").agg(F.count(F.lit(1)).alias("line_items"),
+    sinks.clustered_write(items, path, ["product_id", "order_id"], partition_cols=["item_year"])
+    back = spark.read.parquet(path).filter((F.col("item_year") >= 1997) & F.col("product_id").between(20, 39))
+    return back.groupBy("item_year", "product_id").agg(F.count(F.lit(1)).alias("line_items"),
                                           F.sum(F.col("price_usd").cast("decimal(18,4)")).cast("double")
                                           .alias("revenue"))

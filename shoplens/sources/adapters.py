@@ -188,9 +188,9 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantit
 def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Line items with P&L, product (= brand number) and refund facts.
 
-    ``is_primary_item`` marks the first line of its order in LINE_ORDER
-    (a total order: no two full rows are equal): ``min(struct)`` over an
-    unordered per-order window.
+    ``line_rank`` numbers the lines of an order in LINE_ORDER (equal full rows
+    are interchangeable) and ``is_primary_item`` marks the first. Lines whose
+    order is absent stay, without an order date, for the data-quality checks.
 
     Lines are hash-partitioned by order key exactly once, after the part
     lookup; the order join (sort-merge on the same key when orders are too
@@ -205,18 +205,17 @@ def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> D
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
     base = (li.join(prod, li.l_partkey == prod.p_partkey, "left").drop("p_partkey")
             .repartition("l_orderkey"))
-    base = base.join(o, base.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
-    first = F.min(F.struct(*LINE_ORDER)).over(Window.partitionBy("l_orderkey"))
+    base = base.join(o, base.l_orderkey == o.o_orderkey, "left").drop("o_orderkey")
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
     ext = F.col("l_extendedprice").cast("decimal(15,2)")
     price = (ext * (F.lit(1).cast("decimal(15,2)") - F.col("l_discount").cast("decimal(15,2)"))).cast(MONEY)
     cogs = (ext * (F.lit(COMMERCE_COGS_BASE).cast("decimal(15,2)") + F.col("l_tax").cast("decimal(15,2)"))).cast(MONEY)
-    return (base.withColumn("first_line", first)
+    return (base.withColumn("line_rank", rank)
             .select(F.col("l_orderkey").alias("order_id"),
-                    F.col("l_linenumber").alias("line_number"),
+                    F.col("l_linenumber").alias("line_number"), "line_rank",
                     "product_id",
                     F.col("o_orderdate").alias("created_at"),
-                    F.when(F.struct(*LINE_ORDER) == F.col("first_line"), 1).otherwise(0)
-                    .alias("is_primary_item"),
+                    F.when(F.col("line_rank") == 1, 1).otherwise(0).alias("is_primary_item"),
                     price.alias("price_usd"), cogs.alias("cogs_usd"),
                     (F.col("l_returnflag") == REFUND_FLAG).alias("is_refunded"),
                     F.col("l_shipdate").alias("refund_ts")))

@@ -50,9 +50,10 @@ def add_columns(df: DataFrame, new_cols: dict) -> DataFrame:
     return df.withColumns(new_cols)
 
 
-def clustered_write(df: DataFrame, path: str, cols, partitions: int | None = None) -> int:
+def clustered_write(df: DataFrame, path: str, cols, partitions: int | None = None, partition_cols=()) -> int:
     """SNK8: range-partition and sort by ``cols`` before writing, so parquet
     row-group min/max statistics let later filters on ``cols`` skip data
     (the user-level form of Z-ordering)."""
-    d = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return write_table(d.sortWithinPartitions(*cols), path)
+    keys = [*partition_cols, *cols]  # a task then writes few partitions, each in one file
+    d = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return write_table(d.sortWithinPartitions(*keys), path, partition_cols=partition_cols)
