@@ -74,19 +74,22 @@ def acquisition_cohorts(orders: DataFrame, days=RETENTION_DAYS,
     """GD17 (``same_day_counts=True``: a later order the same day counts,
     days are timestamp-ordered) / GD18 (False: only day difference > 0).
 
-    JN5 without pairs: every order is joined to its user's single first-order
-    row (many-to-one, AQE splits a hot user's partition), flagged, then
-    rolled up to user and to cohort.
+    JN5 without pairs: orders are counted per user and time, then per user and
+    day (no task holds a hot user's orders; what is left of a user is a row a
+    day), joined to the user's single first-order row, and rolled up to user and
+    to cohort.
     """
     fo = first_orders(orders)
-    o = orders.select("user_id", F.col("order_ts").alias("_ts"),
-                      F.col("order_id").alias("_id"))
-    j = o.join(fo.select("user_id", "first_order_ts"), "user_id", "inner")
-    dd = F.datediff(F.to_date("_ts"), F.to_date("first_order_ts"))
-    later = (F.col("_ts") > F.col("first_order_ts")) if same_day_counts else (dd > 0)
-    per_user = (j.filter(later).groupBy("user_id")
-                .agg(F.min(dd).alias("days_to_first_repeat"),
-                     F.count(F.lit(1)).alias("repeat_order_count")))
+    by_time = orders.groupBy("user_id", F.col("order_ts").alias("_ts")).agg(F.count(F.lit(1)).alias("_n"))
+    by_day = by_time.groupBy("user_id", F.to_date("_ts").alias("_day")).agg(
+        F.sum("_n").alias("_n"), F.min(F.struct("_ts", "_n")).alias("_first"))
+    j = by_day.join(fo.select("user_id", "first_order_ts"), "user_id", "inner")
+    dd = F.datediff("_day", F.to_date("first_order_ts"))
+    # On the first day only what comes after the first time counts, if at all.
+    same_day = F.col("_n") - F.col("_first._n") if same_day_counts else F.lit(0)
+    j = j.withColumn("_later", F.when(dd > 0, F.col("_n")).otherwise(same_day)).filter("_later > 0")
+    per_user = (j.groupBy("user_id")
+                .agg(F.min(dd).alias("days_to_first_repeat"), F.sum("_later").alias("repeat_order_count")))
     u = fo.join(per_user, "user_id", "left")
     aggs = [F.count("user_id").alias("new_customers"),
             _sum_money("first_order_value").alias("cohort_first_revenue"),

@@ -66,13 +66,15 @@ def rank_and_first_touch(s: DataFrame, bucket: str = "day") -> DataFrame:
        windowed per user ordered by day -> group size is bounded by the
        calendar, not by traffic; it yields the rank offset and the user's
        first session (first touch);
-    3. joined back on (user, day), which is co-partitioned with step 1.
+    3. joined back on (user, day), as step 1 is dealt; only the roll-up moves.
     Order is (session_ts, website_session_id) so ties are deterministic.
     ``bucket`` ('day' or 'hour') sets the first-level group; 'hour' bounds a
     bot's burst to one user-hour per task at the price of a larger (still
     calendar-bounded) second-level table.
     """
-    s = s.withColumn("_day", F.date_trunc(bucket, "session_ts"))
+    # Dealt by both keys: after a join on the user alone the window would find all
+    # of a user's sessions in one task and leave them there.
+    s = s.withColumn("_day", F.date_trunc(bucket, "session_ts")).repartition("user_id", "_day")
     w_day = Window.partitionBy("user_id", "_day").orderBy("session_ts", "website_session_id")
     ranked = s.withColumn("_rank_in_day", F.row_number().over(w_day))
     daily = (ranked.groupBy("user_id", "_day")

@@ -46,6 +46,50 @@ def test_merge_idempotent_and_as_of_latest(spark):
     assert latest.count() == _snapshots(spark, SF_SMALL)[1].count()
 
 
+def test_hot_user_is_dealt_by_day(spark):
+    """Without broadcast joins the sessions of one user still go to many tasks."""
+    import re
+    from shoplens.plans.worlds import ClickWorld
+    from shoplens.operators.sessions import enrich_sessions
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = enrich_sessions(ClickWorld(spark, SF_SMALL).raw_sessions)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    window = plan.index("row_number()")
+    assert re.search(r"hashpartitioning\(user_id#\d+L?, _day#\d+", plan[window:])
+
+
+def test_scorecard_with_gaps(spark):
+    """A missing month is no prior month, and no sessions is not a bad CVR."""
+    from shoplens.operators import kpis as kp
+    rows = [("2020-01", 5, 100.0, 10.0, 0.5, 0.0, 0.0), ("2020-03", 5, 200.0, 10.0, None, 0.0, 0.0),
+            ("2020-04", 5, 250.0, 10.0, 0.9, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "score_month string, monthly_orders long, monthly_revenue double, "
+                               "monthly_margin double, monthly_cvr double, monthly_refund_rate double, "
+                               "monthly_cross_sell_rate double")
+    out = {r.score_month: r for r in kp.executive_scorecard(df).collect()}
+    assert out["2020-03"].prior_month_revenue is None and out["2020-03"].revenue_growth_score == 50
+    assert out["2020-03"].cvr_performance_score == 50 and out["2020-04"].prior_month_revenue == 200.0
+    assert out["2020-04"].cvr_90d_avg == 0.9  # January is out of the three months
+    monthly = spark.createDataFrame([("2020-01", 10.0), ("2020-02", 20.0), ("2020-05", 50.0)],
+                                    "year_month string, revenue double")
+    ahead = {r.year_month: r.revenue for r in kp.revenue_forecast(monthly).collect() if r.type == "Forecast"}
+    assert {k: round(v, 6) for k, v in ahead.items()} == {"2020-06": 60.0, "2020-07": 70.0, "2020-08": 80.0}
+    assert [r.year_month for r in kp.revenue_inflections(monthly).collect()] == ["2020-02"]
+
+
+def test_anomaly_deviation_doesnt_cancel(spark):
+    from shoplens.operators import kpis as kp
+    big = 10 ** 9
+    rows = [(f"2020-01-{d:02d}", float(big + d % 2)) for d in range(1, 29)] + [("2020-01-29", float(big + 5))]
+    df = spark.createDataFrame(rows, "metric_date string, daily_revenue double")
+    last = [r for r in kp.anomalies(df).collect() if r.metric_date == "2020-01-29"][0]
+    assert abs(last.baseline_std - 0.5091750772) < 1e-6 and last.is_anomaly
+
+
 def test_forecast_appends_three_months(spark):
     f = q(spark, "gd28_revenue_forecast")
     assert f.filter("type = 'Forecast'").count() == 3
