@@ -3,11 +3,12 @@ executive and session KPIs, RFM (GD15-GD22, GD32, WN4, JN5, AG10)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_exact, count_true, month_key, pct, ratio
 from ..functions.labels import customer_tier
+from ..session import scratch_path
 
 M4 = "decimal(18,4)"
 RETENTION_DAYS = (60, 90, 180, 365)
@@ -167,13 +168,34 @@ def session_kpis(sessions: DataFrame) -> DataFrame:
         F.countDistinct("marketing_channel").alias("distinct_channels"))
 
 
+def ntile_of(df: DataFrame, order_cols, n: int, out: str) -> DataFrame:
+    """``ntile(n) OVER (ORDER BY order_cols)`` without one task for all rows: the
+    rows are range-partitioned by the order and written, so a row's rank is its
+    rank in its range plus the rows of the ranges before. Only the ranges' counts
+    (one row each) meet in one place. ``order_cols`` must tell all rows apart."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranked")
+    df.repartitionByRange(*order_cols).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_range", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols)) - 1
+    ranked = dealt.withColumn("_rank", rank).join(before, "_range").crossJoin(total)
+    at, size, more = F.col("_rank") + F.col("_before"), F.expr(f"_total div {n}"), F.col("_total") % n
+    # The first ``more`` tiles have one row more.
+    tile = F.when(at < more * (size + 1), F.floor(at / (size + 1))).otherwise(
+        more + F.floor((at - more * (size + 1)) / F.greatest(size, F.lit(1))))
+    return ranked.withColumn(out, (tile + 1).cast("int")).drop("_range", "_rank", "_before", "_total")
+
+
 def rfm(orders: DataFrame, as_of=None, buckets: int = 5) -> DataFrame:
-    """GD32: recency / frequency / monetary per user + quintile scores.
+    """GD32: recency / frequency / monetary per user + quintile scores (the most
+    recent, frequent and valuable users score ``buckets``; ties by user id).
 
     Average days between orders = (last - first) / (orders - 1), which equals
-    the mean of consecutive gaps without a per-user ordered window. The
-    ``ntile`` scores rank users globally; they run on the one-row-per-user
-    table and are range-partitioned by Spark's sort.
+    the mean of consecutive gaps without a per-user ordered window.
     """
     end = orders.agg(F.max(F.to_date("order_ts")).alias("_as_of")) if as_of is None else None
     u = orders.groupBy("user_id").agg(
@@ -191,7 +213,9 @@ def rfm(orders: DataFrame, as_of=None, buckets: int = 5) -> DataFrame:
             F.col("frequency") > 1,
             ratio(F.datediff("last_order_date", "first_order_date"), F.col("frequency") - 1)),
     }).drop("_as_of")
-    return u
+    u = ntile_of(u, [F.col("recency_days").desc(), "user_id"], buckets, "recency_score")
+    u = ntile_of(u, ["frequency", "user_id"], buckets, "frequency_score")
+    return ntile_of(u, ["monetary", "user_id"], buckets, "monetary_score")
 
 
 def cohort_retention_keyed(orders: DataFrame, days=RETENTION_DAYS) -> DataFrame:

@@ -173,17 +173,6 @@ def model_metrics(spark: SparkSession, scored_test: DataFrame, model_name: str,
                      "tp", "fp", "fn", "tn")
 
 
-def feature_importances(spark: SparkSession, pipeline_model, scored: DataFrame) -> DataFrame:
-    """ML6: named GBT feature importances (one row per feature slot; names
-    from the assembled vector's ML attribute metadata)."""
-    gbt = pipeline_model.stages[-1]
-    imp = [float(x) for x in gbt.featureImportances.toArray()]
-    meta = scored.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    names = {a["idx"]: a["name"] for group in meta.values() for a in group}
-    rows = [(names.get(i, f"f{i}"), v) for i, v in enumerate(imp)]
-    return spark.createDataFrame(rows, "feature string, importance double")
-
-
 def segment_features(users: DataFrame) -> DataFrame:
     return users.select("user_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in KM_NUM],
                         F.coalesce(F.col(KM_CAT), F.lit("unknown")).alias(KM_CAT))
@@ -228,7 +217,12 @@ def segment_profile(segments: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- LTV (ML8)
 LTV_FEATURE_DAYS = 90
+# --- fixed values: prediction horizons ---------------------------------------
 LTV_HORIZONS = (90, 180, 365)
+# ------------------------------------------------------------------------------
+LTV_EARLY_DAYS = 30  # what a prediction knows of a customer
+LTV_ACTIONS = ((1.5, "retain"), (0.75, "upsell"))  # from this share of the mean
+LTV_LAST_ACTION = "reactivate"
 
 
 def ltv_dataset(orders: DataFrame, feature_days=LTV_FEATURE_DAYS, horizon=365) -> DataFrame:
@@ -273,3 +267,54 @@ def ltv_models(data: DataFrame, seed=SEED) -> DataFrame:
         rows.append((name, float(ev.setMetricName("rmse").evaluate(pred)),
                      float(ev.setMetricName("r2").evaluate(pred)), int(LTV_FEATURE_DAYS)))
     return spark.createDataFrame(rows, "model string, rmse double, r2 double, feature_days int")
+
+
+def ltv_history(orders: DataFrame, early_days: int = LTV_EARLY_DAYS, horizons=LTV_HORIZONS) -> DataFrame:
+    """ML8: one row per customer: what the first ``early_days`` show, gross revenue
+    within each horizon of the first order, and whether the data's last order lies
+    behind the horizon (else the label is cut short)."""
+    first = orders.groupBy("user_id").agg(
+        F.to_date(F.min("order_ts")).alias("first_day"),
+        F.min_by("acquisition_channel", F.struct("order_ts", "order_id")).alias("acquisition_channel"))
+    end = orders.agg(F.to_date(F.max("order_ts")).alias("_end"))
+    # Per user and day first: a customer with very many orders is a row a day.
+    rev = F.col("gross_revenue").cast("decimal(18,4)")
+    days = orders.groupBy("user_id", F.to_date("order_ts").alias("_day")).agg(
+        F.count(F.lit(1)).alias("_orders"), F.sum(rev).alias("_rev"), F.sum("items_purchased").alias("_items"),
+        F.count_if("has_refund").alias("_refunds"))
+    d = days.join(first, "user_id").withColumn("_d", F.datediff("_day", "first_day"))
+
+    def within(col, n):
+        return F.sum(F.when(F.col("_d") <= n, F.col(col)).otherwise(0)).cast("double")
+
+    out = d.groupBy("user_id", "acquisition_channel", "first_day").agg(
+        within("_orders", early_days).alias("early_orders"), within("_rev", early_days).alias("early_revenue"),
+        within("_items", early_days).alias("early_items"), within("_refunds", early_days).alias("early_refunds"),
+        *[within("_rev", h).alias(f"revenue_{h}d") for h in horizons])
+    return out.crossJoin(end).withColumns(
+        {f"is_complete_{h}d": F.datediff("_end", "first_day") >= h for h in horizons}).drop("_end", "first_day")
+
+
+def ltv_predictions(history: DataFrame, horizons=LTV_HORIZONS, seed=SEED) -> DataFrame:
+    """ML8: per customer the revenue within each horizon as boosted trees predict
+    it, and a recommended action by the longest one. Each horizon is learned from
+    the customers whose window is complete, and every customer is scored."""
+    num = ["early_orders", "early_revenue", "early_items", "early_refunds"]
+    prep = Pipeline(stages=[
+        StringIndexer(inputCol="acquisition_channel", outputCol="ch_idx", handleInvalid="keep"),
+        OneHotEncoder(inputCols=["ch_idx"], outputCols=["ch_ohe"], handleInvalid="keep"),
+        VectorAssembler(inputCols=num + ["ch_ohe"], outputCol="features")]).fit(history)
+    out = prep.transform(history)
+    for h in horizons:
+        known = out.filter(F.col(f"is_complete_{h}d"))
+        model = GBTRegressor(labelCol=f"revenue_{h}d", predictionCol=f"predicted_ltv_{h}d", maxIter=20, seed=seed)
+        out = model.fit(known).transform(out)
+    longest = F.col(f"predicted_ltv_{max(horizons)}d")
+    mean = out.agg(F.avg(longest).alias("_mean"))
+    action = None
+    for share, name in LTV_ACTIONS:
+        hit = longest >= F.col("_mean") * share
+        action = F.when(hit, name) if action is None else action.when(hit, name)
+    return out.crossJoin(mean).select("user_id", "acquisition_channel",
+                                      *[f"predicted_ltv_{h}d" for h in horizons],
+                                      action.otherwise(LTV_LAST_ACTION).alias("recommended_action"))

@@ -154,8 +154,7 @@ FROM c_orders_raw WHERE k >= 90"""
 
 CTES["c_products"] = """
 SELECT primary_product_id AS product_id, min(created_at) AS launch_ts,
-  ['The Original Mr. Fuzzy', 'The Forever Love Bear', 'The Birthday Sugar Panda',
-   'The Hudson River Mini bear'][primary_product_id] AS product_name
+  ['Product A', 'Product B', 'Product C', 'Product D'][primary_product_id] AS product_name
 FROM c_orders_raw GROUP BY primary_product_id"""
 
 PNL_SQL = f"""

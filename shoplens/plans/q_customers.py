@@ -153,12 +153,15 @@ SELECT user_id, CAST(last_order_date AS VARCHAR) AS last_order_date,
   CAST(first_order_date AS VARCHAR) AS first_order_date, frequency, monetary,
   (SELECT max(CAST(order_ts AS DATE)) FROM m_orders) - last_order_date AS recency_days,
   CASE WHEN frequency > 1 THEN {_div('last_order_date - first_order_date', 'frequency - 1')} END
-    AS avg_days_between_orders
+    AS avg_days_between_orders,
+  ntile(5) OVER (ORDER BY last_order_date, user_id) AS recency_score,
+  ntile(5) OVER (ORDER BY frequency, user_id) AS frequency_score,
+  ntile(5) OVER (ORDER BY monetary, user_id) AS monetary_score
 FROM (SELECT user_id, max(CAST(order_ts AS DATE)) AS last_order_date, min(CAST(order_ts AS DATE)) AS first_order_date,
         count(order_id) AS frequency, {sum_money_sql('gross_revenue')} AS monetary
       FROM m_orders GROUP BY user_id) t""")
 def gd32_rfm(spark, sf_dir):
-    """GD32: recency / frequency / monetary features per customer."""
+    """GD32: recency / frequency / monetary features and quintile scores."""
     return cu.rfm(CommerceWorld(spark, sf_dir).orders)
 
 

@@ -151,3 +151,29 @@ def ml8_ltv_models(spark, sf_dir):
     """ML8: 365-day LTV regression (ridge, random forest, GBT) from the
     first 90 days."""
     return ml.ltv_models(ml.ltv_dataset(CommerceWorld(spark, sf_dir).orders))
+
+
+@register("ml8_ltv_history", """
+WITH o AS (SELECT *, CAST(order_ts AS DATE) - min(CAST(order_ts AS DATE)) OVER (PARTITION BY user_id) AS d,
+             min(CAST(order_ts AS DATE)) OVER (PARTITION BY user_id) AS first_day FROM m_orders)
+SELECT user_id, arg_min(acquisition_channel, (order_ts, order_id)) AS acquisition_channel,
+  CAST(count(*) FILTER (WHERE d <= 30) AS DOUBLE) AS early_orders,
+  CAST(sum(CASE WHEN d <= 30 THEN CAST(gross_revenue AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS early_revenue,
+  CAST(sum(CASE WHEN d <= 30 THEN items_purchased ELSE 0 END) AS DOUBLE) AS early_items,
+  CAST(count(*) FILTER (WHERE d <= 30 AND has_refund) AS DOUBLE) AS early_refunds,
+  CAST(sum(CASE WHEN d <= 90 THEN CAST(gross_revenue AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS revenue_90d,
+  CAST(sum(CASE WHEN d <= 180 THEN CAST(gross_revenue AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS revenue_180d,
+  CAST(sum(CASE WHEN d <= 365 THEN CAST(gross_revenue AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS revenue_365d,
+  (SELECT max(CAST(order_ts AS DATE)) FROM m_orders) - min(first_day) >= 90 AS is_complete_90d,
+  (SELECT max(CAST(order_ts AS DATE)) FROM m_orders) - min(first_day) >= 180 AS is_complete_180d,
+  (SELECT max(CAST(order_ts AS DATE)) FROM m_orders) - min(first_day) >= 365 AS is_complete_365d
+FROM o GROUP BY user_id""")
+def ml8_ltv_history(spark, sf_dir):
+    """ML8: early features, revenue within 90 / 180 / 365 days, complete windows."""
+    return ml.ltv_history(CommerceWorld(spark, sf_dir).orders)
+
+
+@register("ml8_ltv_predictions")
+def ml8_ltv_predictions(spark, sf_dir):
+    """ML8: predicted 90 / 180 / 365-day LTV and recommended action per customer."""
+    return ml.ltv_predictions(ml.ltv_history(CommerceWorld(spark, sf_dir).orders))

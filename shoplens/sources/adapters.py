@@ -27,8 +27,7 @@ ENTRY_PAGES = ["/home", "/lander-1", "/lander-2", "/lander-3"]
 # product pages for odd-k 'view' events, by (k div 2) % 4; product id = index+1
 PRODUCT_PAGES = ["/the-original-mr-fuzzy", "/the-forever-love-bear",
                  "/the-birthday-sugar-panda", "/the-hudson-river-mini-bear"]
-PRODUCT_NAMES = ["The Original Mr. Fuzzy", "The Forever Love Bear",
-                 "The Birthday Sugar Panda", "The Hudson River Mini bear"]
+PRODUCT_NAMES = ["Product A", "Product B", "Product C", "Product D"]
 # (utm_source, utm_campaign, http_referer) of a session, by k % 8 of its
 # first event; k >= 50 on rule 0 spells the source ' GSearch' to test PRJ1
 CHANNEL_TRIPLES = [

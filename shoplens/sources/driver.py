@@ -21,16 +21,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-class Tables:
-    """Lazy accessor: ``Tables(spark, dir).lineitem``."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name not in TABLES:
-            raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)

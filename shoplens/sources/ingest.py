@@ -64,14 +64,3 @@ def with_audit(df: DataFrame, source_table: str, layer: str = "bronze") -> DataF
     """SNK6: _ingest_ts, _source_table, _layer."""
     return df.withColumns({"_ingest_ts": F.current_timestamp(), "_source_table": F.lit(source_table),
                            "_layer": F.lit(layer)})
-
-
-def with_time_partitions(df: DataFrame, ts_col: str, prefix: str) -> DataFrame:
-    """SNK5: derived year / month partition columns of the event time."""
-    ts = F.try_to_timestamp(F.col(ts_col).cast("string"))
-    return df.withColumns({f"{prefix}_year": F.year(ts), f"{prefix}_month": F.month(ts)})
-
-
-def rows_to_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """SRC6: small local rows (audit / control records) with a schema."""
-    return spark.createDataFrame(rows, schema)

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_cols=(),
-                fmt: str = "parquet", merge_schema: bool = False) -> int:
+                fmt: str = "parquet", merge_schema: bool = False, clustered: bool = False) -> int:
     """SNK1 / SNK2 / SNK3: write and return the row count observed while
-    writing (one job, no recount)."""
+    writing (one job, no recount). Rows of one table partition are brought
+    together first, in tasks of even size, so that a partition isn't a small file
+    of every task (``clustered``: the caller has dealt them)."""
+    if partition_cols and not clustered:
+        df = df.hint("rebalance", *partition_cols)
     obs = Observation("rows")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).format(fmt)
     if partition_cols:
@@ -56,4 +60,4 @@ def clustered_write(df: DataFrame, path: str, cols, partitions: int | None = Non
     (the user-level form of Z-ordering)."""
     keys = [*partition_cols, *cols]  # a task then writes few partitions, each in one file
     d = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return write_table(d.sortWithinPartitions(*keys), path, partition_cols=partition_cols)
+    return write_table(d.sortWithinPartitions(*keys), path, partition_cols=partition_cols, clustered=True)
