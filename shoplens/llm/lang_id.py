@@ -4,7 +4,8 @@ Training counts every word of all labelled texts per language, and from those
 counts every character n-gram (with word borders) of ``MAX_GRAM`` down to one
 character. A word or n-gram is kept for a language if it makes up at least
 ``min_share`` of that language's words (n-grams of that length), so a model never
-holds more than 1 / min_share entries per language and kind, whatever the corpus.
+holds more than 1 / min_share entries per language and kind, whatever the corpus
+(the share rises with the number of languages, see ``MAX_NUMBERS``).
 
 Scoring takes each word of a text: a known word adds its log frequency in every
 language; an unseen word is cut into its longest n-grams, and an unseen n-gram
@@ -33,6 +34,9 @@ MAX_GRAM = 4
 MIN_SHARE = 2e-5
 #: Languages a model may tell apart; beyond it the label column is not one.
 MAX_LANGS = 200
+#: Numbers a model holds at most (a row of one per language for each entry): with
+#: more than eight languages the smallest share rises so that it stays below.
+MAX_NUMBERS = 20_000_000
 #: Words a task counts before it passes its counts on.
 COUNT_WORDS = 300_000
 #: Unseen words and n-grams a worker keeps worked out; beyond it they start anew.
@@ -189,8 +193,9 @@ def fit(labelled: DataFrame, min_share: float = MIN_SHARE) -> Model:
     cut = (counts.select("lang", "n", F.explode(F.concat(*map(grams, range(1, MAX_GRAM + 1)))).alias("g"))
            .groupBy("lang", "g.length", "g.gram").agg(F.sum("n").alias("n")))
     words = counts.select("lang", F.lit(0).alias("length"), F.col("word").alias("gram"), "n")
-    kept = frequent(words.unionByName(cut), ["lang", "length"], min_share)
-    # At most 5 / min_share rows per language.
+    share = max(min_share, (MAX_GRAM + 1) * langs**2 / MAX_NUMBERS)
+    kept = frequent(words.unionByName(cut), ["lang", "length"], share)
+    # At most MAX_NUMBERS / langs rows.
     return Model([tuple(r) for r in kept.select("lang", "length", "gram", "n", "total").collect()])
 
 
