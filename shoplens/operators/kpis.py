@@ -254,8 +254,9 @@ def monthly_revenue(orders: DataFrame, ts_col="order_ts", rev_col="gross_revenue
 def revenue_forecast(monthly: DataFrame, history: int = 6, horizon: int = 3) -> DataFrame:
     """GD28 + WN14 + AG13 + SE1: OLS on the last ``history`` months by month
     index, ``horizon`` months ahead, appended to the actuals."""
-    first = monthly.agg(F.min(month_number("year_month")).alias("_first"))
-    m = monthly.crossJoin(first).withColumn("month_index", month_number("year_month") - F.col("_first") + 1)
+    # One row a month: the ordered window also fixes the order of the sums.
+    number = month_number("year_month")
+    m = monthly.withColumn("month_index", number - F.first(number).over(Window.orderBy("year_month")) + 1)
     last = m.agg(F.max("year_month").alias("_last"))
     recent = (m.crossJoin(last)
               .filter(month_start("year_month") >= F.add_months(month_start("_last"), -(history - 1))))

@@ -229,7 +229,7 @@ FROM m_orders GROUP BY 1"""
 @register("gd28_revenue_forecast", """
 WITH mn AS (SELECT *, CAST(substr(year_month, 1, 4) AS INTEGER) * 12 + CAST(substr(year_month, 6, 2) AS INTEGER) AS no
             FROM m_month_rev),
-mi AS (SELECT year_month, revenue, no - (SELECT min(no) FROM mn) + 1 AS month_index FROM mn),
+mi AS (SELECT year_month, revenue, no - first_value(no) OVER (ORDER BY year_month) + 1 AS month_index FROM mn),
 last6 AS (SELECT * FROM mi WHERE strptime(year_month || '-01', '%Y-%m-%d')
             >= (SELECT max(strptime(year_month || '-01', '%Y-%m-%d')) FROM mi) - INTERVAL 5 MONTH),
 fit AS (SELECT regr_slope(revenue, CAST(month_index AS DOUBLE)) AS slope,
