@@ -52,9 +52,9 @@ def latin_pattern() -> str:
 
 
 #: Words a worker keeps encoded; beyond it the cache starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Pairs of tokens whose fit a worker keeps; beyond it they start anew.
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 300_000
 #: Longer words are encoded but not kept.
 CACHE_WORD_BYTES = 64
 #: Characters of the texts encoded together; a longer text stands alone.
