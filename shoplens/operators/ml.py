@@ -40,6 +40,7 @@ GBT_SPACE = {                       # 3^5 = 243 combinations, 12 sampled
     "subsamplingRate": [0.7, 0.8, 1.0],
 }
 N_SEARCH = 12
+MIN_FIT_ROWS = 5000  # smaller train sides are fitted whole
 FOLDS = 3
 KM_NUM = ["total_orders", "gross_lifetime_value", "avg_order_value", "refund_rate_pct",
           "distinct_products_ordered"]
