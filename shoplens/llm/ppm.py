@@ -2,9 +2,9 @@
 
 The model is a trie of byte contexts up to ``order`` bytes long, each with the
 counts of the bytes that followed it in the training texts. A byte is coded in
-its longest context: if it was seen there n times of T it takes (n - 1/2) / T;
-else an escape of D / 2T (D: distinct bytes seen there) leads to the context one
-byte shorter, from whose counts all bytes seen in the longer one are excluded
+its longest context: if it was seen there n times of T it takes (n - d) / T;
+else an escape of d * D / T (D: distinct bytes seen there; d: the discount that
+every seen byte gives up) leads to the context one byte shorter, from whose counts all bytes seen in the longer one are excluded
 (symbol exclusion), and so on to the empty context and at last to all remaining
 bytes alike. Contexts never seen are skipped without cost. The model is
 pretrained: a text's code length doesn't depend on the texts beside it.
@@ -38,6 +38,9 @@ from pyspark.sql import functions as F
 from .common import ship, written
 
 ORDER = 5
+#: What a seen byte's count gives up to the escape. Texts that repeat each other
+#: make a count of one a better witness than in PPM variant D, whose 1/2 it was.
+DISCOUNT = 0.2
 #: Text bytes of a block: larger blocks share more grams and words. A task holds
 #: one block's text, distinct grams and words.
 BLOCK_BYTES = 16 << 20
@@ -257,9 +260,9 @@ class Trie:
                 continue
             left, distinct = total[node] - out_total, kinds[node] - out_kinds
             coded = open_ & there & hit
-            out[coded] += np.log10((self.edges[j][1][at[coded]] - 0.5) / left[coded])
+            out[coded] += np.log10((self.edges[j][1][at[coded]] - DISCOUNT) / left[coded])
             passed = open_ & there & ~hit & (left > 0)
-            out[passed] += np.log10(distinct[passed] / 2 / left[passed])
+            out[passed] += np.log10(DISCOUNT * distinct[passed] / left[passed])
             open_ &= ~coded
             out_total = np.where(there & open_, known[node], 0)
             out_kinds = np.where(there & open_, kinds[node], 0)

@@ -137,10 +137,10 @@ def slow_ppm(rows, order):
                     continue
                 left = {b: n for b, n in here.items() if b not in excluded}
                 if s[k] in here:
-                    total += math.log10((left[s[k]] - 0.5) / sum(left.values()))
+                    total += math.log10((left[s[k]] - ppm.DISCOUNT) / sum(left.values()))
                     break
                 if left:
-                    total += math.log10(len(left) / 2 / sum(left.values()))
+                    total += math.log10(ppm.DISCOUNT * len(left) / sum(left.values()))
                 excluded = set(here)
             else:
                 total -= math.log10(256 - len(excluded))
