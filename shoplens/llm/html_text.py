@@ -11,8 +11,11 @@ What is never content - scripts, forms, menus, footers, adverts, comments, known
 by element, role, class or id - counts for nothing and is left out. The content
 paths choose the page's content node: the deepest element that holds nearly all
 of their text, or the article or main element around it. The node's text is
-returned whole, block by block, so that a short heading or paragraph beside long
-ones stays.
+returned whole, block by block, and with it the headings and text blocks that
+stand beside it, on any path: in the page's articles and mains if the node is in
+one, else in the whole page. Outside the node only link blocks are left out, that
+is blocks more than half of whose text is in links, on a path of which that holds
+too.
 
 Fixed values below: elements, roles and names as HTML and its users define them.
 """
@@ -57,6 +60,7 @@ comment comments reply replies respond disqus share sharing social related recom
 HEADER_NAMES = frozenset("header topbar".split())
 ARTICLE = frozenset("article main".split())
 BODY = frozenset("html body".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?]")
@@ -67,6 +71,8 @@ _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 THRESHOLD = 0.2
 #: Share of the content paths' text that the content node holds.
 HELD = 0.9
+#: A link block has more than this share of its text in links.
+LINKED = 0.5
 #: Gaussian window over neighbouring pieces.
 WINDOW = np.exp(-0.5 * np.arange(-2, 3) ** 2.0)
 
@@ -206,6 +212,47 @@ def content_node(page: Page, paths: set[str]) -> int:
     return node
 
 
+def inside_of(page: Page, roots) -> np.ndarray:
+    """Which elements are among ``roots`` or inside them."""
+    inside = np.zeros(len(page.tag), bool)
+    inside[roots] = True
+    for k in range(1, len(inside)):  # children come after their parents
+        inside[k] |= inside[page.parent[k]]
+    return inside
+
+
+def link_blocks(page: Page, pieces: list[tuple[str, str, int, int]], node: int) -> np.ndarray:
+    """Which elements' text belongs to link blocks outside ``node``. A heading is
+    none, but goes with the links of an element that holds nothing else and more
+    of them."""
+    n = len(page.tag)
+    block, linked, path = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
+    number: dict[tuple[int, str], int] = {}
+    for k in range(1, n):
+        up, tag = page.parent[k], page.tag[k]
+        linked[k] = linked[up] or tag == "a"
+        if tag in INLINE:
+            block[k], path[k] = block[up], path[up]
+        else:
+            path[k] = number.setdefault((path[up], tag), len(number) + 1)
+    heading = inside_of(page, [k for k in range(n) if page.tag[k] in HEADINGS])
+    main_heading = inside_of(page, [k for k in range(n) if page.tag[k] == "h1"])
+    at = block[[p[2] for p in pieces]]
+    length = np.array([len(" ".join(p[0].split())) for p in pieces], float)
+    in_links = length * linked[[p[2] for p in pieces]]
+
+    def heavy(of):
+        return np.bincount(of, in_links, n) > LINKED * np.bincount(of, length, n)
+
+    links = heavy(at) & heavy(path[at])[path] & ~heading
+    text = np.bincount(at, length, n)
+    held = np.stack([text * links, text * (heading & ~main_heading), text * ~(links | heading & ~main_heading)])
+    for k in range(n - 1, 0, -1):
+        held[:, page.parent[k]] += held[:, k]
+    out = inside_of(page, np.flatnonzero((held[0] > held[1]) & (held[2] == 0)))
+    return (out | links)[block] & ~inside_of(page, [node])
+
+
 def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     """The page's main text, a line for each block; empty if there is none."""
     if not html:
@@ -228,10 +275,10 @@ def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     if not real:
         return ""
     node = content_node(page, content_paths(real, threshold))
-    inside = np.zeros(len(page.tag), bool)
-    inside[node] = True
-    for k in range(1, len(inside)):
-        inside[k] |= inside[page.parent[k]]
+    inside = ~link_blocks(page, real, node)
+    articles = inside_of(page, [k for k, tag in enumerate(page.tag) if tag in ARTICLE])
+    if articles[node]:
+        inside &= articles
     lines: dict[int, list[str]] = {}
     for text, _, element, block in joined:
         if inside[element]:

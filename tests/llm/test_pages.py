@@ -156,3 +156,25 @@ def test_html_odd_rows(spark):
 def test_ratios_choose_the_long_punctuated_paths():
     pieces = [("Menu", "body/ul/li", 1, 1)] * 6 + [("A sentence, with marks. And another one.", "body/div/p", 2, 2)] * 6
     assert html_text.content_paths(pieces, html_text.THRESHOLD) == {"body/div/p"}
+
+
+BODY_TEXT = "A long paragraph, with many words and marks. It goes on, and on, for a while. And ends here. " * 8
+LINKS = "<ul><li><a href=a>First link</a><li><a href=b>Second link</a><li><a href=c>Third link</a></ul>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div id=content><h1>Headline</h1><p>The lead.</p><div class=text><p>{BODY_TEXT}</p><p>{BODY_TEXT}</p></div></div>",
+     f"Headline\nThe lead.\n{BODY_TEXT.strip()}\n{BODY_TEXT.strip()}"),
+    (f"<div><div><p>Short one.</p></div><div><p>{BODY_TEXT}</p></div><div><p>Short two.</p></div></div>",
+     f"Short one.\n{BODY_TEXT.strip()}\nShort two."),
+    (f"<div>{LINKS}</div><div><h2><a href=x>Linked headline</a></h2><div><p>{BODY_TEXT}</p></div></div>"
+     f"<div><h3>More</h3>{LINKS}</div>", f"Linked headline\n{BODY_TEXT.strip()}"),
+    (f"<div><p>Lead in the links' element.</p>{LINKS}</div><div><div><p>{BODY_TEXT}</p>{LINKS}</div></div>",
+     f"Lead in the links' element.\n{BODY_TEXT.strip()}\nFirst link\nSecond link\nThird link"),
+    (f"<div><p>See <a href=x>the whole paper</a>.</p><div><p>{BODY_TEXT}</p></div><p>Plain text of the same path.</p></div>",
+     f"See the whole paper.\n{BODY_TEXT.strip()}\nPlain text of the same path."),
+    (f"<p>Outside.</p><main><h1>Headline</h1><article><p>{BODY_TEXT}</p></article><article><p>Short.</p></article></main>",
+     f"Headline\n{BODY_TEXT.strip()}\nShort."),
+])
+def test_what_stands_beside_the_content_node_stays(page, text):
+    assert html_text.main_text(page) == text
