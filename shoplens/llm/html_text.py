@@ -7,9 +7,12 @@ Both are smoothed over the page (a Gaussian window over neighbouring pieces, the
 the mean per path) and fused by multiplication. Paths whose fused ratio reaches a
 threshold (a share of the length-weighted mean) are content paths.
 
-What is never content - scripts, forms, menus, footers, adverts, comments, known
-by element, role, class or id - counts for nothing and is left out. The content
-paths choose the page's content node: the deepest element that holds nearly all
+What is never content - scripts, forms, menus, footers, known by element or role -
+counts for nothing and is left out. A class or id that names an advert, a comment
+or the like is evidence only: such an element is left out if no path of its text is
+a content path, or if all of its name together hold the smaller part of the page's
+text, or if the content is in an article elsewhere; never if it is around the
+content node. The content paths of what is left choose the page's content node: the deepest element that holds nearly all
 of their text, or the article or main element around it. The node's text is
 returned whole, block by block, and with it the headings and text blocks that
 stand beside it, on any path: in the page's articles and mains if the node is in
@@ -51,12 +54,18 @@ ENDS_LIKE = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 #: Roles that are never content.
 ROLES = frozenset("""navigation banner contentinfo complementary search dialog alertdialog alert menu menubar
 toolbar form""".split())
-#: Words in a class or id that mark what is never content.
+#: Words in a class or id that are evidence against an element.
 NAMES = frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion
 sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead
 cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe
 comment comments reply replies respond disqus share sharing social related recommended widget""".split())
-#: Page headers: left out unless they belong to the article.
+#: Words that say of such a name only which or where. With any other word a name is
+#: weaker evidence (a class) or a heading's words (an id).
+PARTS = frozenset("""area bar block bottom box button buttons center col column container entry form group
+header heading icon icons inner item items left link links list main module page pane panel post posts right row
+section site slot sub top unit wrap wrapper""".split())
+NEGATED = frozenset("has no not with without".split())
+#: Page headers: the same, unless they belong to the article.
 HEADER_NAMES = frozenset("header topbar".split())
 ARTICLE = frozenset("article main".split())
 BODY = frozenset("html body".split())
@@ -84,11 +93,7 @@ def marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> b
     if tag in ARTICLE or tag in BODY:
         return False
     for name, value in attrs:
-        if name in ("class", "id") and value:
-            words = set(_NAME.findall(_CAMEL.sub(" ", value).lower()))
-            if words & NAMES or words & HEADER_NAMES and not in_article:
-                return True
-        elif name == "role" and value and value.strip().lower() in ROLES:
+        if name == "role" and value and value.strip().lower() in ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -97,6 +102,28 @@ def marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> b
     return False
 
 
+def named(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> tuple[bool, str] | None:
+    """What class and id say against an element: (whether a whole name does, the
+    words that do)."""
+    if tag in ARTICLE or tag in BODY:
+        return None
+    names = NAMES if in_article else NAMES | HEADER_NAMES
+    weak = None
+    for name, value in attrs:
+        if not value or name != "class" and (name != "id" or tag in HEADINGS):
+            continue
+        for one in value.split() if name == "class" else [value]:
+            words = _NAME.findall(_CAMEL.sub(" ", one).lower())
+            found = " ".join(w for w in words if w in names)
+            if not found or words[0] in NEGATED:
+                continue
+            if all(w in names or w in PARTS or w.isdigit() for w in words):
+                return True, found
+            if name == "class" and not in_article:
+                weak = False, found
+    return weak
+
+
 class Page(HTMLParser):
     """Reads a page into text pieces: (text, path, element, block)."""
 
@@ -109,6 +136,7 @@ class Page(HTMLParser):
         self.pieces: list[tuple[str, str, int, int]] = []
         self.path = ""
         self.article = 0
+        self.named: dict[int, tuple[bool, str]] = {}  # by element
 
     def updatepos(self, i, j):
         return j  # lines aren't counted
@@ -129,6 +157,8 @@ class Page(HTMLParser):
         self.open.append((tag, len(self.tag) - 1))
         if not self.out_at and marked(tag, attrs, self.article > 0):
             self.out_at = len(self.open)
+        if not self.out_at and (name := named(tag, attrs, self.article > 0)):
+            self.named[len(self.tag) - 1] = name
         self.article += tag in ARTICLE
         self.path = ""
 
@@ -221,6 +251,45 @@ def inside_of(page: Page, roots) -> np.ndarray:
     return inside
 
 
+def left_out(page: Page, pieces: list[tuple[str, str, int, int]], threshold: float) -> np.ndarray:
+    """Which elements are left out, or inside one that is, by the evidence of names
+    and ratios."""
+    n = len(page.tag)
+    paths = content_paths(pieces, threshold)
+    element = [p[2] for p in pieces]
+    length = np.array([len(" ".join(p[0].split())) for p in pieces], float)
+    in_content = length * [p[1] in paths for p in pieces]
+    articles = inside_of(page, [k for k in range(n) if page.tag[k] in ARTICLE])
+    elsewhere = np.bincount(element, in_content, n)[articles & ~inside_of(page, list(page.named))].any()
+
+    def held(what):
+        out = np.bincount(element, what, n)
+        for k in range(n - 1, 0, -1):
+            out[page.parent[k]] += out[k]
+        return out
+
+    content, in_articles = held(in_content), held(length * articles[element])
+    around, at = set(), content_node(page, paths)
+    while at > 0:
+        around.add(at)
+        at = page.parent[at]
+    out, groups = [], {}
+    for k, (whole, words) in page.named.items():
+        if not content[k] or whole and elsewhere and not in_articles[k]:
+            out.append(k)
+        elif whole and k not in around:
+            groups.setdefault(words, []).append(k)
+    dropped = inside_of(page, out)
+    # All of a name are left out or none, while what is left is the larger part.
+    rest = length * ~dropped[element]
+    share = {words: (rest * inside_of(page, ks)[element]).sum() for words, ks in groups.items()}
+    for words in sorted(groups, key=lambda w: (share[w], w)):
+        more = dropped | inside_of(page, groups[words])
+        if 2 * (rest * more[element]).sum() <= rest.sum():
+            dropped = more
+    return dropped
+
+
 def link_blocks(page: Page, pieces: list[tuple[str, str, int, int]], node: int) -> np.ndarray:
     """Which elements' text belongs to link blocks outside ``node``. A heading is
     none, but goes with the links of an element that holds nothing else and more
@@ -253,6 +322,18 @@ def link_blocks(page: Page, pieces: list[tuple[str, str, int, int]], node: int)
     return (out | links)[block] & ~inside_of(page, [node])
 
 
+def join(pieces: list[tuple[str, str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """Neighbouring pieces of one element and block as one: comments and references
+    don't split a text."""
+    joined: list[tuple[str, str, int, int]] = []
+    for p in pieces:
+        if joined and joined[-1][1:] == p[1:]:
+            joined[-1] = (joined[-1][0] + p[0], *p[1:])
+        else:
+            joined.append(p)
+    return joined
+
+
 def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     """The page's main text, a line for each block; empty if there is none."""
     if not html:
@@ -262,18 +343,15 @@ def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
     if _CUT_TAG.match(page.rawdata):  # the page ends inside a tag
         page.rawdata = ""
     page.close()
-    # Neighbouring pieces of one element and block are one: comments and
-    # references don't split a text.
-    joined: list[tuple[str, str, int, int]] = []
-    for p in page.pieces:
-        if joined and joined[-1][1:] == p[1:]:
-            joined[-1] = (joined[-1][0] + p[0], *p[1:])
-        else:
-            joined.append(p)
-    page.pieces = joined
+    joined = join(page.pieces)
     real = [p for p in joined if p[0].strip()]
+    if page.named and real:
+        out = left_out(page, real, threshold)
+        joined = join([p for p in page.pieces if not out[p[2]]])
+        real = [p for p in joined if p[0].strip()]
     if not real:
         return ""
+    page.pieces = joined
     node = content_node(page, content_paths(real, threshold))
     inside = ~link_blocks(page, real, node)
     articles = inside_of(page, [k for k, tag in enumerate(page.tag) if tag in ARTICLE])

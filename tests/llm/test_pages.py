@@ -178,3 +178,29 @@ LINKS = "<ul><li><a href=a>First link</a><li><a href=b>Second link</a><li><a hre
 ])
 def test_what_stands_beside_the_content_node_stays(page, text):
     assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div class='page has-sidebar'><h1>Headline</h1><p>{BODY_TEXT}</p></div>", f"Headline\n{BODY_TEXT.strip()}"),
+    (f"<div>Site</div><div class='no-sidebar'><article><h1>Headline</h1><p>{BODY_TEXT}</p></article></div>",
+     f"Headline\n{BODY_TEXT.strip()}"),
+    (f"<div class='sidebar'><h1>Headline</h1><p>{BODY_TEXT}</p></div>", f"Headline\n{BODY_TEXT.strip()}"),
+    (f"<article><p>{BODY_TEXT}</p><h2 id='related-work'>Related work</h2><p>A few words.</p><h2 id=comments>Comments</h2>"
+     "<section id='social-history'><h2>Social history</h2><p>Some.</p></section>"
+     "<div id='comments-on-the-method'><p>None, yet.</p></div></article>",
+     f"{BODY_TEXT.strip()}\nRelated work\nA few words.\nComments\nSocial history\nSome.\nNone, yet."),
+    ("".join(f"<div class='text widget'><p>{k}. {BODY_TEXT}</p></div>" for k in range(3))
+     + "<div class='cookie-notice'><p>We use cookies, to do things.</p></div>",
+     "\n".join(f"{k}. {BODY_TEXT.strip()}" for k in range(3))),
+])
+def test_a_name_alone_drops_nothing(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("name", ["class=comments", "id=comments", "class='post-comments x'", "class=adBox", "id=sidebar-2",
+                                  "class='td related'", "class=footerLinks"])
+def test_named_elements_of_a_minor_share_are_left_out(name):
+    named = f"<div {name}><p>I agree, and so on. Really.</p></div>"
+    for page in (f"<article><p>{BODY_TEXT}</p>{named}</article>", f"<div><p>{BODY_TEXT}</p></div>{named}",
+                 f"<article><p>{BODY_TEXT}</p></article>{named * 99}"):
+        assert html_text.main_text(page) == BODY_TEXT.strip()
