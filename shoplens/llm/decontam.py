@@ -11,11 +11,16 @@ unmarked parts are hashed again, until ``min_match``. Tiles may come in any orde
 so reordered passages are found as well as whole ones. A pair is a hit when its
 tiles cover ``threshold`` of the item's words.
 
-Words are runs without white space and ASCII punctuation, in lower case.
+An item of fewer than ``min_match`` words has one seed, all its words, and is a hit
+where they stand together in a document.
+
+Words are runs without white space and ASCII punctuation, in lower case; in scripts
+that are written without blanks every character is a word.
 """
 
 from __future__ import annotations
 
+import re
 import string
 
 import numpy as np
@@ -32,10 +37,16 @@ BLOCK_WORDS = 200_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TO_BLANK = str.maketrans({c: " " for c in string.punctuation})
+#: Scripts without blanks: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+_NO_BLANKS = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff"
+                        "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().translate(_TO_BLANK).split()
+    text = (text or "").lower().translate(_TO_BLANK)
+    if not text.isascii() and _NO_BLANKS.search(text):
+        text = _NO_BLANKS.sub(r" \g<0> ", text)
+    return text.split()
 
 
 def hashes(ids: np.ndarray, length: int) -> np.ndarray:
@@ -107,12 +118,16 @@ class Seeds:
             for w in words:
                 self.word.setdefault(w, len(self.word) + 1)
         self.items = [(i, self.ids(words)) for i, words in items]
-        h = [hashes(ids, min_match) for _, ids in self.items]
-        every = np.concatenate(h) if h else np.zeros(0, np.uint64)
-        order = np.argsort(every, kind="stable")
-        self.hash = every[order]
-        self.of = np.repeat(np.arange(len(h)), [len(x) for x in h])[order]
-        self.at = np.concatenate([np.arange(len(x)) for x in h])[order] if h else np.zeros(0, np.int64)
+        # By length: the seeds' hashes, and in which item and where in it they are.
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        length = [min(min_match, len(ids)) for _, ids in self.items]
+        for m in sorted(set(length) - {0}):
+            of = [k for k, n in enumerate(length) if n == m]
+            h = [hashes(self.items[k][1], m) for k in of]
+            every = np.concatenate(h)
+            order = np.argsort(every, kind="stable")
+            self.seeds[m] = (every[order], np.repeat(of, [len(x) for x in h])[order],
+                             np.concatenate([np.arange(len(x)) for x in h])[order])
 
     def ids(self, words: list[str]) -> np.ndarray:
         """Word numbers; 0 for words that no item has."""
@@ -121,40 +136,46 @@ class Seeds:
 
     def find(self, text: str | None) -> list[tuple[int, float, int, int, list]]:
         """(item, covered share, words in tiles, longest tile, tiles) of the hits."""
-        doc, m = self.ids(words_of(text)), self.min_match
-        if len(doc) < m or not len(self.hash):
+        doc = self.ids(words_of(text))
+        return [hit for m in self.seeds for hit in self.find_seeds(doc, m)]
+
+    def find_seeds(self, doc: np.ndarray, m: int) -> list[tuple[int, float, int, int, list]]:
+        """The hits among the items with seeds of ``m`` words."""
+        if len(doc) < m:
             return []
+        seed_hash, seed_of, seed_at = self.seeds[m]
         start = np.flatnonzero(runs(doc != 0, m))
         if not len(start):
             return []
         h = hashes(doc, m)[start]
-        lo = np.searchsorted(self.hash, h, "left")
-        seen = self.hash[np.minimum(lo, len(self.hash) - 1)] == h
+        lo = np.searchsorted(seed_hash, h, "left")
+        seen = seed_hash[np.minimum(lo, len(seed_hash) - 1)] == h
         if not seen.any():
             return []
         lo, start = lo[seen], start[seen]
-        hi = np.searchsorted(self.hash, h[seen], "right")
+        hi = np.searchsorted(seed_hash, h[seen], "right")
         # Where in which item the document's seeds lie.
         count = hi - lo
         k = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        of, at = self.of[k], self.at[k]
+        of, at = seed_of[k], seed_at[k]
         near = np.zeros(len(doc), bool)
         for j in range(m):
             near[start + j] = True
         # Only the seeded stretches are tiled, each with a non-word behind it.
         place = np.flatnonzero(near | np.concatenate(([False], near[:-1])))
         seeded = np.where(near, doc, 0)[place]
+        share = self.threshold if m == self.min_match else 1.0
         out = []
         for item in np.unique(of):
             number, ids = self.items[item]
             covered = np.zeros(len(ids), bool)
             for j in range(m):
                 covered[at[of == item] + j] = True
-            if covered.sum() < self.threshold * len(ids):
+            if covered.sum() < share * len(ids):
                 continue  # tiles are made of seeds: they can't cover more
             tiles = [(i, int(place[d]), n) for i, d, n in tile(ids, seeded, m)]
             total = sum(n for _, _, n in tiles)
-            if total >= self.threshold * len(ids):
+            if total >= share * len(ids):
                 out.append((number, total / len(ids), total, max(n for _, _, n in tiles), tiles))
         return out
 
@@ -167,7 +188,7 @@ def seed_blocks(benchmark: DataFrame, id_col: str, text_col: str, min_match: int
     block, size = [], 0
     for number, text in rows.toLocalIterator():
         words = words_of(text)
-        if len(words) < min_match:
+        if not words:
             continue
         if block and size + len(words) > block_words:
             yield Seeds(block, min_match, threshold)
@@ -186,7 +207,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     longest_tile, tiles (start in item, start in document, length; in words).
 
     Null and empty texts hit nothing. Items of fewer than ``min_match`` words
-    have no seed and hit nothing. Repeated rows give repeated hits.
+    are hit only whole. Repeated rows give repeated hits.
     """
     spark = docs.sparkSession
     ship(spark)

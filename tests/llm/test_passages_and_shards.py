@@ -120,6 +120,17 @@ def test_decontamination_odd_rows(spark, odd, none):
     assert decontam.contaminated(odd, bench.limit(0)).collect() == []
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    han = "春眠不覺曉處處聞啼鳥"
+    docs = [(1, "So, to be or not it is."), (2, "to be not or"), (3, "is it to be, Or not"), (4, f"他說：{han}夜來風雨聲"),
+            (5, f"{han[:4]} x {han[7:]}"), (6, "東京都に住む"), (7, "東と京"), (8, None), (9, "Or")]
+    items = [(1, "to be or not"), (2, han), (3, "東京"), (4, " ?! "), (5, "Or."), (6, " ".join(WORDS[:20]))]
+    found, clean = hits(spark, docs, items)
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in found) == [
+        (1, 1, 1.0), (1, 5, 1.0), (2, 5, 1.0), (3, 1, 1.0), (3, 5, 1.0), (4, 2, 1.0), (6, 3, 1.0), (9, 5, 1.0)]
+    assert sorted(r.doc_id for r in clean) == [5, 7, 8]
+
+
 # Sharding
 
 def check_shards(rows, shards, want):
