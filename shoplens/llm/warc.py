@@ -33,8 +33,6 @@ ARCHIVE_BYTES = 64 << 20
 #: Compressed bytes read at a time, and inflated bytes taken at a time.
 READ_BYTES = 1 << 16
 INFLATE_BYTES = 1 << 18
-#: Header lines of a record take at most this many bytes.
-HEADER_BYTES = 1 << 16
 LEVEL = 6
 
 #: Fixed values of the WARC 1.1 format.
@@ -113,12 +111,15 @@ def members(read) -> Iterator[Iterator[bytes]]:
 def parse(pieces: Iterator[bytes]) -> tuple[dict[str, str], bytes]:
     """Headers (lower-case names) and block of one record, its length and digests
     checked."""
-    data = bytearray()
-    while (end := data.find(b"\r\n\r\n")) < 0:
+    data, end = bytearray(), -1
+    while end < 0:
         piece = next(pieces, None)
-        if piece is None or len(data) > HEADER_BYTES:
+        # URLs are of any length, so headers are. What isn't a record isn't read on.
+        if piece is None or len(data) >= len(VERSION) and not data.startswith(VERSION):
             raise WarcError("record without end of header")
+        seen = max(len(data) - 3, 0)
         data += piece
+        end = data.find(b"\r\n\r\n", seen)
     lines = bytes(data[:end]).decode().split("\r\n")
     if lines[0] != VERSION.decode():
         raise WarcError(f"not a record: {lines[0][:40]!r}")

@@ -52,6 +52,15 @@ def test_warc_odd_rows(spark):
     assert sorted(map(tuple, found), key=key) == sorted(want, key=key)
 
 
+def test_urls_of_any_length(spark):
+    urls = ["data:text/html;base64," + "QUJD" * 250_000, "http://e.org/ä" + "ö x" * 200_000, "u"]
+    pages = spark.createDataFrame([(k, u, "x" * 200) for k, u in enumerate(urls)], SCHEMA)
+    found = warc.read_archives(warc.write_archives(pages, warc.archive_path(spark))).collect()
+    assert sorted((r.page_id, r.url, r.refers_to) for r in found) == [(0, urls[0], None), (1, urls[1], 0), (2, "u", 0)]
+    with pytest.raises(warc.WarcError):  # not a record: given up before its end
+        warc.parse(iter([b"garbage"] * 2 + [None]))
+
+
 def test_warc_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert warc.read_archives(warc.write_archives(none, warc.archive_path(spark))).collect() == []
