@@ -40,7 +40,7 @@ GBT_SPACE = {                       # 3^5 = 243 combinations, 12 sampled
     "subsamplingRate": [0.7, 0.8, 1.0],
 }
 N_SEARCH = 12
-MIN_FIT_ROWS = 5000  # smaller train sides are fitted whole
+MIN_FIT_ROWS = 5000  # a sample has about this many rows at least, or all there are
 FOLDS = 3
 KM_NUM = ["total_orders", "gross_lifetime_value", "avg_order_value", "refund_rate_pct",
           "distinct_products_ordered"]
@@ -70,6 +70,14 @@ def stratified_sample(df: DataFrame, key="website_session_id", frac=SAMPLE_FRAC,
     return df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1000 < int(frac * 1000))
 
 
+def fit_sample(train: DataFrame) -> DataFrame:
+    """What the GBT search is fitted on, one rule at every size: a hash sample of
+    ``SAMPLE_FRAC`` of the rows or of about ``MIN_FIT_ROWS``, whichever is more
+    (with no more rows than that: all)."""
+    share = max(SAMPLE_FRAC, MIN_FIT_ROWS / max(train.count(), 1))
+    return stratified_sample(train, frac=share)
+
+
 def split(df: DataFrame, key="website_session_id", train_pct=TRAIN_PCT, seed=SEED):
     """ML2: deterministic hash split; every class is split by the same hash,
     so class shares are preserved in expectation."""

@@ -73,16 +73,15 @@ _SCORED: dict[tuple[str, str], str] = {}
 
 def scored_sessions(spark, sf_dir):
     """All sessions as the best GBT scores them. The search runs once per
-    application and data folder on a sample of the train side (all of it where
-    that is small: folds and the validation slice need rows); its scores are
-    written to the shared folder, and every reader reads those."""
+    application and data folder on a sample of the train side
+    (``ml.fit_sample``); its scores are written to the shared folder, and every
+    reader reads those."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SCORED:
         d = _train_set(spark, sf_dir)
         train, _ = ml.split(d)
         path = scratch_path(spark, "scored-sessions")
-        fitted = ml.stratified_sample(train) if train.count() > ml.MIN_FIT_ROWS else train
-        ml.score(ml.search_gbt(fitted), d).write.parquet(path)
+        ml.score(ml.search_gbt(ml.fit_sample(train)), d).write.parquet(path)
         _SCORED[key] = path
     return spark.read.parquet(_SCORED[key])
 

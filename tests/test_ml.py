@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from shoplens.operators import ml
+from shoplens.plans import q_ml
 
 
 def test_propensity_bounds_and_separable_auc(spark):
@@ -44,3 +45,15 @@ def test_session_rank_hour_bucket_matches_day(spark):
     b = sorted(enrich_sessions(raw, bucket="hour").select("website_session_id", "user_session_rank",
                                                           "acquisition_channel").collect())
     assert a == b
+
+
+def test_search_is_fitted_on_a_share_without_a_step(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml, "search_gbt", lambda train: seen.append(train.count()))
+    monkeypatch.setattr(ml, "score", lambda model, d: d)
+    monkeypatch.setattr(ml, "split", lambda d: (d, d))
+    for n in (0, 300, 5000, 5001, 12_000, 50_000):
+        monkeypatch.setattr(q_ml, "_train_set", lambda spark, sf_dir, n=n: spark.range(n).toDF("website_session_id"))
+        assert q_ml.scored_sessions(spark, f"rows {n}").count() == n
+    assert seen[:3] == [0, 300, 5000] and seen[3] > 4950
+    assert abs(seen[4] - 5000) < 200 and abs(seen[5] - 10_000) < 400
