@@ -182,6 +182,17 @@ def model_metrics(spark: SparkSession, scored_test: DataFrame, model_name: str,
                      "tp", "fp", "fn", "tn")
 
 
+def feature_importances(model, df: DataFrame) -> DataFrame:
+    """ML6: the best GBT's importance of each feature, by name (a row per slot of
+    the feature vector; names from its attributes)."""
+    attrs = model.transform(_prepare(df)).schema["features"].metadata["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
+    rows = [(k, names[k], float(x)) for k, x in enumerate(model.stages[-1].featureImportances.toArray())]
+    # The scaled numbers keep only their places in the vector.
+    rows = [(k, NUM_COLS[k] if k < len(NUM_COLS) else name, x) for k, name, x in rows]
+    return df.sparkSession.createDataFrame(rows, "slot int, feature string, importance double")
+
+
 def segment_features(users: DataFrame) -> DataFrame:
     return users.select("user_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in KM_NUM],
                         F.coalesce(F.col(KM_CAT), F.lit("unknown")).alias(KM_CAT))

@@ -69,19 +69,22 @@ def ml6_model_metrics(spark, sf_dir):
 
 
 _SCORED: dict[tuple[str, str], str] = {}
+_IMPORTANCES = "-importances"  # beside the scores
 
 
 def scored_sessions(spark, sf_dir):
     """All sessions as the best GBT scores them. The search runs once per
     application and data folder on a sample of the train side
-    (``ml.fit_sample``); its scores are written to the shared folder, and every
-    reader reads those."""
+    (``ml.fit_sample``); its scores and feature importances are written to the
+    shared folder, and every reader reads those."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SCORED:
         d = _train_set(spark, sf_dir)
         train, _ = ml.split(d)
         path = scratch_path(spark, "scored-sessions")
-        ml.score(ml.search_gbt(ml.fit_sample(train)), d).write.parquet(path)
+        model = ml.search_gbt(ml.fit_sample(train))
+        ml.score(model, d).write.parquet(path)
+        ml.feature_importances(model, d).write.parquet(path + _IMPORTANCES)
         _SCORED[key] = path
     return spark.read.parquet(_SCORED[key])
 
@@ -94,6 +97,13 @@ def ml4_gbt_search(spark, sf_dir):
     return ml.model_metrics(spark, test, "gbt_random_search")
 
 
+@register("ml6_feature_importances")
+def ml6_feature_importances(spark, sf_dir):
+    """ML6: feature importances of the best GBT, by name."""
+    scored_sessions(spark, sf_dir)
+    return spark.read.parquet(_SCORED[spark.sparkContext.applicationId, sf_dir] + _IMPORTANCES)
+
+
 @register("ml4_scored_sessions", """
 SELECT count(*) AS sessions, count(*) AS distinct_sessions, true AS probabilities_in_range, true AS bands_agree
 FROM sess""")

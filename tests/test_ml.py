@@ -51,9 +51,29 @@ def test_search_is_fitted_on_a_share_without_a_step(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(ml, "search_gbt", lambda train: seen.append(train.count()))
     monkeypatch.setattr(ml, "score", lambda model, d: d)
+    monkeypatch.setattr(ml, "feature_importances", lambda model, d: spark.range(1))
     monkeypatch.setattr(ml, "split", lambda d: (d, d))
     for n in (0, 300, 5000, 5001, 12_000, 50_000):
         monkeypatch.setattr(q_ml, "_train_set", lambda spark, sf_dir, n=n: spark.range(n).toDF("website_session_id"))
         assert q_ml.scored_sessions(spark, f"rows {n}").count() == n
     assert seen[:3] == [0, 300, 5000] and seen[3] > 4950
     assert abs(seen[4] - 5000) < 200 and abs(seen[5] - 10_000) < 400
+
+
+def test_feature_importances_of_the_best_model_are_registered(spark, monkeypatch):
+    import __spark_entry__ as E
+
+    rows = [(i, i, "paid" if i % 5 else "direct", "mobile", "Paid", i % 24, 1 + i % 7, i % 2, 0, 2024, 1,
+             int(i % 24 > 15)) for i in range(400)]
+    df = spark.createDataFrame(rows, "website_session_id long, user_id long, marketing_channel string, "
+                                     "device_type string, channel_group string, session_hour int, day_of_week int, "
+                                     "is_repeat_int int, is_weekend_int int, session_year int, session_month int, "
+                                     "converted_label int")
+    space = {"maxIter": [2], "maxDepth": [2]}
+    search = ml.search_gbt
+    monkeypatch.setattr(q_ml, "_train_set", lambda spark, sf_dir: df)
+    monkeypatch.setattr(ml, "search_gbt", lambda train: search(train, n_search=1, folds=2, space=space, parallelism=1))
+    found = {r.feature: r.importance for r in E.queries()["ml6_feature_importances"](spark, "importances").collect()}
+    assert set(ml.NUM_COLS) < set(found) and any("direct" in f for f in found)
+    assert abs(sum(found.values()) - 1) < 1e-9 and max(found, key=found.get) == "session_hour"
+    assert q_ml.scored_sessions(spark, "importances").count() == 400
