@@ -4,7 +4,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from given_data import SF_SMALL
 from harness import compare, duck
 
 ORACLE = E.oracle_sql()

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from given_data import SF_SMALL
 from shoplens.plans.worlds import ClickWorld, CommerceWorld
 
 

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from given_data import SF_SMALL
 from shoplens.plans import medallion
 from shoplens.sources import sinks
 from shoplens.streaming import pipeline as st
