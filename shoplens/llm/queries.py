@@ -16,6 +16,7 @@ from .exact_dedup import exact_dedup
 from .ppm import ppm_score
 from .sharding import row_bytes, shards_path, shuffle_to_shards
 from .simhash import simhash_dedup
+from .vector_codes import compress
 from .warc import archive_path, read_archives, write_archives
 
 QUERIES: dict = {}
@@ -128,3 +129,51 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", row_bytes(F.col("text")).alias("size"),
                        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, from codebooks after two rounds."""
+    coded, books = compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def _round(k: int) -> str:
+    """SQL of one assignment (a) to the codebooks b, and of the codebooks after it."""
+    return f"""
+a{k} AS (
+  SELECT p.vec_id, p.part, min(64 * (
+      (p.v[1] - b.v[1]) * (p.v[1] - b.v[1]) + (p.v[2] - b.v[2]) * (p.v[2] - b.v[2])
+    + (p.v[3] - b.v[3]) * (p.v[3] - b.v[3]) + (p.v[4] - b.v[4]) * (p.v[4] - b.v[4])) + b.entry) AS best
+  FROM p JOIN b{k} b ON p.part = b.part GROUP BY ALL),
+m{k} AS (
+  SELECT a.part, a.best % 64 AS entry, i, sum(p.v[i]) AS s, count(*) AS n
+  FROM a{k} a JOIN p ON p.vec_id = a.vec_id AND p.part = a.part, range(1, 5) r(i) GROUP BY ALL),
+b{k + 1} AS (
+  SELECT b.part, b.entry, coalesce(any_value(moved), any_value(b.v)) AS v
+  FROM b{k} b LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS moved
+    FROM m{k} GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry
+  GROUP BY b.part, b.entry)"""
+
+
+ORACLE["op11_vector_codes"] = f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT vec_id, part, v[4 * part + 1:4 * part + 4] AS v FROM k, range(16) r(part)),
+b0 AS (
+  SELECT part, entry, v
+  FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT 64)
+  JOIN p USING (vec_id)),{_round(0)},{_round(1)},{_round(2)},
+f AS (
+  SELECT a.vec_id, string_agg(format('{{:02x}}', best % 64), '' ORDER BY part) AS code,
+         CAST(sum(best // 64) AS BIGINT) AS error
+  FROM a2 a GROUP BY a.vec_id)
+SELECT f.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(x, ',' ORDER BY part, entry, i))
+        FROM (SELECT part, entry, i, CAST(v[i] AS VARCHAR) AS x FROM b2, range(1, 5) r(i))) AS codebooks_sha256
+FROM f JOIN k USING (vec_id)
+"""
