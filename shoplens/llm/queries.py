@@ -14,6 +14,7 @@ from .common import table
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .ppm import ppm_score
+from .repeats import without_repeats
 from .sharding import row_bytes, shards_path, shuffle_to_shards
 from .simhash import simhash_dedup
 from .vector_codes import compress
@@ -177,3 +178,32 @@ SELECT f.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGIN
         FROM (SELECT part, entry, i, CAST(v[i] AS VARCHAR) AS x FROM b2, range(1, 5) r(i))) AS codebooks_sha256
 FROM f JOIN k USING (vec_id)
 """
+
+
+@register
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 35 words that stand elsewhere too."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op13_substring_dedup"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+s AS (
+  SELECT rid, i, sha256(array_to_string(words[i:i + 34], ' ')) AS h
+  FROM d, unnest(range(1, CAST(len(words) AS BIGINT) - 33)) AS r(i)),
+g AS (
+  SELECT rid, unnest(range(i, i + 35)) AS i
+  FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM s) WHERE n > 1),
+gone AS MATERIALIZED (SELECT DISTINCT rid, i FROM g),
+w AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+k AS (
+  SELECT w.rid, string_agg(w.word, ' ' ORDER BY w.i) FILTER (gone.i IS NULL) AS kept, count(gone.i) AS n_removed
+  FROM w LEFT JOIN gone ON gone.rid = w.rid AND gone.i = w.i GROUP BY w.rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
