@@ -13,6 +13,7 @@ from .bpe import encode_documents
 from .common import table
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
+from .phrases import collocations
 from .ppm import ppm_score
 from .repeats import without_repeats
 from .sharding import row_bytes, shards_path, shuffle_to_shards
@@ -180,6 +181,46 @@ FROM f JOIN k USING (vec_id)
 """
 
 
+@register
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 collocations of each language with the highest scores."""
+    return collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+p AS MATERIALIZED (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM d),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m, count(*) AS f
+  FROM p, range(1, 6) t(m), unnest(range(1, CAST(len(w) AS BIGINT) - m + 2)) AS r(i)
+  GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+inside AS (
+  SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(f) AS most
+  FROM c, range(1, 6) a(i), range(1, 6) b(j) WHERE j <= m AND j - i >= 1 AND j - i < m - 1 GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n.n, k,
+         (1000 * CAST(c.f AS HUGEINT) * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM c JOIN n ON n.lang = c.lang, range(1, 5) t(k),
+  f l, f r
+  WHERE k < c.m AND l.lang = c.lang AND r.lang = c.lang
+    AND l.phrase = array_to_string(c.w[1:k], ' ') AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+low AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+  FROM low LEFT JOIN inside i ON i.lang = low.lang AND i.phrase = low.phrase
+  WHERE 100 * coalesce(most, 0) < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 @register
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages of 35 words that stand elsewhere too."""
