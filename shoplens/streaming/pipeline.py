@@ -4,10 +4,12 @@
   audit columns, checkpointed parquet sink, ``availableNow`` trigger.
 * STR2 ``dedupe_late``: event-time watermark (2 h) and replay removal with
   ``dropDuplicatesWithinWatermark`` (state bounded by the watermark).
-* STR3 ``upsert_sink``: ``foreachBatch`` merge into a versioned parquet
-  table — each micro-batch writes ``v=<batch_id>`` from the previous
-  version, so a replayed batch rewrites the same directory (idempotent).
-* STR4 ``sessionize``: per-user session windows with a 30-minute gap.
+* STR2 with nothing lost: ``run_late_split`` keeps late and replayed rows on sides
+  of their own, by the watermark committed with each micro-batch.
+* STR3 ``run_upsert_stream``: ``foreachBatch`` merge into a manifest table
+  (``tables``): a micro-batch writes the partitions it touches and one manifest.
+* STR4 ``sessionize``: per-user session windows with a 30-minute gap; in a
+  ``stream_session`` a task's events are merged to sessions before the shuffle.
 * STR5 ``daily_kpis``: tumbling 1-day windows.
 
 The aggregations are plain DataFrame functions: they run unchanged on a
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.incremental import merge_upsert
+from .tables import split_late_into, upsert_into
 
 LATE_DELAY = "2 hours"
 SESSION_GAP = "30 minutes"
@@ -59,13 +61,17 @@ def dedupe_late(df: DataFrame, id_cols=("event_id",), ts_col: str = "event_ts",
 
 
 def ingest_bronze(stream: DataFrame, sink_dir: str, checkpoint: str, source: str,
-                  partition_cols=(), available_now: bool = True):
-    """STR1 sink: append to parquet with a checkpoint (exactly-once file sink)."""
+                  partition_cols=(), available_now: bool = True, every: str | None = "1 minute"):
+    """STR1 sink: append to parquet with a checkpoint (exactly-once file sink), once over
+    what is there or ``every`` so often (None: as soon as rows come)."""
     w = (with_ingest_audit(stream, source).writeStream.format("parquet")
          .option("path", sink_dir).option("checkpointLocation", checkpoint).outputMode("append"))
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif every:
+        w = w.trigger(processingTime=every)
     return w.start()
 
 
@@ -75,7 +81,7 @@ def sessionize(df: DataFrame, ts_col: str = "event_ts", gap: str = SESSION_GAP,
 
     On a batch, sessions are first built inside (user, day) and then stitched
     where a day's first goes on from the day before: a user's rows in one task are
-    that user's sessions, not events. A stream keeps one open session per user.
+    that user's sessions, not events. A stream keeps a user's open sessions as state.
     """
     if not df.isStreaming:
         return _sessionize_batch(df, ts_col, gap, user_col)
@@ -117,54 +123,34 @@ def daily_kpis(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
             .select(F.col("day.start").alias("day_start"), "events", "purchases", "revenue"))
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    """Committed ``v=<n>`` folders under ``base`` via the Hadoop FileSystem
-    of the path (HDFS / object store / local alike); lists folder names
-    only, never data."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st_ in fs.listStatus(path):
-        name = st_.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st_.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def latest_version(base: str, spark: SparkSession | None = None, below: int | None = None) -> str | None:
-    """Highest committed version folder (optionally below ``below``)."""
-    spark = spark or SparkSession.getActiveSession()
-    vs = [v for v in _versions(spark, base) if below is None or v < below]
-    return f"{base.rstrip('/')}/v={vs[-1]}" if vs else None
-
-
-def upsert_sink(base: str, keys, update_col: str | None = None):
-    """STR3: ``foreachBatch`` handler merging each micro-batch into the
-    latest version of a parquet table and writing version ``batch_id``."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # a replayed batch id rebuilds from the version before it
-        prev = latest_version(base, spark, below=batch_id)
-        out = f"{base.rstrip('/')}/v={batch_id}"
-        if prev is None:
-            result = batch
-        else:
-            cond = (F.col(f"_src.{update_col}") >= F.col(f"_tgt.{update_col}")) if update_col else None
-            result = merge_upsert(spark.read.parquet(prev), batch, keys, update_condition=cond,
-                                  order_col=update_col)
-        result.write.mode("overwrite").parquet(out)
-
-    return handle
-
-
-def run_upsert_stream(stream: DataFrame, base: str, checkpoint: str, keys,
-                      update_col: str | None = None, mode: str = "update"):
-    q = (stream.writeStream.foreachBatch(upsert_sink(base, keys, update_col))
-         .option("checkpointLocation", checkpoint).outputMode(mode)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return latest_version(base, stream.sparkSession)
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of the same application with a stream's own settings, so that the
+    caller's stay as they are: event times as UTC, session windows merged inside each
+    task before they are shuffled (a user with very many events then sends sessions, not
+    events), and the number of state partitions where ``partitions`` names one."""
+    s = spark.newSession()
+    for k in ("spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
+        v = spark.conf.get(k, None)
+        if v is not None:
+            s.conf.set(k, v)
+    s.conf.set("spark.sql.session.timeZone", "UTC")
+    s.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    if partitions:
+        s.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return s
+
+
+def run_upsert_stream(stream: DataFrame, base: str, checkpoint: str, keys, partition,
+                      update_col: str | None = None, mode: str = "update", available_now: bool = True):
+    """STR3: start a stream that upserts into the manifest table at ``base``."""
+    w = (stream.writeStream.foreachBatch(upsert_into(base, keys, partition, update_col))
+         .option("checkpointLocation", checkpoint).outputMode(mode))
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def run_late_split(stream: DataFrame, base: str, checkpoint: str, id_cols=("event_id",), ts_col: str = "event_ts",
+                   delay: str = LATE_DELAY, available_now: bool = True):
+    """STR2: start a stream that keeps, replays and late rows apart at ``base``."""
+    w = (stream.writeStream.foreachBatch(split_late_into(base, id_cols, ts_col, delay))
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return (w.trigger(availableNow=True) if available_now else w).start()

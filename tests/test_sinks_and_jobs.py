@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from given_data import SF_SMALL
 from shoplens.plans import medallion
 from shoplens.sources import sinks
-from shoplens.streaming import pipeline as st
+from shoplens.streaming import tables
 
 
 def test_medallion_job_matches_registry(spark, tmp_path):
@@ -36,14 +36,53 @@ def test_writers(spark, tmp_path):
     assert sinks.clustered_write(df, str(tmp_path / "z"), ["g", "id"], partitions=3) == 10
 
 
+def _files(folder):
+    return sorted((os.path.join(d, n), os.path.getmtime(os.path.join(d, n)))
+                  for d, _, names in os.walk(folder) for n in names)
+
+
+def test_stream_sink_writes_touched_partitions_only(spark, tmp_path):
+    base = str(tmp_path / "tbl")
+    h = tables.upsert_into(base, ["k"], F.col("k") % 3)
+    h(spark.createDataFrame([(1, "a"), (2, "b"), (3, "x")], "k long, v string"), 0)
+    table = tables.ManifestTable(spark, base)
+    before, files = table.latest(), _files(base + "/data")
+    h(spark.createDataFrame([(2, "c"), (5, "d")], "k long, v string"), 1)
+    after = table.latest()
+    assert after["touched"] == ["2"]
+    assert {p: after["folders"][p] for p in ("0", "1")} == {p: before["folders"][p] for p in ("0", "1")}
+    assert after["folders"]["2"] != before["folders"]["2"]
+    assert set(files) <= set(_files(base + "/data"))  # nothing written before has changed
+    assert not any("/batch=1/_partition=0" in f or "/batch=1/_partition=1" in f for f, _ in _files(base + "/data"))
+    want = [(1, "a"), (2, "c"), (3, "x"), (5, "d")]
+    assert sorted(map(tuple, table.rows(after).collect())) == want
+    assert sorted(map(tuple, table.rows(before).collect())) == [(1, "a"), (2, "b"), (3, "x")]  # a reader's view stays
+
+
 def test_stream_sink_replay_is_idempotent(spark, tmp_path):
     base = str(tmp_path / "tbl")
-    h = st.upsert_sink(base, ["k"])
+    h = tables.upsert_into(base, ["k"], F.col("k") % 2)
     b0 = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     b1 = spark.createDataFrame([(2, "c"), (3, "d")], "k long, v string")
     h(b0, 0)
+    # a batch that failed before its manifest: its folders are written anew
+    spark.createDataFrame([(9, "half")], "k long, v string").write.parquet(base + "/data/batch=1/_partition=0")
+    table = tables.ManifestTable(spark, base)
+    assert sorted(map(tuple, table.rows(table.latest()).collect())) == [(1, "a"), (2, "b")]
     h(b1, 1)
-    first = sorted(spark.read.parquet(st.latest_version(base, spark)).collect())
-    h(b1, 1)                                   # replay of batch 1 after a failure
-    again = sorted(spark.read.parquet(st.latest_version(base, spark)).collect())
-    assert first == again == sorted(spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], "k long, v string").collect())
+    first, manifest = sorted(table.rows(table.latest()).collect()), table.latest()
+    h(b1, 1)                                   # replay of a batch that was committed
+    assert table.latest() == manifest
+    assert first == sorted(table.rows(table.latest()).collect())
+    assert [tuple(r) for r in first] == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_stream_sink_keeps_the_newer_row(spark, tmp_path):
+    base = str(tmp_path / "tbl")
+    h = tables.upsert_into(base, ["k"], F.col("k"), update_col="t")
+    h(spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 1, "c")], "k long, t long, v string"), 0)
+    h(spark.createDataFrame([(1, 6, "old"), (2, 2, "new"), (None, 1, "n")], "k long, t long, v string"), 1)
+    h(spark.createDataFrame([], "k long, t long, v string"), 2)
+    table = tables.ManifestTable(spark, base)
+    assert sorted(map(tuple, table.rows(table.latest()).collect()), key=repr) == [(1, 7, "b"), (2, 2, "new"), (None, 1, "n")]
+    assert table.batches() == [0, 1, 2] and table.latest()["touched"] == []
