@@ -14,8 +14,7 @@ A phrase can only be frequent if the phrases without its first and its last word
 element names the phrase without the first word, and a block only makes elements of two
 frequent phrases that overlap. Names are exact: numbers dealt out by the part that merged
 the phrase, sent back to the blocks that have it; no phrase is known by a hash. The words
-themselves, the stripe of the empty prefix in each language, are counted by Spark's own
-grouping.
+themselves are the stripe of the empty prefix in each language, cut into segments by word.
 
 Stripes are cut into segments: parts are a grid over prefixes and next words, so a prefix
 that the whole vocabulary follows is spread over many parts. A block sends one number for an
@@ -30,12 +29,13 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, written
 from .ppm import pack, unpack
-from .word_blocks import cut_into_blocks, numbered, one_row, pack_words, rows_of, unpack_words
+from .word_blocks import cut_into_blocks, numbered, one_row, pack_words, rows_of, unpack_words, word_array
 
 LONGEST = 5
 LEAST = 100
@@ -43,8 +43,10 @@ TOP = 2000
 #: A phrase goes if one that holds it occurs in this many of a hundred of its places.
 HELD = 100
 #: Bytes of text that are numbered together, and elements of one part.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 PART_KEYS = 1 << 21
+#: Words of one part.
+PART_WORDS = 1 << 18
 #: Partial rankings of a language.
 SALTS = 64
 
@@ -57,7 +59,7 @@ _END = b"."  # no word holds it
 def pack_texts(docs: DataFrame, text_col: str, lang_col: str, block_bytes: int) -> DataFrame:
     """Blocks of one language each: the words' numbers from 1 on, 0 where a piece ends."""
     types = {"lang": pa.string(), "numbers": pa.binary(), "letters": pa.binary(), "lengths": pa.binary(),
-             "n_words": pa.int64()}
+             "n_words": pa.int64(), "n_distinct": pa.int64()}
 
     def block(rows: pa.Table):
         texts = pc.replace_substring_regex(pc.ascii_lower(rows["text"].combine_chunks()), pattern=_ENDS, replacement=" . ")
@@ -71,31 +73,102 @@ def pack_texts(docs: DataFrame, text_col: str, lang_col: str, block_bytes: int)
             letters, lengths = pack_words(words[:end] + words[end + 1:])
             numbers = new[numbers]
             yield one_row(types, lang=lang, numbers=pack(numbers.astype(np.uint32)), letters=letters, lengths=lengths,
-                          n_words=int((numbers > 0).sum()))
+                          n_words=int((numbers > 0).sum()), n_distinct=len(words) - 1)
 
     def run(batches):
         return cut_into_blocks(batches, "text", block_bytes, block)
 
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "lang string, numbers binary, letters binary, lengths binary, n_words bigint").withColumn(
+    return rows.mapInArrow(run, "lang string, numbers binary, letters binary, lengths binary, n_words bigint, n_distinct bigint").withColumn(
         "block", F.monotonically_increasing_id())
 
 
-def block_words(blocks: DataFrame) -> DataFrame:
-    """(block, lang, word, number, n): a row for each word of a block."""
+def _word_parts(words: list[bytes], parts: int) -> np.ndarray:
+    """The part that merges a word (its segment of the empty prefix's stripe)."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def dealt_words(blocks: DataFrame, parts: int) -> DataFrame:
+    """(part, block, lang, letters, lengths, counts): a block's words and how often they
+    occur, by part in the order of their numbers."""
+    types = {"part": pa.int64(), "block": pa.int64(), "lang": pa.string(), "letters": pa.binary(),
+             "lengths": pa.binary(), "counts": pa.binary()}
+
     def run(batches):
         for row in rows_of(batches):
             words = unpack_words(row["letters"], row["lengths"])
-            if words:
-                n = np.bincount(unpack(row["numbers"], "<u4").astype(np.int64), minlength=len(words) + 1)[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(words), row["block"])), pa.array([row["lang"]] * len(words), pa.string()),
-                     pa.array(words, pa.binary()).cast(pa.string()), pa.array(np.arange(1, len(words) + 1), pa.int64()),
-                     pa.array(n, pa.int64())], names=["block", "lang", "word", "number", "n"])
+            n = np.bincount(unpack(row["numbers"], "<u4").astype(np.int64), minlength=len(words) + 1)[1:]
+            part = _word_parts(words, parts)
+            for p in np.unique(part).tolist():
+                mine = np.flatnonzero(part == p)
+                letters, lengths = pack_words([words[k] for k in mine.tolist()])
+                yield one_row(types, part=p, block=row["block"], lang=row["lang"], letters=letters, lengths=lengths,
+                              counts=pack(n[mine].astype(np.uint64)))
 
     return blocks.select("block", "lang", "numbers", "letters", "lengths").mapInArrow(
-        run, "block bigint, lang string, word string, number bigint, n bigint")
+        run, "part bigint, block bigint, lang string, letters binary, lengths binary, counts binary")
+
+
+def merged_words(dealt: DataFrame, least: int) -> DataFrame:
+    """Counts added up word by word. A row for each part (block null): its frequent words
+    (lang, word, times), the k-th named part << 32 | k, k from 1. And a row for each block
+    that sent to the part: which of its words are frequent, and their k."""
+    schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("n", pa.int64()), ("hits", pa.binary()),
+                        ("ranks", pa.binary()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())),
+                        ("times", pa.list_(pa.int64()))])
+
+    def merge(table: pa.Table) -> pa.Table:
+        by_lang, part = {}, table["part"][0].as_py()
+        for row in table.to_pylist():
+            by_lang.setdefault(row["lang"], []).append(row)
+        langs, found, times, blocks, hits, ranks, sizes = [], [], [], [], [], [], []
+        for lang, rows in sorted(by_lang.items()):
+            words = pa.concat_arrays([word_array(r["letters"], r["lengths"]) for r in rows]).dictionary_encode()
+            which = words.indices.to_numpy()
+            counts = [unpack(r["counts"], "<u8").astype(np.int64) for r in rows]
+            total = np.zeros(len(words.dictionary), np.int64)
+            np.add.at(total, which, np.concatenate(counts))
+            frequent = total >= least
+            rank = np.where(frequent, len(found) + np.cumsum(frequent), 0)
+            found += words.dictionary.filter(pa.array(frequent)).cast(pa.string()).to_pylist()
+            langs += [lang] * int(frequent.sum())
+            times += total[frequent].tolist()
+            end = 0
+            for r, c in zip(rows, counts):
+                mine = rank[which[end:end + len(c)]]
+                end += len(c)
+                blocks.append(r["block"])
+                sizes.append(len(c))
+                hits.append(np.packbits(mine > 0).tobytes())
+                ranks.append(pack(mine[mine > 0].astype(np.uint32)))
+        n = len(blocks)
+        return pa.table([pa.array([part] * (n + 1)), pa.array([*blocks, None], pa.int64()), pa.array([*sizes, len(found)]),
+                         pa.array([*hits, None], pa.binary()), pa.array([*ranks, None], pa.binary()),
+                         pa.array([None] * n + [langs], pa.list_(pa.string())),
+                         pa.array([None] * n + [found], pa.list_(pa.string())),
+                         pa.array([None] * n + [times], pa.list_(pa.int64()))], schema=schema)
+
+    return dealt.groupBy("part").applyInArrow(
+        merge, "part bigint, block bigint, n bigint, hits binary, ranks binary, langs array<string>, "
+               "words array<string>, times array<bigint>")
+
+
+def _answers(merged: DataFrame) -> DataFrame:
+    """What the parts told each block, in the order it had sent to them."""
+    return (merged.where("block IS NOT NULL").groupBy(F.col("block").alias("of"))
+            .agg(F.sort_array(F.collect_list(F.struct("part", "n", "hits", "ranks"))).alias("answers")))
+
+
+def _names(answers: list[dict], n: int) -> np.ndarray:
+    """Names of what a block had sent, 0 for what isn't frequent."""
+    name, begin = np.zeros(n, np.uint64), 0
+    for a in answers:
+        hit = np.unpackbits(np.frombuffer(a["hits"], np.uint8), count=a["n"]).astype(bool)
+        name[begin:begin + a["n"]][hit] = unpack(a["ranks"], "<u4").astype(np.uint64) | np.uint64(a["part"] << 32)
+        begin += a["n"]
+    return name
 
 
 _STATE = {"block": pa.int64(), "places": pa.binary(), "names": pa.binary(), "n_at": pa.int64()}
@@ -108,25 +181,18 @@ def _state(block: int, places: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
                    n_at=int((places > 0).sum()))
 
 
-def named_words(blocks: DataFrame, words: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The blocks' frequent words by name."""
-    names = (words.join(frequent.select("lang", "word", "name"), ["lang", "word"])
-             .groupBy(F.col("block").alias("of"))
-             .agg(F.collect_list(F.struct("number", "name")).alias("x"))  # of one block's own words
-             .select("of", F.col("x.number").alias("old"), F.col("x.name").alias("names")))
-
+def named_words(blocks: DataFrame, merged: DataFrame, parts: int) -> DataFrame:
+    """Where the frequent words stand in the blocks."""
     def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                block, numbers, old, names = (batch.column(i)[k] for i in range(4))
-                numbers = unpack(numbers.as_py(), "<u4").astype(np.int64)
-                old = old.values.to_numpy(zero_copy_only=False)
-                new = np.zeros(max(int(numbers.max()), int(old.max())) + 1, np.int64)
-                new[old] = np.arange(1, len(old) + 1)
-                yield _state(block.as_py(), new[numbers], names.values.to_numpy(zero_copy_only=False))
+        for row in rows_of(batches):
+            part = _word_parts(unpack_words(row["letters"], row["lengths"]), parts)
+            name = np.zeros(len(part) + 1, np.uint64)
+            name[1 + np.argsort(part, kind="stable")] = _names(row["answers"], len(part))
+            number = np.where(name > 0, np.cumsum(name > 0), 0)
+            yield _state(row["block"], number[unpack(row["numbers"], "<u4").astype(np.int64)], name[name > 0])
 
-    return (blocks.select("block", "numbers").join(names, F.col("block") == F.col("of"))
-            .select("block", "numbers", "old", "names").mapInArrow(run, _STATE_SQL))
+    return (blocks.select("block", "numbers", "letters", "lengths").join(_answers(merged), F.col("block") == F.col("of"))
+            .drop("of").mapInArrow(run, _STATE_SQL))
 
 
 # ----- stripes ---------------------------------------------------------------------------------
@@ -232,25 +298,17 @@ def merged_stripes(dealt: DataFrame, least: int) -> DataFrame:
 
 def extended(state: DataFrame, merged: DataFrame, grid: tuple[int, int]) -> DataFrame:
     """Where the phrases one word longer stand in the blocks."""
-    answers = (merged.where("block IS NOT NULL").groupBy(F.col("block").alias("of"))
-               .agg(F.sort_array(F.collect_list(F.struct("part", "n", "hits", "ranks"))).alias("answers")))
-
     def run(batches):
         for row in rows_of(batches):
             s = Stripes(row, grid)
-            name = np.zeros(len(s.part), np.uint64)
-            begin = 0
-            for a in row["answers"]:
-                hit = np.unpackbits(np.frombuffer(a["hits"], np.uint8), count=a["n"]).astype(bool)
-                name[begin:begin + a["n"]][hit] = unpack(a["ranks"], "<u4").astype(np.uint64) | np.uint64(a["part"] << 32)
-                begin += a["n"]
+            name = _names(row["answers"], len(s.part))
             if name.any():
                 number = np.where(name > 0, np.cumsum(name > 0), 0)
                 places = np.zeros(s.length, np.int64)
                 places[s.at] = number[s.which]
                 yield _state(row["block"], places, name[name > 0])
 
-    return state.join(answers, F.col("block") == F.col("of")).drop("of").mapInArrow(run, _STATE_SQL)
+    return state.join(_answers(merged), F.col("block") == F.col("of")).drop("of").mapInArrow(run, _STATE_SQL)
 
 
 # ----- phrases ---------------------------------------------------------------------------------
@@ -304,8 +362,8 @@ def best_of_each(phrases: DataFrame, top: int) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST,
-                  least: int = LEAST, block_bytes: int = BLOCK_BYTES,
-                  part_keys: int = PART_KEYS) -> tuple[list[DataFrame], DataFrame]:
+                  least: int = LEAST, block_bytes: int = BLOCK_BYTES, part_keys: int = PART_KEYS,
+                  part_words: int = PART_WORDS) -> tuple[list[DataFrame], DataFrame]:
     """Frequent phrases of 2 to ``longest`` words, a table for each length: lang, phrase, a
     (occurrences), held (the most that a phrase one word longer occurs; 0 for the longest),
     firsts and lasts (occurrences of the first and of the last 1, 2, ... words). And the
@@ -313,13 +371,15 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     ship(docs.sparkSession)
     blocks = written(pack_texts(docs, text_col, lang_col, block_bytes), "phrase-blocks")
     n_words = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    words = written(block_words(blocks), "phrase-words")
-    frequent = written(words.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-                       .withColumn("name", F.monotonically_increasing_id() + 1), "phrase-frequent")
+    parts = max(1, -(-(blocks.agg(F.sum("n_distinct")).first()[0] or 0) // part_words))
+    merged = written(merged_words(dealt_words(blocks, parts), least), "phrase-words")
     none = F.array().cast("array<bigint>")
-    phrases = frequent.select("name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
-                              none.alias("firsts"), none.alias("lasts"))
-    state, out = written(named_words(blocks, words, frequent), "phrase-places-1"), []
+    phrases = (merged.where("block IS NULL")
+               .select("part", F.posexplode(F.arrays_zip("langs", "words", "times")).alias("k", "x"))
+               .select((F.shiftleft("part", 32) + F.col("k") + 1).alias("name"), F.col("x.langs").alias("lang"),
+                       F.col("x.words").alias("phrase"), F.col("x.words").alias("last"), F.col("x.times").alias("a"),
+                       none.alias("firsts"), none.alias("lasts")))
+    state, out = written(named_words(blocks, merged, parts), "phrase-places-1"), []
     for m in range(2, longest + 1):
         elements = state.agg(F.sum("n_at")).first()[0]
         if not elements:

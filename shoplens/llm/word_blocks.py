@@ -70,6 +70,15 @@ def unpack_words(letters: bytes, lengths: bytes) -> list[bytes]:
     return [text[a:b] for a, b in zip((ends - n).tolist(), ends.tolist())]
 
 
+def word_array(letters: bytes, lengths: bytes) -> pa.Array:
+    """Packed words as an Arrow column."""
+    size = int.from_bytes(letters[:8], "little")
+    text = pa.decompress(letters[8:], size, "zstd") if size else pa.py_buffer(b"")
+    n = unpack(lengths, "<u4").astype(np.int64)
+    offsets = np.concatenate(([0], np.cumsum(n)))
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), text])
+
+
 def only_used(numbers: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Numbers and words without the words that no number names."""
     used, new = np.unique(numbers, return_inverse=True)
