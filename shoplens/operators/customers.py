@@ -168,26 +168,90 @@ def session_kpis(sessions: DataFrame) -> DataFrame:
         F.countDistinct("marketing_channel").alias("distinct_channels"))
 
 
-def ntile_of(df: DataFrame, order_cols, n: int, out: str) -> DataFrame:
-    """``ntile(n) OVER (ORDER BY order_cols)`` without one task for all rows: the
-    rows are range-partitioned by the order and written, so a row's rank is its
-    rank in its range plus the rows of the ranges before. Only the ranges' counts
-    (one row each) meet in one place. ``order_cols`` must tell all rows apart."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "ranked")
-    df.repartitionByRange(*order_cols).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    dealt = spark.read.parquet(path)
-    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_range", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols)) - 1
-    ranked = dealt.withColumn("_rank", rank).join(before, "_range").crossJoin(total)
-    at, size, more = F.col("_rank") + F.col("_before"), F.expr(f"_total div {n}"), F.col("_total") % n
-    # The first ``more`` tiles have one row more.
-    tile = F.when(at < more * (size + 1), F.floor(at / (size + 1))).otherwise(
-        more + F.floor((at - more * (size + 1)) / F.greatest(size, F.lit(1))))
-    return ranked.withColumn(out, (tile + 1).cast("int")).drop("_range", "_rank", "_before", "_total")
+#: Of a border's bracket, found by approximate percentiles, the part of all rows.
+PERCENTILE_ACCURACY = 10_000
+
+
+def _cuts(rows: DataFrame, group: str, value: str, wanted: dict) -> dict:
+    """Exact order statistics of many groups: ``wanted`` is {group: [ranks from 0]}, the
+    result {(group, rank): (value, rows below it, rows with it)}.
+
+    Approximate percentiles give each rank a bracket; rows below the bracket are counted
+    and values inside it grouped, by aggregates over all rows whose results have the size of
+    the brackets. Where a bracket misses its rank, its group's whole range takes its place."""
+    spark = rows.sparkSession
+    sizes = {r[0]: r[1] for r in rows.groupBy(group).count().collect()}  # a row a group
+    ranks = [(g, k) for g, ks in wanted.items() for k in ks if 0 <= k < sizes.get(g, 0)]
+    if not ranks:
+        return {}
+    shares = sorted({p for g, k in ranks for p in (max(0.0, k / sizes[g] - 2 / PERCENTILE_ACCURACY),
+                                                   min(1.0, (k + 1) / sizes[g] + 2 / PERCENTILE_ACCURACY))})
+    near = {r[0]: dict(zip(shares, r[1])) for r in rows.groupBy(group).agg(
+        F.percentile_approx(value, shares, PERCENTILE_ACCURACY)).collect()}
+    brackets = [(g, k, near[g][max(0.0, k / sizes[g] - 2 / PERCENTILE_ACCURACY)],
+                 near[g][min(1.0, (k + 1) / sizes[g] + 2 / PERCENTILE_ACCURACY)]) for g, k in ranks]
+    out = {}
+    for widen in (False, True):
+        if widen:
+            brackets = [(g, k, None, None) for g, k, *_ in brackets if (g, k) not in out]
+        if not brackets:
+            break
+        kind = rows.schema[value].dataType.simpleString()
+        group_kind = rows.schema[group].dataType.simpleString()
+        # one row a border: a few dozen
+        sides = F.broadcast(spark.createDataFrame(brackets, f"_g {group_kind}, _k bigint, _lo {kind}, _hi {kind}"))
+        j = rows.join(sides, F.col(group) == F.col("_g"))
+        below = F.coalesce(F.col(value) < F.col("_lo"), F.lit(False))
+        inside = j.where(below | (F.col("_hi").isNull() | (F.col(value) <= F.col("_hi"))))
+        seen = inside.groupBy("_g", "_k", F.when(~below, F.col(value)).alias("_v"), below.alias("_b")).count()
+        w = Window.partitionBy("_g", "_k").orderBy(F.desc("_b"), "_v").rowsBetween(Window.unboundedPreceding, -1)
+        at = seen.withColumn("_before", F.coalesce(F.sum("count").over(w), F.lit(0)))
+        hit = at.where(~F.col("_b") & (F.col("_before") <= F.col("_k")) & (F.col("_k") < F.col("_before") + F.col("count")))
+        out |= {(r._g, r._k): (r._v, r._before, r["count"]) for r in hit.collect()}  # a row a border
+    return out
+
+
+def with_tiles(rows: DataFrame, scores: dict[str, tuple[str, bool]], tie: str, n: int) -> DataFrame:
+    """``ntile(n) OVER (ORDER BY value, tie)`` for several values at once, without sorting
+    all rows: ``scores`` is {new column: (value column, descending)}; ``tie`` tells all rows
+    apart. The first row of each tile is found by exact counts, for all scores together, and
+    every row is then compared with the tiles' first rows: no row is moved. Nulls of a value
+    come first (last if descending), as Spark orders them; ``tie`` is a whole number."""
+    total = rows.count()
+    size, more = divmod(total, n)
+    starts = [k * size + min(k, more) for k in range(1, n) if k * size + min(k, more) < total]
+    if not starts:
+        return rows.withColumns({c: F.lit(1).cast("int") for c in scores})
+
+    def key(column, descending):  # ordered as numbers; nulls as Spark has them
+        v = F.col(column).cast("double")
+        return F.coalesce(-v if descending else v, F.lit(float("inf" if descending else "-inf")))
+
+    names = list(scores)
+    number = F.coalesce(F.col(tie).cast("bigint"), F.lit(-2**63))  # nulls first
+    tall = rows.select(number.alias(tie), F.explode(F.array(*[F.struct(F.lit(i).alias("s"), key(*scores[c]).alias("v"))
+                                                for i, c in enumerate(names)])).alias("x")).select(tie, "x.s", "x.v")
+    values = _cuts(tall, "s", "v", {i: starts for i in range(len(names))})
+    # where a border falls among equal values, the tie tells
+    groups = sorted({(s, v) for (s, k), (v, before, count) in values.items() if before < k})
+    ties = {}
+    if groups:
+        hits = F.broadcast(rows.sparkSession.createDataFrame([(i, s, v) for i, (s, v) in enumerate(groups)], "g int, _s int, _v double"))
+        same = tall.join(hits, (F.col("s") == F.col("_s")) & (F.col("v") == F.col("_v"))).select("g", tie)
+        wanted = {i: [k - before for (s, k), (v, before, _) in values.items() if (s, v) == g and before < k]
+                  for i, g in enumerate(groups)}
+        ties = {(groups[i], k): t for (i, k), (t, _, _) in _cuts(same, "g", tie, wanted).items()}
+    out = {}
+    for i, c in enumerate(names):
+        tile, v = F.lit(1), key(*scores[c])
+        for k in starts:
+            cut, before, _ = values[i, k]
+            first = F.lit(cut).cast("double")
+            at = ties.get(((i, cut), k - before))
+            reached = (v >= first) if before == k else ((v > first) | ((v == first) & (number >= F.lit(at))))
+            tile = tile + reached.cast("int")
+        out[c] = tile.cast("int")
+    return rows.withColumns(out)
 
 
 def rfm(orders: DataFrame, as_of=None, buckets: int = 5) -> DataFrame:
@@ -213,28 +277,26 @@ def rfm(orders: DataFrame, as_of=None, buckets: int = 5) -> DataFrame:
             F.col("frequency") > 1,
             ratio(F.datediff("last_order_date", "first_order_date"), F.col("frequency") - 1)),
     }).drop("_as_of")
-    u = ntile_of(u, [F.col("recency_days").desc(), "user_id"], buckets, "recency_score")
-    u = ntile_of(u, ["frequency", "user_id"], buckets, "frequency_score")
-    return ntile_of(u, ["monetary", "user_id"], buckets, "monetary_score")
+    path = scratch_path(orders.sparkSession, "rfm")
+    u.write.parquet(path)  # a row per user, read for the borders and for the result
+    u = orders.sparkSession.read.schema(u.schema).parquet(path)
+    return with_tiles(u, {"recency_score": ("recency_days", True), "frequency_score": ("frequency", False),
+                          "monetary_score": ("monetary", False)}, "user_id", buckets)
 
 
 def cohort_retention_keyed(orders: DataFrame, days=RETENTION_DAYS) -> DataFrame:
-    """GD18 in the dashboard's shape (JN9 + AG4): first orders joined to
-    their repeat purchases on (user, cohort, channel) null-safely — a NULL
-    acquisition channel still matches — and repeaters counted as distinct
-    users per window. Each order meets its user's single first-order row, so
-    the join never builds pairs."""
+    """GD18 in the dashboard's shape (JN9 + AG4): repeat buyers per (cohort, channel) and
+    window. A user's cohort and channel are those of the first order, so a repeat order
+    meets them on (user, cohort, channel), a null channel too. Distinct users are counted
+    without distinct: orders shrink to a row per user and day, a user to one row with a flag
+    for each window, and the flags are added up."""
     fo = first_orders(orders)
-    o = orders.select("user_id", F.col("order_ts").alias("_ts"))
-    rp = (fo.join(o, "user_id", "inner")
-          .withColumn("days_since_first", F.datediff(F.to_date("_ts"), F.to_date("first_order_ts")))
-          .filter(F.col("days_since_first") > 0)
-          .select(F.col("user_id").alias("rp_user"), F.col("acquisition_cohort").alias("rp_cohort"),
-                  F.col("acquisition_channel").alias("rp_channel"), "days_since_first"))
-    j = fo.join(rp, (fo.user_id == rp.rp_user) & (fo.acquisition_cohort == rp.rp_cohort)
-                & fo.acquisition_channel.eqNullSafe(rp.rp_channel), "left")
-    aggs = [F.countDistinct("user_id").alias("new_customers")]
-    aggs += [F.countDistinct(F.when(F.col("days_since_first") <= d, F.col("rp_user"))).alias(f"repeated_{d}d")
-             for d in days]
-    g = j.groupBy("acquisition_cohort", "acquisition_channel").agg(*aggs)
+    o = orders.groupBy("user_id", F.to_date("order_ts").alias("_day")).agg(F.lit(1).alias("_one"))
+    gap = F.datediff("_day", F.to_date("first_order_ts"))
+    users = (fo.join(o, fo.user_id.eqNullSafe(o.user_id), "left").drop(o.user_id)
+             .groupBy("user_id", "acquisition_cohort", "acquisition_channel")
+             .agg(*[F.max(F.coalesce((gap > 0) & (gap <= d), F.lit(False))).alias(f"_{d}") for d in days]))
+    named = F.col("user_id").isNotNull()  # a distinct count leaves out the null user
+    g = users.groupBy("acquisition_cohort", "acquisition_channel").agg(
+        count_true(named).alias("new_customers"), *[count_true(named & F.col(f"_{d}")).alias(f"repeated_{d}d") for d in days])
     return g.withColumns({f"retention_rate_{d}d": pct(f"repeated_{d}d", "new_customers") for d in days})

@@ -10,21 +10,23 @@ from __future__ import annotations
 import itertools
 import random
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, ClusteringEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ratio
 from ..functions.labels import propensity_band
-from ..session import shared_dir
+from ..session import scratch_path, shared_dir
 
 # --- fixed values -------------------------------------------------------------
 SEED = 42
@@ -41,6 +43,7 @@ GBT_SPACE = {                       # 3^5 = 243 combinations, 12 sampled
 }
 N_SEARCH = 12
 MIN_FIT_ROWS = 5000  # a sample has about this many rows at least, or all there are
+MAX_FIT_ROWS = 500_000  # and about this many at most
 FOLDS = 3
 KM_NUM = ["total_orders", "gross_lifetime_value", "avg_order_value", "refund_rate_pct",
           "distinct_products_ordered"]
@@ -67,15 +70,15 @@ def stratified_sample(df: DataFrame, key="website_session_id", frac=SAMPLE_FRAC,
     """ML2: the same fraction of each class, by a hash of the key: which rows are
     taken doesn't depend on how they are partitioned."""
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
-    return df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1000 < int(frac * 1000))
+    return df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1_000_000 < int(frac * 1_000_000))
 
 
 def fit_sample(train: DataFrame) -> DataFrame:
     """What the GBT search is fitted on, one rule at every size: a hash sample of
-    ``SAMPLE_FRAC`` of the rows or of about ``MIN_FIT_ROWS``, whichever is more
-    (with no more rows than that: all)."""
-    share = max(SAMPLE_FRAC, MIN_FIT_ROWS / max(train.count(), 1))
-    return stratified_sample(train, frac=share)
+    ``SAMPLE_FRAC`` of the rows, but of about ``MIN_FIT_ROWS`` at least (with no more
+    rows than that: all) and of about ``MAX_FIT_ROWS`` at most."""
+    n = max(train.count(), 1)
+    return stratified_sample(train, frac=min(max(SAMPLE_FRAC, MIN_FIT_ROWS / n), MAX_FIT_ROWS / n))
 
 
 def split(df: DataFrame, key="website_session_id", train_pct=TRAIN_PCT, seed=SEED):
@@ -94,17 +97,48 @@ def class_weights(df: DataFrame, label="converted_label") -> DataFrame:
     return df.join(F.broadcast(w), label, "left")
 
 
+class ModeImputer(Estimator, HasInputCols, HasOutputCols):
+    """Fills null categories with the most frequent value of the rows it is fitted on (of
+    equally frequent ones the smallest); a column with nulls only stays null."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> "ModeImputerModel":
+        cols = self.getInputCols()
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v"))
+                                             for i, c in enumerate(cols)])).alias("x")).select("x.*")
+        counts = long.where("v IS NOT NULL").groupBy("i", "v").count()
+        best = counts.groupBy("i").agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("v"))
+        modes = {r.i: r.v for r in best.collect()}  # a row a column
+        model = ModeImputerModel([modes.get(i) for i in range(len(cols))])
+        return self._copyValues(model)
+
+
+class ModeImputerModel(Model, HasInputCols, HasOutputCols):
+    def __init__(self, modes=()):
+        super().__init__()
+        self.modes = list(modes)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({o: F.coalesce(F.col(c).cast("string"), F.lit(m))
+                               for c, o, m in zip(self.getInputCols(), self.getOutputCols(), self.modes)})
+
+
 def _features(cat_cols=CAT_COLS, num_cols=NUM_COLS):
-    """ML3 preprocessing: median impute + scale numerics, index + one-hot
+    """ML3 preprocessing: median impute + scale numerics, mode impute + index + one-hot
     categoricals (unseen -> extra slot); fit on the training split only."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cat_cols]
+    mode = ModeImputer(inputCols=list(cat_cols), outputCols=[f"{c}_filled" for c in cat_cols])
+    idx = [StringIndexer(inputCol=f"{c}_filled", outputCol=f"{c}_idx", handleInvalid="keep") for c in cat_cols]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cat_cols],
                         outputCols=[f"{c}_ohe" for c in cat_cols], handleInvalid="keep")
     imp = Imputer(inputCols=num_cols, outputCols=[f"{c}_imp" for c in num_cols], strategy="median")
     num_vec = VectorAssembler(inputCols=[f"{c}_imp" for c in num_cols], outputCol="num_vec")
     scale = StandardScaler(inputCol="num_vec", outputCol="num_scaled", withMean=True, withStd=True)
     allv = VectorAssembler(inputCols=["num_scaled"] + [f"{c}_ohe" for c in cat_cols], outputCol="features")
-    return idx + [ohe, imp, num_vec, scale, allv]
+    return [mode] + idx + [ohe, imp, num_vec, scale, allv]
 
 
 def _prepare(df: DataFrame, num_cols=NUM_COLS) -> DataFrame:
@@ -115,11 +149,16 @@ def fit_logistic(train: DataFrame, label="converted_label"):
     """ML3 baseline: class-weighted logistic regression (weighted once)."""
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                             maxIter=100, regParam=0.0)
-    return Pipeline(stages=_features() + [lr]).fit(_prepare(class_weights(train, label)))
+    fitted = Pipeline(stages=_features() + [lr]).fit(_prepare(class_weights(train, label)))
+    # The training summary inside a fitted model holds the session, which can't be sent to
+    # tasks once the session has observed a write; a model read back has no summary.
+    path = scratch_path(train.sparkSession, "logistic")
+    fitted.stages[-1].write().overwrite().save(path)
+    return PipelineModel(stages=[*fitted.stages[:-1], LogisticRegressionModel.load(path)])
 
 
 def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, folds=FOLDS,
-               seed=SEED, space=GBT_SPACE, parallelism=4):
+               seed=SEED, space=GBT_SPACE, parallelism=1):
     """ML4: random search of ``n_search`` of the grid's combinations,
     ``folds``-fold CV scored by ROC-AUC; returns the refit best pipeline.
 
@@ -133,13 +172,18 @@ def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, fol
     combos = list(itertools.product(*[space[n] for n in names]))
     picked = random.Random(seed).sample(combos, min(n_search, len(combos)))
     maps = [{getattr(gbt, n): v for n, v in zip(names, c)} for c in picked]
-    pipe = Pipeline(stages=_features() + [gbt])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
     d = _prepare(class_weights(train, label)).withColumn(
         "is_validation", F.pmod(F.xxhash64("website_session_id", F.lit(seed + 1)), F.lit(10)) == 0)
-    return cv.fit(d).bestModel
+    # Features are made once and written: the folds' fits then read three columns, one fit
+    # after the other, and the driver holds one model's plan at a time.
+    prepared = Pipeline(stages=_features()).fit(d)
+    path = scratch_path(train.sparkSession, "gbt-features")
+    prepared.transform(d).select("features", label, "weight", "is_validation").write.parquet(path)
+    cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps,
+                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
+                        numFolds=folds, seed=seed, parallelism=parallelism)
+    best = cv.fit(train.sparkSession.read.parquet(path)).bestModel
+    return PipelineModel(stages=[*prepared.stages, best])
 
 
 def score(model, df: DataFrame, threshold=0.5) -> DataFrame:
@@ -247,8 +291,9 @@ LTV_LAST_ACTION = "reactivate"
 
 def ltv_dataset(orders: DataFrame, feature_days=LTV_FEATURE_DAYS, horizon=365) -> DataFrame:
     """ML8: per customer, features from the first ``feature_days`` after the
-    first order, label = gross revenue in (feature_days, horizon]. Orders
-    are joined to a one-row-per-user first-order table (no pairs)."""
+    first order, label = gross revenue in (feature_days, horizon], and the days from the
+    first order to the last of the data (a label is cut short where these are fewer than
+    the horizon). Orders are joined to a one-row-per-user first-order table (no pairs)."""
     first = orders.groupBy("user_id").agg(F.min("order_ts").alias("first_ts"),
                                           F.min_by("acquisition_channel", F.struct("order_ts", "order_id"))
                                           .alias("acquisition_channel"))
@@ -256,7 +301,9 @@ def ltv_dataset(orders: DataFrame, feature_days=LTV_FEATURE_DAYS, horizon=365) -
     early = F.col("_d") <= feature_days
     later = (F.col("_d") > feature_days) & (F.col("_d") <= horizon)
     rev = F.col("gross_revenue").cast("decimal(18,4)")
-    return o.groupBy("user_id", "acquisition_channel").agg(
+    end = orders.agg(F.to_date(F.max("order_ts")).alias("_end"))
+    return o.crossJoin(end).groupBy("user_id", "acquisition_channel").agg(
+        F.max(F.datediff("_end", F.to_date("first_ts"))).alias("followup_days"),
         F.count_if(early).cast("double").alias("early_orders"),
         F.sum(F.when(early, rev)).cast("double").alias("early_revenue"),
         F.sum(F.when(early, F.col("items_purchased"))).cast("double").alias("early_items"),
@@ -264,26 +311,60 @@ def ltv_dataset(orders: DataFrame, feature_days=LTV_FEATURE_DAYS, horizon=365) -
         F.coalesce(F.sum(F.when(later, rev)), F.lit(0)).cast("double").alias("future_revenue"))
 
 
-def ltv_models(data: DataFrame, seed=SEED) -> DataFrame:
-    """ML8: ridge, random-forest and GBT regressors; RMSE / R2 on a hash
-    split; recommended action by predicted value band."""
+def censoring_weights(data: DataFrame, horizon: int, strata=("acquisition_channel",), time: str = "followup_days") -> DataFrame:
+    """ML8: what one customer of a stratum whose window is complete stands for.
+
+    A customer is followed up until the data end; those followed less than ``horizon`` days
+    are censored. G, the chance not to be censored before the horizon, is estimated by
+    Kaplan-Meier with censoring as the event: the product over days of 1 - censored that day
+    / still followed up. The weight is 1 / G: complete customers then count for the censored
+    ones of their stratum. A row per stratum: n, n_complete, g, weight (null if none is
+    complete)."""
+    strata = list(strata)
+    days = data.groupBy(*strata, F.least(F.col(time), F.lit(horizon)).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col(time) < horizon).alias("_c"))
+    rest = Window.partitionBy(*strata).orderBy("_t").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = days.withColumn("_left", F.sum("_n").over(rest))  # at most horizon + 1 rows a stratum
+    gone = F.when(F.col("_c") > 0, F.col("_c") / F.col("_left")).otherwise(F.lit(0.0))
+    return left.groupBy(*strata).agg(
+        F.sum("_n").alias("n"), F.sum(F.col("_n") - F.col("_c")).alias("n_complete"),
+        F.when(F.max(gone) >= 1.0, F.lit(0.0)).otherwise(F.exp(F.sum(F.log(F.when(gone < 1.0, 1.0 - gone).otherwise(1.0))))).alias("g")
+    ).withColumn("weight", F.try_divide(F.lit(1.0), F.when(F.col("n_complete") > 0, F.col("g"))))
+
+
+def with_censoring_weights(data: DataFrame, horizon: int, strata=("acquisition_channel",)) -> DataFrame:
+    """The customers whose window is complete, with their weight."""
+    strata = list(strata)
+    w = censoring_weights(data, horizon, strata).select(*[F.col(c).alias(f"_s_{c}") for c in strata], "weight")
+    same = F.lit(True)
+    for c in strata:
+        same = same & data[c].eqNullSafe(w[f"_s_{c}"])
+    return data.where(F.col("followup_days") >= horizon).join(w, same).drop(*[f"_s_{c}" for c in strata])
+
+
+def ltv_models(data: DataFrame, seed=SEED, horizon: int = 365) -> DataFrame:
+    """ML8: ridge, random-forest and GBT regressors; RMSE / R2 on a hash split. They learn
+    and are judged on customers whose window is complete, weighted for those whose isn't."""
     spark = data.sparkSession
     num = ["early_orders", "early_revenue", "early_items", "early_refunds"]
-    d = data.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in num})
+    d = with_censoring_weights(data.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in num}), horizon)
+    path = scratch_path(spark, "ltv")
+    d.write.parquet(path)
+    d = spark.read.parquet(path)
     train, test = split(d, key="user_id")
     idx = StringIndexer(inputCol="acquisition_channel", outputCol="ch_idx", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=["ch_idx"], outputCols=["ch_ohe"], handleInvalid="keep")
     vec = VectorAssembler(inputCols=num + ["ch_ohe"], outputCol="features")
     models = {
-        "ridge": LinearRegression(labelCol="future_revenue", regParam=0.1, elasticNetParam=0.0),
-        "random_forest": RandomForestRegressor(labelCol="future_revenue", numTrees=50, seed=seed),
-        "gbt": GBTRegressor(labelCol="future_revenue", maxIter=50, seed=seed),
+        "ridge": LinearRegression(labelCol="future_revenue", weightCol="weight", regParam=0.1, elasticNetParam=0.0),
+        "random_forest": RandomForestRegressor(labelCol="future_revenue", weightCol="weight", numTrees=50, seed=seed),
+        "gbt": GBTRegressor(labelCol="future_revenue", weightCol="weight", maxIter=50, seed=seed),
     }
     rows = []
     for name, est in models.items():
         pm = Pipeline(stages=[idx, ohe, vec, est]).fit(train)
         pred = pm.transform(test)
-        ev = RegressionEvaluator(labelCol="future_revenue", predictionCol="prediction")
+        ev = RegressionEvaluator(labelCol="future_revenue", predictionCol="prediction", weightCol="weight")
         rows.append((name, float(ev.setMetricName("rmse").evaluate(pred)),
                      float(ev.setMetricName("r2").evaluate(pred)), int(LTV_FEATURE_DAYS)))
     return spark.createDataFrame(rows, "model string, rmse double, r2 double, feature_days int")

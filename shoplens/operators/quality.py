@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import col_, pct, ratio
@@ -271,3 +271,36 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
     g = df.groupBy(column).agg(F.count(F.lit(1)).alias("records"))
     total = g.agg(F.sum("records").alias("_total"))       # one-row aggregate of the same groups
     return g.crossJoin(total).withColumn("pct_of_total", pct("records", "_total")).drop("_total")
+
+
+# ----------------------------------------------------------------- runs
+def append_run(scored: DataFrame, store: str, run_id: str) -> DataFrame:
+    """DQ8: append the results of one run to the store, under its run id and time. The
+    store is only ever appended to; a run that is written again after a failure replaces
+    its own folder alone. Returns the run as written."""
+    run = scored.withColumn("run_timestamp", F.localtimestamp())
+    run.coalesce(1).write.mode("overwrite").parquet(f"{store}/run_id={run_id}")  # a row per check
+    return read_run(scored.sparkSession, store, run_id)
+
+
+def run_history(spark: SparkSession, store: str) -> DataFrame:
+    """All runs of the store."""
+    return spark.read.parquet(store).withColumn("run_id", F.col("run_id").cast("string"))
+
+
+def read_run(spark: SparkSession, store: str, run_id: str | None = None) -> DataFrame:
+    """DQ9: the results of one run, the latest if none is named. Only that run's folder is
+    read."""
+    runs = run_history(spark, store)
+    if run_id is None:
+        run_id = runs.groupBy("run_id").agg(F.max("run_timestamp").alias("t")).orderBy(
+            F.desc("t"), F.desc("run_id")).first().run_id
+    return runs.where(F.col("run_id") == run_id)
+
+
+def run_trend(spark: SparkSession, store: str) -> DataFrame:
+    """DQ9: pass rate and failed checks of every run, oldest first."""
+    return run_history(spark, store).groupBy("run_id").agg(
+        F.min("run_timestamp").alias("run_timestamp"), F.count(F.lit(1)).alias("total_checks"),
+        F.count_if(~F.col("passed")).alias("failed_checks"),
+        pct(F.count_if("passed"), F.count(F.lit(1))).alias("pass_rate_pct")).orderBy("run_timestamp", "run_id")

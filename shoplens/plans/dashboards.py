@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import customers as cu
+from ..operators import kpis as kp
 from ..operators import marketing as mk
 from ..operators import products as pr
 from .worlds import ClickWorld, CommerceWorld
@@ -57,6 +59,8 @@ FILTER_BINDINGS = {
     "refund_analysis": {"month": "year_month", "product": "product_name"},
     "user_order_summary": {"tier": "customer_tier", "channel": "acquisition_channel"},
     "ltv_by_acquisition_channel": {"channel": "acquisition_channel"},
+    "acquisition_cohorts": {"month": "acquisition_cohort"},
+    "session_conversion_predictions": {"channel": "marketing_channel", "device": "device_type"},
 }
 # ----------------------------------------------------------------------------
 
@@ -91,3 +95,25 @@ def product_360(spark: SparkSession, sf_dir: str) -> DataFrame:
         "year_month", F.col("product_name").alias("primary_product_name"),
         F.col("items_sold").alias("line_items_sold"), "items_refunded", "item_refund_rate_pct")
     return pm.join(rf, ["year_month", "primary_product_name"], "left")
+
+
+def customer_360(spark: SparkSession, sf_dir: str, segments: DataFrame | None = None) -> DataFrame:
+    """GD33: a row per customer: order summary and tier (GD15) beside recency, frequency
+    and value scores (GD32), and the model's segment (ML5) where ``segments`` is given."""
+    orders = CommerceWorld(spark, sf_dir).orders
+    rfm = cu.rfm(orders).select("user_id", "recency_days", "avg_days_between_orders", "recency_score",
+                                "frequency_score", "monetary_score")
+    out = cu.user_order_summary(orders).join(rfm, "user_id", "left")
+    out = out.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score"))
+    if segments is not None:
+        out = out.join(segments.select("user_id", "customer_segment"), "user_id", "left")
+    return out
+
+
+def scorecard_360(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GD33: the monthly scorecard (GD26) beside the month's revenue turn (GD29)."""
+    orders = CommerceWorld(spark, sf_dir).orders
+    card = kp.executive_scorecard(kp.monthly_metrics(orders, ClickWorld(spark, sf_dir).visits))
+    turns = kp.revenue_inflections(kp.monthly_revenue(orders)).select(
+        F.col("year_month").alias("score_month"), F.col("pct_change").alias("revenue_change_pct"), "annotation_label", "direction")
+    return card.join(turns, "score_month", "left")

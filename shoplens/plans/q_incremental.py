@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import MONEY
 from ..operators import incremental as inc
+from ..operators import views
 from ..session import scratch_path
 from ..sources.driver import read_table
 from .catalog import register
@@ -216,6 +217,57 @@ def mrg11_incremental_load(spark, sf_dir):
     return _load(spark, sf_dir)[0]
 
 
+# --- fixed values: a returned line is taken back so many days after it was shipped, and
+# the stored roll-up is of a day so many days before the last ----------------------
+TAKEN_BACK_DAYS = 30
+VIEW_BEHIND_DAYS = 90
+# ------------------------------------------------------------------------------
+
+
+def line_price():
+    return (F.col("l_extendedprice").cast("decimal(15,2)") *
+            (F.lit(1).cast("decimal(15,2)") - F.col("l_discount").cast("decimal(15,2)"))).cast(MONEY)
+
+
+def lines_as_of(lines, day):
+    """Lines that are there on ``day``: shipped, and not taken back yet."""
+    back = (F.col("l_returnflag") == "R") & (F.col("l_shipdate") + F.expr(f"INTERVAL {TAKEN_BACK_DAYS} DAYS") <= F.lit(day))
+    return lines.where((F.col("l_shipdate") <= F.lit(day)) & ~F.coalesce(back, F.lit(False)))
+
+
+def line_changes(lines, after, upto):
+    """What happened to lines after one day and up to another. Both days are literals and
+    the conditions are on the bare column, so they reach the Parquet scan (FLT4)."""
+    taken = F.expr(f"INTERVAL {TAKEN_BACK_DAYS} DAYS")
+    came = lines.where((F.col("l_shipdate") > F.lit(after)) & (F.col("l_shipdate") <= F.lit(upto)))
+    went = lines.where((F.col("l_returnflag") == "R") & (F.col("l_shipdate") > F.lit(after) - taken)
+                       & (F.col("l_shipdate") <= F.lit(upto) - taken))
+    return came.withColumn("_change_type", F.lit("insert")).unionByName(went.withColumn("_change_type", F.lit("delete")))
+
+
+@register("mrg11_view_maintenance", f"""
+SELECT l_orderkey AS order_id, count(*) AS n_lines,
+  CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2))) AS DECIMAL(18,4)))
+       AS DOUBLE) AS total_price, max(l_shipdate) AS updated_at
+FROM lineitem, (SELECT max(l_shipdate) AS day FROM lineitem) m
+WHERE l_shipdate <= day AND NOT coalesce(l_returnflag = 'R' AND l_shipdate + INTERVAL {TAKEN_BACK_DAYS} DAY <= day, false)
+GROUP BY l_orderkey""")
+def mrg11_view_maintenance(spark, sf_dir):
+    """MRG11 + FLT4 + MRG5: the order roll-up as it was stored 90 days ago, brought up to
+    date by the lines that came and went since (those alone are scanned, with the filter in
+    the Parquet scan); equal to the roll-up in full."""
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount", "l_shipdate", "l_returnflag"])
+    last = lines.agg(F.max("l_shipdate").alias("m")).select(
+        "m", (F.col("m") - F.expr(f"INTERVAL {VIEW_BEHIND_DAYS} DAYS")).alias("stored")).first()
+    ask = {"count": "n_lines", "sums": {"total_price": line_price()}, "top": {"updated_at": "l_shipdate"}}
+    path = scratch_path(spark, "stored-rollup")
+    views.rollup(lines_as_of(lines, last.stored), ["l_orderkey"], **ask).withColumn(
+        "total_price", F.col("total_price").cast("decimal(38,4)")).write.parquet(path)
+    now = views.maintained(spark.read.parquet(path), line_changes(lines, last.stored, last.m), lines_as_of(lines, last.m),
+                           ["l_orderkey"], **ask)
+    return now.withColumnRenamed("l_orderkey", "order_id")
+
+
 @register("mrg9_watermarks", f"""
 SELECT 'lineitem' AS source_table, 'updated_at' AS timestamp_column, mark AS last_processed_timestamp,
   mark AS last_update_time, 'active_orders' AS pipeline_name, true AS is_active

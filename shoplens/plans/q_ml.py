@@ -43,50 +43,119 @@ def ml2_class_weights(spark, sf_dir):
 
 @register("ml2_stratified_sample", f"""
 SELECT * FROM ({ORACLE_BODY['ml1_training_set']}) t
-WHERE CAST('0x' || substr(md5(CAST(website_session_id AS VARCHAR) || ':{ml.SEED}'), 1, 8) AS BIGINT) % 1000
-  < {int(ml.SAMPLE_FRAC * 1000)}""")
+WHERE CAST('0x' || substr(md5(CAST(website_session_id AS VARCHAR) || ':{ml.SEED}'), 1, 8) AS BIGINT) % 1000000
+  < {int(ml.SAMPLE_FRAC * 1_000_000)}""")
 def ml2_stratified_sample(spark, sf_dir):
     """ML2: 20% of each class by a hash of the session id."""
     return ml.stratified_sample(_train_set(spark, sf_dir))
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+KEPT = 8  # written frames that are remembered; older ones are made anew
+
+
+def _once(spark, sf_dir, name, make):
+    """A frame that several model queries read, written to the shared folder at its first
+    use in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, name)
+        make().write.parquet(path)
+        while len(_WRITTEN) >= KEPT:
+            _WRITTEN.pop(next(iter(_WRITTEN)))
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def _model_set(spark, sf_dir):
+    return _once(spark, sf_dir, "training-set", lambda: _train_set(spark, sf_dir))
+
+
+def _logistic_scores(spark, sf_dir):
+    """All sessions as the logistic baseline scores them; fitted on the train split."""
+    def make():
+        d = _model_set(spark, sf_dir)
+        return ml.score(ml.fit_logistic(ml.split(d)[0]), d)
+
+    return _once(spark, sf_dir, "logistic-scores", make)
+
+
 @register("ml3_propensity_scores")
 def ml3_propensity_scores(spark, sf_dir):
     """ML3 + PRJ14: weighted logistic regression fit on the train split,
     every session scored and banded LOW / MEDIUM / HIGH."""
-    d = _train_set(spark, sf_dir)
-    train, _ = ml.split(d)
-    return ml.score(ml.fit_logistic(train), d)
+    return _logistic_scores(spark, sf_dir)
+
+
+# --- fixed values: categories taken away for the imputation, and rows it is fitted on ---
+GAP_RULE, GAP_REST, FIT_RULE = 9, 4, 8
+# ----------------------------------------------------------------------------------------
+
+
+@register("ml3_mode_imputation", f"""
+WITH t AS (SELECT website_session_id, CASE WHEN website_session_id % {GAP_RULE} <> {GAP_REST} THEN marketing_channel END AS marketing_channel,
+             CASE WHEN website_session_id % {GAP_RULE} <> {GAP_REST} THEN device_type END AS device_type FROM sess),
+m AS (SELECT
+    (SELECT marketing_channel FROM t WHERE website_session_id % 10 < {FIT_RULE} AND marketing_channel IS NOT NULL
+     GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS channel,
+    (SELECT device_type FROM t WHERE website_session_id % 10 < {FIT_RULE} AND device_type IS NOT NULL
+     GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS device)
+SELECT website_session_id, coalesce(marketing_channel, channel) AS marketing_channel, coalesce(device_type, device) AS device_type
+FROM t, m""")
+def ml3_mode_imputation(spark, sf_dir):
+    """ML3: null categories filled with the mode of the rows the imputer is fitted on (eight
+    of ten sessions); a ninth of all categories is taken away before."""
+    gap = F.col("website_session_id") % GAP_RULE == GAP_REST
+    cols = ["marketing_channel", "device_type"]
+    d = ClickWorld(spark, sf_dir).sessions.select(
+        "website_session_id", *[F.when(~gap, F.col(c)).alias(c) for c in cols])
+    imputer = ml.ModeImputer(inputCols=cols, outputCols=[f"{c}_filled" for c in cols])
+    filled = imputer.fit(d.where(F.col("website_session_id") % 10 < FIT_RULE)).transform(d)
+    return filled.select("website_session_id", *[F.col(f"{c}_filled").alias(c) for c in cols])
 
 
 @register("ml6_model_metrics")
 def ml6_model_metrics(spark, sf_dir):
     """ML6: ROC-AUC, PR-AUC, precision, recall, F1 of the LR baseline on the
     held-out split."""
-    d = _train_set(spark, sf_dir)
-    train, test = ml.split(d)
-    return ml.model_metrics(spark, ml.score(ml.fit_logistic(train), test), "logistic_regression")
+    return ml.model_metrics(spark, ml.split(_logistic_scores(spark, sf_dir))[1], "logistic_regression")
+
+
+@register("ml6_logistic_invariants", """
+SELECT count(*) AS sessions, count(*) AS distinct_sessions, true AS probabilities_in_range, true AS bands_agree,
+  true AS predictions_agree,
+  CAST(sum(CASE WHEN EXISTS (SELECT 1 FROM c_orders_raw o WHERE o.website_session_id = sess.website_session_id)
+           THEN 1 ELSE 0 END) AS BIGINT) AS converted
+FROM sess""")
+def ml6_logistic_invariants(spark, sf_dir):
+    """ML3 + PRJ14 invariants of the logistic scores: every session once, probabilities from
+    0 to 1, bands and predictions as the probabilities say, labels as the orders say."""
+    return _logistic_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("sessions"), F.countDistinct("website_session_id").alias("distinct_sessions"),
+        F.min(F.col("conversion_prob").between(0, 1)).alias("probabilities_in_range"),
+        F.min(F.col("propensity_segment") == ml.propensity_band("conversion_prob")).alias("bands_agree"),
+        F.min(F.col("predicted_conversion") == (F.col("conversion_prob") >= 0.5).cast("int")).alias("predictions_agree"),
+        F.sum(F.col("converted_label").cast("long")).alias("converted"))
 
 
-_SCORED: dict[tuple[str, str], str] = {}
-_IMPORTANCES = "-importances"  # beside the scores
+def _search(spark, sf_dir):
+    """All sessions as the best GBT scores them, and its feature importances. The search
+    runs once per application and data folder on a sample of the train side
+    (``ml.fit_sample``); every reader reads what it wrote."""
+    d = _model_set(spark, sf_dir)
+    model = []
+
+    def best():
+        if not model:
+            model.append(ml.search_gbt(ml.fit_sample(ml.split(d)[0])))
+        return model[0]
+
+    scores = _once(spark, sf_dir, "scored-sessions", lambda: ml.score(best(), d))
+    return scores, _once(spark, sf_dir, "gbt-importances", lambda: ml.feature_importances(best(), d))
 
 
 def scored_sessions(spark, sf_dir):
-    """All sessions as the best GBT scores them. The search runs once per
-    application and data folder on a sample of the train side
-    (``ml.fit_sample``); its scores and feature importances are written to the
-    shared folder, and every reader reads those."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SCORED:
-        d = _train_set(spark, sf_dir)
-        train, _ = ml.split(d)
-        path = scratch_path(spark, "scored-sessions")
-        model = ml.search_gbt(ml.fit_sample(train))
-        ml.score(model, d).write.parquet(path)
-        ml.feature_importances(model, d).write.parquet(path + _IMPORTANCES)
-        _SCORED[key] = path
-    return spark.read.parquet(_SCORED[key])
+    return _search(spark, sf_dir)[0]
 
 
 @register("ml4_gbt_search")
@@ -100,8 +169,7 @@ def ml4_gbt_search(spark, sf_dir):
 @register("ml6_feature_importances")
 def ml6_feature_importances(spark, sf_dir):
     """ML6: feature importances of the best GBT, by name."""
-    scored_sessions(spark, sf_dir)
-    return spark.read.parquet(_SCORED[spark.sparkContext.applicationId, sf_dir] + _IMPORTANCES)
+    return _search(spark, sf_dir)[1]
 
 
 @register("ml4_scored_sessions", """
@@ -164,6 +232,21 @@ def ml8_ltv_models(spark, sf_dir):
     return ml.ltv_models(ml.ltv_dataset(CommerceWorld(spark, sf_dir).orders))
 
 
+@register("ml8_censoring_weights", """
+WITH f AS (SELECT user_id, arg_min(acquisition_channel, (order_ts, order_id)) AS acquisition_channel,
+             (SELECT max(CAST(order_ts AS DATE)) FROM m_orders) - min(CAST(order_ts AS DATE)) AS followup
+           FROM m_orders GROUP BY user_id)
+SELECT acquisition_channel, count(*) AS n, CAST(count(*) FILTER (WHERE followup >= 365) AS BIGINT) AS n_complete,
+  round(CAST(count(*) FILTER (WHERE followup >= 365) AS DOUBLE) / count(*), 6) AS g,
+  round(CAST(count(*) AS DOUBLE) / NULLIF(count(*) FILTER (WHERE followup >= 365), 0), 6) AS weight
+FROM f GROUP BY acquisition_channel""")
+def ml8_censoring_weights(spark, sf_dir):
+    """ML8: Kaplan-Meier chance of a complete year by channel, and the weight it gives. With
+    no customer leaving but by the end of the data it is the share of complete ones."""
+    w = ml.censoring_weights(ml.ltv_dataset(CommerceWorld(spark, sf_dir).orders), 365)
+    return w.select("acquisition_channel", "n", "n_complete", F.round("g", 6).alias("g"), F.round("weight", 6).alias("weight"))
+
+
 @register("ml8_ltv_history", """
 WITH o AS (SELECT *, CAST(order_ts AS DATE) - min(CAST(order_ts AS DATE)) OVER (PARTITION BY user_id) AS d,
              min(CAST(order_ts AS DATE)) OVER (PARTITION BY user_id) AS first_day FROM m_orders)
