@@ -18,7 +18,7 @@ partitions Spark splits.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,47 +96,48 @@ def parted(groups: DataFrame, parts: int) -> DataFrame:
 def build_index(groups: DataFrame, parts: int) -> DataFrame:
     """One row per partition: its minimal perfect hash and its slots. ``groups``:
     one row per distinct digest (digest binary, id, rid, n)."""
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        digests = _matrix(pdf["digest"])
+    def build(rows: pa.Table) -> pa.Table:
+        digests = _matrix(rows["digest"].to_pylist())
         sizes, bits, slot = build_hash(digests)
         order = np.argsort(slot)
-        ids = [None if pd.isna(x) else int(x) for x in pdf["id"].astype("Int64")]
-        return pd.DataFrame({
-            "part": [int(pdf["part"].iloc[0])], "sizes": [sizes], "bits": [np.packbits(bits).tobytes()],
-            "n_bits": [len(bits)], "digests": [digests[order].tobytes()], "ids": [[ids[k] for k in order]],
-            "rids": [pdf["rid"].to_numpy()[order]], "counts": [pdf["n"].to_numpy()[order]]})
+        in_slots = rows.take(pa.array(order))
+        whole = lambda c: pa.array([in_slots[c].to_pylist()], pa.list_(pa.int64()))  # noqa: E731  ids stay exact
+        return pa.table({
+            "part": rows["part"].slice(0, 1), "sizes": pa.array([sizes], pa.list_(pa.int64())),
+            "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()), "n_bits": pa.array([len(bits)], pa.int64()),
+            "digests": pa.array([digests[order].tobytes()], pa.binary()),
+            "ids": whole("id"), "rids": whole("rid"), "counts": whole("n")})
 
-    return parted(groups, parts).groupBy("part").applyInPandas(build, INDEX_SCHEMA)
+    return parted(groups, parts).groupBy("part").applyInArrow(build, INDEX_SCHEMA)
 
 
 def resolve(new_groups: DataFrame, index: DataFrame, parts: int) -> DataFrame:
     """One row per distinct digest of history and new rows: digest, id and rid of
     the row that stays, n rows of both. Members of the history take its winner."""
-    def look(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        digest, ids = list(new["digest"]), [None if pd.isna(x) else int(x) for x in new["id"].astype("Int64")]
-        rids, n = list(new["rid"]), list(new["n"])
-        if len(old):
-            at = old.iloc[0]
+    def look(new: pa.Table, old: pa.Table) -> pa.Table:
+        digest, ids, rids, n = (new[c].to_pylist() for c in ("digest", "id", "rid", "n"))
+        if old.num_rows:
+            (at,) = old.to_pylist()
             slots = _matrix([at["digests"]])
             counts, alone = np.array(at["counts"], np.int64), np.ones(len(digest), bool)
             if digest:
-                bits = np.unpackbits(np.frombuffer(at["bits"], np.uint8), count=int(at["n_bits"])).astype(bool)
+                bits = np.unpackbits(np.frombuffer(at["bits"], np.uint8), count=at["n_bits"]).astype(bool)
                 mine = _matrix(digest)
-                slot = look_up(mine, [int(x) for x in at["sizes"]], bits)
+                slot = look_up(mine, at["sizes"], bits)
                 member = slot >= 0
                 member[member] = (slots[slot[member]] == mine[member]).all(axis=1)
                 counts[slot[member]] += np.array(n, np.int64)[member]
                 alone = ~member
-            keep = np.flatnonzero(alone)
+            keep = np.flatnonzero(alone).tolist()
             digest = [digest[k] for k in keep] + [x.tobytes() for x in slots]
-            ids = [ids[k] for k in keep] + [None if pd.isna(x) else int(x) for x in at["ids"]]
-            rids = [rids[k] for k in keep] + list(at["rids"])
-            n = [n[k] for k in keep] + list(counts)
-        return pd.DataFrame({"digest": digest, "keep_id": pd.array(ids, "Int64"),
-                             "keep_rid": pd.array(rids, "Int64"), "n": pd.array(n, "Int64")})
+            ids = [ids[k] for k in keep] + at["ids"]
+            rids = [rids[k] for k in keep] + at["rids"]
+            n = [n[k] for k in keep] + counts.tolist()
+        return pa.table({"digest": pa.array(digest, pa.binary()), "keep_id": pa.array(ids, pa.int64()),
+                         "keep_rid": pa.array(rids, pa.int64()), "n": pa.array(n, pa.int64())})
 
     left = parted(new_groups, parts).groupBy("part")
-    return left.cogroup(index.groupBy("part")).applyInPandas(
+    return left.cogroup(index.groupBy("part")).applyInArrow(
         look, "digest binary, keep_id bigint, keep_rid bigint, n bigint")
 
 

@@ -154,3 +154,11 @@ def test_components_of_a_long_chain(spark):
 
 def test_more_blocks_for_more_fingerprints():
     assert [S.block_count(n, 4) for n in (0, 10**5, 10**7, 10**9, 10**12)] == [5, 5, 6, 7, 8]
+
+
+def test_large_ids_beside_a_null_id_stay_exact(spark):
+    rows = [(1, "a"), (2**53 + 1, "b"), (2**53 + 3, "b"), (None, "b"), (None, "c"), (2**53 + 5, "c"), (2**62 + 1, "d"), (2**62 + 3, "d")]
+    got = E.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    first = {"a": 1, "b": 2**53 + 1, "c": 2**53 + 5, "d": 2**62 + 1}
+    want = sorted(((i, first[t], sum(x == t for _, x in rows), i == first[t]) for i, t in rows), key=repr)
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=repr) == want
