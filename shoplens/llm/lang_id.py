@@ -17,8 +17,11 @@ grows with the number of words (words of a text are not independent).
 from __future__ import annotations
 
 import itertools
+import functools
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -32,8 +35,6 @@ MAX_GRAM = 4
 #: Smallest share of a language's words, and of its n-grams of a length, that is
 #: kept: at most 50,000 words and 4 x 50,000 n-grams per language.
 MIN_SHARE = 2e-5
-#: Languages a model may tell apart; beyond it the label column is not one.
-MAX_LANGS = 200
 #: Numbers a model holds at most (a row of one per language for each entry): with
 #: more than eight languages the smallest share rises so that it stays below.
 MAX_NUMBERS = 20_000_000
@@ -43,12 +44,19 @@ COUNT_WORDS = 300_000
 KEPT = 300_000
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+@functools.cache
+def _words() -> re.Pattern:
+    """Runs of letters: word characters of the Unicode categories L. Python's word
+    characters also hold digits and numbers of other kinds (fractions, powers, signs)."""
+    others = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and unicodedata.category(c)[0] != "L"]
+    return re.compile(f"[^\\W_{re.escape(''.join(others))}]+")
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, in lower case."""
-    return _WORD.findall(text.lower())
+    return _words().findall(text.lower())
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -179,9 +187,7 @@ def fit(labelled: DataFrame, min_share: float = MIN_SHARE) -> Model:
     ship(labelled.sparkSession)
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = written(word_counts(rows), "word-counts")
-    langs = counts.select("lang").distinct().limit(MAX_LANGS + 1).count()
-    if langs > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    langs = counts.select("lang").distinct().count()
     # Words by their borders and letters, as grams_of cuts them.
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
     length = F.char_length(padded)

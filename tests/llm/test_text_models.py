@@ -296,3 +296,18 @@ def test_bpe_odd_rows(odd, none):
     assert got == rows
     assert all(len(r.ids) == r.n_tokens for r in found)
     assert bpe.encode_documents(none, VOCAB, keep=("doc_id",)).collect() == []
+
+
+def test_signs_and_numbers_are_no_letters(spark):
+    assert lang_id.words_of("½ ² ① Ⅷ ٣ 7 _ — !") == []
+    assert lang_id.words_of("x² Äb½c 日本 ①d") == ["x", "äb", "c", "日本", "d"]
+    model = lang_id.fit(spark.createDataFrame([("en", "the cat"), ("de", "die katze")], "lang string, text string"))
+    got = lang_id.predict(spark.createDataFrame([(1, "½ ²"), (2, "the ²")], "doc_id int, text string"), model).collect()
+    assert {r.doc_id: (r.lang_pred, r.score > 0) for r in got} == {1: ("und", False), 2: ("en", True)}
+
+
+def test_more_than_200_languages(spark):
+    rows = [(f"l{k:03}", f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100]} common") for k in range(230)]
+    model = lang_id.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model.langs) == 230
+    assert model.predict(rows[137][1])[0] == "l137"
