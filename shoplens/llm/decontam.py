@@ -36,6 +36,7 @@ THRESHOLD = 0.6
 BLOCK_WORDS = 200_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _TO_BLANK = str.maketrans({c: " " for c in string.punctuation})
 #: Scripts without blanks: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _NO_BLANKS = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff"
@@ -50,13 +51,17 @@ def words_of(text: str | None) -> list[str]:
 
 
 def hashes(ids: np.ndarray, length: int) -> np.ndarray:
-    """Karp-Rabin hash (modulo 2^64) of every run of ``length`` ids."""
+    """Karp-Rabin hash (modulo 2^64) of every run of ``length`` ids. Running sums with the
+    base's inverse make it as cheap for long runs as for short ones."""
     n = len(ids) - length + 1
-    out = np.zeros(max(n, 0), np.uint64)
+    if n <= 0 or length == 0:
+        return np.zeros(max(n, 0), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(length if n > 0 else 0):
-            out = out * _BASE + ids[k:k + n]
-    return out
+        up = np.cumprod(np.full(len(ids), _BASE))
+        down = np.concatenate(([np.uint64(1)], np.cumprod(np.full(len(ids) - 1, _INVERSE))))
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(ids.astype(np.uint64) * down, dtype=np.uint64)))
+        scale = np.concatenate(([np.uint64(1)], up))[length - 1:length - 1 + n]
+        return (sums[length:] - sums[:n]) * scale
 
 
 def tile(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
@@ -65,28 +70,51 @@ def tile(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, i
     out, free_item, free_doc = [], np.ones(len(item), bool), doc != 0
     top = longest_match(item, doc, free_item, free_doc, min_match)
     while top >= min_match:
-        found = matches(item, doc, free_item, free_doc, top)
-        for i, d in found:
-            if free_item[i:i + top].all() and free_doc[d:d + top].all():
-                out.append((i, d, top))
-                free_item[i:i + top] = False
-                free_doc[d:d + top] = False
+        mark(item, doc, free_item, free_doc, top, out)
         top = min(top, longest_match(item, doc, free_item, free_doc, min_match))
     return out
 
 
-def matches(item, doc, free_item, free_doc, length: int) -> list[tuple[int, int]]:
-    """Starts of equal unmarked runs of ``length``, in item then document order:
-    equal hashes, then equal ids."""
+def _equal_hashes(item, doc, free_item, free_doc, length: int):
+    """Unmarked runs of ``length`` of the item whose hash the document has too: their
+    starts, and for each the first and last place in the document's starts, which are
+    sorted by hash and then place. Nothing is listed pair by pair."""
     at_item, at_doc = (np.flatnonzero(runs(free, length)) for free in (free_item, free_doc))
-    if not len(at_item) or not len(at_doc):
-        return []
     h_item, h_doc = hashes(item, length)[at_item], hashes(doc, length)[at_doc]
     order = np.argsort(h_doc, kind="stable")
     h_doc, at_doc = h_doc[order], at_doc[order]
     lo, hi = np.searchsorted(h_doc, h_item, "left"), np.searchsorted(h_doc, h_item, "right")
-    return [(int(i), int(d)) for i, a, b in zip(at_item, lo, hi) for d in at_doc[a:b]
-            if (item[i:i + length] == doc[d:d + length]).all()]
+    some = hi > lo
+    return at_item[some], lo[some], hi[some], at_doc
+
+
+def mark(item, doc, free_item, free_doc, length: int, out: list) -> None:
+    """Mark matches of ``length`` in item order, each at the first place of the document
+    that is still free. Places passed over because they are taken are never looked at again."""
+    at_item, lo, hi, at_doc = _equal_hashes(item, doc, free_item, free_doc, length)
+    next_place: dict[int, int] = {}  # by the start of the places of a hash
+    for i, a, b in zip(at_item.tolist(), lo.tolist(), hi.tolist()):
+        if not free_item[i:i + length].all():
+            continue
+        k = next_place.get(a, a)
+        while k < b and not free_doc[at_doc[k]:at_doc[k] + length].all():
+            k += 1
+        next_place[a] = k
+        while k < b:
+            d = int(at_doc[k])
+            if free_doc[d:d + length].all() and (item[i:i + length] == doc[d:d + length]).all():
+                out.append((i, d, length))
+                free_item[i:i + length] = False
+                free_doc[d:d + length] = False
+                break
+            k += 1  # other words of the same hash
+
+
+def any_match(item, doc, free_item, free_doc, length: int) -> bool:
+    """Whether an unmarked run of ``length`` stands in both."""
+    at_item, lo, hi, at_doc = _equal_hashes(item, doc, free_item, free_doc, length)
+    return any((item[i:i + length] == doc[d:d + length]).all()
+               for i, a, b in zip(at_item.tolist(), lo.tolist(), hi.tolist()) for d in at_doc[a:b])
 
 
 def runs(free: np.ndarray, length: int) -> np.ndarray:
@@ -101,7 +129,7 @@ def longest_match(item, doc, free_item, free_doc, min_match: int) -> int:
     lo, hi = min_match - 1, min(len(item), len(doc))
     while lo < hi:
         middle = (lo + hi + 1) // 2
-        if matches(item, doc, free_item, free_doc, middle):
+        if any_match(item, doc, free_item, free_doc, middle):
             lo = middle
         else:
             hi = middle - 1
@@ -152,10 +180,12 @@ class Seeds:
         seen = seed_hash[np.minimum(lo, len(seed_hash) - 1)] == h
         if not seen.any():
             return []
-        lo, start = lo[seen], start[seen]
-        hi = np.searchsorted(seed_hash, h[seen], "right")
-        # Where in which item the document's seeds lie.
-        count = hi - lo
+        start = start[seen]
+        # Where in which item the document's seeds lie, each seed once however often the
+        # document has it.
+        distinct = np.unique(h[seen])
+        lo = np.searchsorted(seed_hash, distinct, "left")
+        count = np.searchsorted(seed_hash, distinct, "right") - lo
         k = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         of, at = seed_of[k], seed_at[k]
         near = np.zeros(len(doc), bool)

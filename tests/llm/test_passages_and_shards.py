@@ -1,5 +1,6 @@
 """Decontamination, sharding and the pipeline."""
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -230,3 +231,26 @@ def test_stages_on_odd_and_empty_tables(spark, request, which):
         docs, before = out, out.count()
     if which == "odd":  # rows with letters, one of each group; the repeated text once
         assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "11", "12", "12", "9"]
+
+
+def test_rolling_hashes_are_those_of_the_runs():
+    rng = np.random.default_rng(0)
+    ids = rng.integers(0, 9, 60).astype(np.uint64)
+    for length in (1, 2, 5, 59, 60, 61):
+        want = []
+        for k in range(len(ids) - length + 1):
+            h = 0
+            for x in ids[k:k + length].tolist():
+                h = (h * int(decontam._BASE) + x) % 2**64
+            want.append(h)
+        assert decontam.hashes(ids, length).tolist() == want
+
+
+@pytest.mark.parametrize("item_words, doc_words", [(50, 1_000_000), (20_000, 30_000)])
+def test_one_word_over_and_over(item_words, doc_words):
+    """The work grows with the words of item and document, not with their pairs."""
+    seeds = decontam.Seeds([(7, ["la"] * item_words)], 5, 0.6)
+    began = time.process_time()
+    (hit,) = seeds.find("la " * doc_words)
+    assert hit[:4] == (7, 1.0, item_words, item_words)
+    assert time.process_time() - began < 20
