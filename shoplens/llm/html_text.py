@@ -59,6 +59,8 @@ NAMES = frozenset("""ad ads adv advert adverts advertisement advertising banner
 sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead
 cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe
 comment comments reply replies respond disqus share sharing social related recommended widget""".split())
+#: Of these, those that name what readers wrote.
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 #: Words that say of such a name only which or where. With any other word a name is
 #: weaker evidence (a class) or a heading's words (an id).
 PARTS = frozenset("""area bar block bottom box button buttons center col column container entry form group
@@ -280,7 +282,13 @@ def left_out(page: Page, pieces: list[tuple[str, str, int, int]], threshold: flo
         elif whole and k not in around:
             groups.setdefault(words, []).append(k)
     dropped = inside_of(page, out)
-    # All of a name are left out or none, while what is left is the larger part.
+    # What readers wrote goes, however long it is, if there is content beside it.
+    for words in [w for w in groups if COMMENTS.intersection(w.split())]:
+        more = dropped | inside_of(page, groups[words])
+        if (in_content * ~more[element]).any():
+            dropped = more
+            del groups[words]
+    # All of another name are left out or none, while what is left is the larger part.
     rest = length * ~dropped[element]
     share = {words: (rest * inside_of(page, ks)[element]).sum() for words, ks in groups.items()}
     for words in sorted(groups, key=lambda w: (share[w], w)):

@@ -213,3 +213,19 @@ def test_named_elements_of_a_minor_share_are_left_out(name):
     for page in (f"<article><p>{BODY_TEXT}</p>{named}</article>", f"<div><p>{BODY_TEXT}</p></div>{named}",
                  f"<article><p>{BODY_TEXT}</p></article>{named * 99}"):
         assert html_text.main_text(page) == BODY_TEXT.strip()
+
+
+@pytest.mark.parametrize("section", ['class="comments-section"', 'id="comments"', 'class="comment-list"', 'id="respond"'])
+def test_comments_longer_than_the_article_go(section):
+    remarks = "".join(f"<p>Reader number {k} thinks this was worth writing down, at some length.</p>" for k in range(30))
+    page = (f"<html><body><article><h1>Title</h1><p>The article itself has a paragraph of plain words.</p>"
+            f"<p>And another one of about the same length.</p><section {section}>{remarks}</section></article></body></html>")
+    text = html_text.main_text(page)
+    assert "Reader number" not in text
+    assert "The article itself has a paragraph of plain words." in text and "And another one" in text
+
+
+def test_an_article_about_comments_stays():
+    body = "".join(f"<p>Paragraph {k} is on how comments are written, at some length.</p>" for k in range(5))
+    text = html_text.main_text(f"<html><body><article class='comments'><h1>On comments</h1>{body}</article></body></html>")
+    assert "Paragraph 4" in text
