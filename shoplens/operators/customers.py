@@ -172,16 +172,15 @@ def session_kpis(sessions: DataFrame) -> DataFrame:
 PERCENTILE_ACCURACY = 10_000
 
 
-def _cuts(rows: DataFrame, group: str, value: str, wanted: dict) -> dict:
-    """Exact order statistics of many groups: ``wanted`` is {group: [ranks from 0]}, the
-    result {(group, rank): (value, rows below it, rows with it)}.
+def _cuts(rows: DataFrame, group: str, value: str, wanted: dict, sizes: dict) -> dict:
+    """Exact order statistics of many groups: ``wanted`` is {group: [ranks from 0]},
+    ``sizes`` {group: rows}, the result {(group, rank): (value, rows below it, rows with it)}.
 
     Approximate percentiles give each rank a bracket; rows below the bracket are counted
     and values inside it grouped, by aggregates over all rows whose results have the size of
     the brackets. Where a bracket misses its rank, its group's whole range takes its place."""
     spark = rows.sparkSession
-    sizes = {r[0]: r[1] for r in rows.groupBy(group).count().collect()}  # a row a group
-    ranks = [(g, k) for g, ks in wanted.items() for k in ks if 0 <= k < sizes.get(g, 0)]
+    ranks = [(g, k) for g, ks in wanted.items() for k in ks]
     if not ranks:
         return {}
     shares = sorted({p for g, k in ranks for p in (max(0.0, k / sizes[g] - 2 / PERCENTILE_ACCURACY),
@@ -231,16 +230,18 @@ def with_tiles(rows: DataFrame, scores: dict[str, tuple[str, bool]], tie: str, n
     number = F.coalesce(F.col(tie).cast("bigint"), F.lit(-2**63))  # nulls first
     tall = rows.select(number.alias(tie), F.explode(F.array(*[F.struct(F.lit(i).alias("s"), key(*scores[c]).alias("v"))
                                                 for i, c in enumerate(names)])).alias("x")).select(tie, "x.s", "x.v")
-    values = _cuts(tall, "s", "v", {i: starts for i in range(len(names))})
+    every = range(len(names))
+    values = _cuts(tall, "s", "v", {i: starts for i in every}, {i: total for i in every})
     # where a border falls among equal values, the tie tells
     groups = sorted({(s, v) for (s, k), (v, before, count) in values.items() if before < k})
     ties = {}
     if groups:
         hits = F.broadcast(rows.sparkSession.createDataFrame([(i, s, v) for i, (s, v) in enumerate(groups)], "g int, _s int, _v double"))
         same = tall.join(hits, (F.col("s") == F.col("_s")) & (F.col("v") == F.col("_v"))).select("g", tie)
+        counts = {i: next(n for (s, _), (v, _, n) in values.items() if (s, v) == g) for i, g in enumerate(groups)}
         wanted = {i: [k - before for (s, k), (v, before, _) in values.items() if (s, v) == g and before < k]
                   for i, g in enumerate(groups)}
-        ties = {(groups[i], k): t for (i, k), (t, _, _) in _cuts(same, "g", tie, wanted).items()}
+        ties = {(groups[i], k): t for (i, k), (t, _, _) in _cuts(same, "g", tie, wanted, counts).items()}
     out = {}
     for i, c in enumerate(names):
         tile, v = F.lit(1), key(*scores[c])

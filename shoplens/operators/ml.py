@@ -251,25 +251,40 @@ def _km_stages():
     return [idx, ohe, num, sc, allv]
 
 
-def customer_segments(users: DataFrame, k=KM_K, seed=SEED) -> DataFrame:
+KM_INITS, ELBOW_INITS = 5, 2  # starts of a clustering; the one with the least cost stays
+
+
+def _written_features(users: DataFrame) -> DataFrame:
+    """Features of every customer, made once: each start and each round reads these."""
+    feats = segment_features(users)
+    path = scratch_path(users.sparkSession, "segment-features")
+    Pipeline(stages=_km_stages()).fit(feats).transform(feats).select(
+        "user_id", *KM_NUM, KM_CAT, "features").write.parquet(path)
+    return users.sparkSession.read.parquet(path)
+
+
+def _best_start(feats: DataFrame, k: int, inits: int, seed: int, max_iter: int):
+    """The clustering with the least cost of ``inits`` starts (the first of equal ones)."""
+    models = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="customer_segment",
+                     maxIter=max_iter).fit(feats) for i in range(inits)]
+    return min(models, key=lambda m: m.summary.trainingCost)
+
+
+def customer_segments(users: DataFrame, k=KM_K, seed=SEED, inits: int = KM_INITS) -> DataFrame:
     """ML5: KMeans on 5 scaled numerics + one-hot acquisition channel (the
     channel is a category, so it is one-hot encoded, not used as a number)."""
-    feats = segment_features(users)
-    model = Pipeline(stages=_km_stages() + [KMeans(k=k, seed=seed, featuresCol="features",
-                                                   predictionCol="customer_segment", maxIter=100)]).fit(feats)
-    return model.transform(feats).select("user_id", "customer_segment", *KM_NUM, KM_CAT)
+    feats = _written_features(users)
+    return _best_start(feats, k, inits, seed, 100).transform(feats).select("user_id", "customer_segment", *KM_NUM, KM_CAT)
 
 
-def elbow(users: DataFrame, ks=range(2, 7), seed=SEED) -> DataFrame:
+def elbow(users: DataFrame, ks=range(2, 7), seed=SEED, inits: int = ELBOW_INITS) -> DataFrame:
     """ML5: training cost and silhouette per k (one small row per k)."""
-    spark = users.sparkSession
-    feats = Pipeline(stages=_km_stages()).fit(segment_features(users)).transform(segment_features(users))
-    rows = []
+    feats, rows = _written_features(users), []
     for k in ks:
-        m = KMeans(k=k, seed=seed, featuresCol="features", maxIter=50).fit(feats)
-        sil = ClusteringEvaluator(featuresCol="features").evaluate(m.transform(feats))
+        m = _best_start(feats, k, inits, seed, 50)
+        sil = ClusteringEvaluator(featuresCol="features", predictionCol="customer_segment").evaluate(m.transform(feats))
         rows.append((int(k), float(m.summary.trainingCost), float(sil)))
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+    return users.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 def segment_profile(segments: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@ check); the training set and confusion metrics of a rule are SQL-checked."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from ..operators import ml
@@ -207,22 +210,56 @@ def ag15_confusion_metrics(spark, sf_dir):
     return ml.confusion_metrics(d)
 
 
+def _customers(spark, sf_dir):
+    return _once(spark, sf_dir, "customers", lambda: user_order_summary(CommerceWorld(spark, sf_dir).orders))
+
+
+def customer_segments(spark, sf_dir):
+    """Segments of all customers, made once per application and data folder."""
+    return _once(spark, sf_dir, "customer-segments", lambda: ml.customer_segments(_customers(spark, sf_dir)))
+
+
 @register("ml5_customer_segments")
 def ml5_customer_segments(spark, sf_dir):
-    """ML5: KMeans k=4 customer segments."""
-    return ml.customer_segments(user_order_summary(CommerceWorld(spark, sf_dir).orders))
+    """ML5: KMeans k=4 customer segments, the best of five starts."""
+    return customer_segments(spark, sf_dir)
+
+
+@register("ml5_segment_invariants", f"""
+SELECT count(DISTINCT user_id) AS customers, count(DISTINCT user_id) AS distinct_customers, CAST({ml.KM_K} AS BIGINT) AS segments,
+  true AS segments_in_range, count(*) AS orders
+FROM m_orders""")
+def ml5_segment_invariants(spark, sf_dir):
+    """ML5 invariants: every customer in one segment, all segments used, no order lost."""
+    s = customer_segments(spark, sf_dir)
+    return s.agg(F.count(F.lit(1)).alias("customers"), F.countDistinct("user_id").alias("distinct_customers"),
+                 F.countDistinct("customer_segment").alias("segments"),
+                 F.min(F.col("customer_segment").between(0, ml.KM_K - 1)).alias("segments_in_range"),
+                 F.sum("total_orders").cast("long").alias("orders"))
 
 
 @register("ml5_elbow")
 def ml5_elbow(spark, sf_dir):
     """ML5: inertia and silhouette for k = 2..6."""
-    return ml.elbow(user_order_summary(CommerceWorld(spark, sf_dir).orders))
+    return ml.elbow(_customers(spark, sf_dir))
 
 
 @register("ml7_segment_profile")
 def ml7_segment_profile(spark, sf_dir):
     """ML7: per-segment profile."""
-    return ml.segment_profile(ml.customer_segments(user_order_summary(CommerceWorld(spark, sf_dir).orders)))
+    return ml.segment_profile(customer_segments(spark, sf_dir))
+
+
+@register("ml7_profile_invariants", """
+SELECT count(DISTINCT user_id) AS customers, count(*) AS orders,
+  CAST(round(CAST(sum(CAST(gross_revenue AS DECIMAL(18,4))) AS DOUBLE), 0) AS BIGINT) AS lifetime_value
+FROM m_orders""")
+def ml7_profile_invariants(spark, sf_dir):
+    """ML7 invariants: the segments' customers, and averages times customers, add up to
+    the totals of all orders."""
+    p, n = ml.segment_profile(customer_segments(spark, sf_dir)), F.col("customers")
+    return p.agg(F.sum(n).alias("customers"), F.round(F.sum(n * F.col("avg_orders"))).cast("long").alias("orders"),
+                 F.round(F.sum(n * F.col("avg_ltv"))).cast("long").alias("lifetime_value"))
 
 
 @register("ml8_ltv_models")
@@ -267,7 +304,33 @@ def ml8_ltv_history(spark, sf_dir):
     return ml.ltv_history(CommerceWorld(spark, sf_dir).orders)
 
 
+def _ltv_predictions(spark, sf_dir):
+    return _once(spark, sf_dir, "ltv-predictions",
+                 lambda: ml.ltv_predictions(_once(spark, sf_dir, "ltv-history", lambda: ml.ltv_history(
+                     CommerceWorld(spark, sf_dir).orders))))
+
+
 @register("ml8_ltv_predictions")
 def ml8_ltv_predictions(spark, sf_dir):
     """ML8: predicted 90 / 180 / 365-day LTV and recommended action per customer."""
-    return ml.ltv_predictions(ml.ltv_history(CommerceWorld(spark, sf_dir).orders))
+    return _ltv_predictions(spark, sf_dir)
+
+
+@register("ml8_prediction_invariants", """
+SELECT count(DISTINCT user_id) AS customers, count(DISTINCT user_id) AS distinct_customers, true AS all_predicted, true AS actions_agree
+FROM m_orders""")
+def ml8_prediction_invariants(spark, sf_dir):
+    """ML8 invariants: every customer once, with a number for each horizon, and the action
+    that the longest horizon's prediction says beside the mean."""
+    p = _ltv_predictions(spark, sf_dir)
+    longest = F.col(f"predicted_ltv_{max(ml.LTV_HORIZONS)}d")
+    p = p.crossJoin(p.agg(F.avg(longest).alias("_mean")))
+    near = F.lit(False)  # a prediction at a band's edge, where the mean's last digit would decide
+    said, action = F.lit(ml.LTV_LAST_ACTION), None
+    for share, name in ml.LTV_ACTIONS:
+        edge = F.col("_mean") * share
+        near = near | (F.abs(longest - edge) <= F.abs(edge) * 1e-9)
+        action = F.when(longest >= edge, name) if action is None else action.when(longest >= edge, name)
+    return p.agg(F.count(F.lit(1)).alias("customers"), F.countDistinct("user_id").alias("distinct_customers"),
+                 F.min(reduce(and_, [F.coalesce(~F.isnan(f"predicted_ltv_{h}d"), F.lit(False)) for h in ml.LTV_HORIZONS])).alias("all_predicted"),
+                 F.min((F.col("recommended_action") == action.otherwise(said)) | near).alias("actions_agree"))

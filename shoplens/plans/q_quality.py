@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 
 from ..operators import quality as dq
 from ..session import scratch_path
+from ..sources import adapters as ad
 from ..sources.driver import read_table
 from .catalog import register
 from .oracle_ctes import CTES, _pct
@@ -34,9 +35,11 @@ def suite(spark, sf_dir):
     # Tables with several checks are derived once, with the columns that are checked.
     s = silver(c.raw_sessions, "sessions", "website_session_id", "user_id", "created_at", "utm_source", "device_type")
     o = silver(c.raw_orders, "orders", "order_id", "website_session_id", "created_at", "price_usd")
-    it = silver(m.items, "items", "order_id", "line_number", "created_at", "price_usd", "is_refunded")
+    it = silver(m.items, "items", "order_id", "line_number", "created_at", "price_usd", "is_refunded",
+                "product_id")
     pv = c.pageviews
-    rf, pr, mo = it.filter("is_refunded"), m.products, m.raw_orders
+    rf, pr = it.filter("is_refunded"), ad.commerce_products(it)
+    mo = read_table(spark, sf_dir, "orders", ["o_orderkey"]).withColumnRenamed("o_orderkey", "order_id")
     customers = read_table(spark, sf_dir, "customer", ["c_custkey"])
     # single-pass checks: one aggregate (one scan) per table
     checks = [

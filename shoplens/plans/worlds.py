@@ -24,11 +24,14 @@ class _World:
     every action still executes in full."""
 
     _cache: dict = {}
+    KEPT = 8  # the least lately made ones go
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (cls.__name__, id(spark), spark.sparkContext.applicationId, sf_dir)
+        key = (cls.__name__, spark.sparkContext.applicationId, sf_dir)
         inst = cls._cache.get(key)
-        if inst is None:
+        if inst is None or inst.spark is not spark:  # plans belong to their session
+            while len(cls._cache) >= cls.KEPT:
+                cls._cache.pop(next(iter(cls._cache)))
             inst = super().__new__(cls)
             inst.spark, inst.sf_dir = spark, sf_dir
             cls._cache[key] = inst
