@@ -46,17 +46,33 @@ UNKNOWN = "und"
 
 
 
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
 @functools.cache
-def _words() -> re.Pattern:
-    """Runs of letters: word characters of the Unicode categories L. Python's word
-    characters also hold digits and numbers of other kinds (fractions, powers, signs)."""
-    others = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and unicodedata.category(c)[0] != "L"]
-    return re.compile(f"[^\\W_{re.escape(''.join(others))}]+")
+def _signs() -> tuple[re.Pattern, re.Pattern]:
+    """Word characters of Python that are neither letters (Unicode categories L) nor
+    decimal digits: fractions, powers, numbers in circles. Those up to U+FFFF are a class
+    that is looked up in a table; the others would be gone through one by one, and are a
+    class of their own for texts that have characters beyond."""
+    found = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and unicodedata.category(c) not in ("Lo", "Nd")]
+    near, far = ("".join(c for c in found if (c > "\uffff") == beyond) for beyond in (False, True))
+    return re.compile(f"[{re.escape(near)}]"), re.compile(f"[{re.escape(far)}]")
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, in lower case."""
-    return _words().findall(text.lower())
+    text = text.lower()
+    if not text.isascii():
+        near, far = _signs()
+        if near.search(text):
+            text = near.sub(" ", text)
+        if _BEYOND.search(text):
+            text = far.sub(" ", text)
+    return _WORD.findall(text)
 
 
 def grams_of(word: str, n: int) -> list[str]:
