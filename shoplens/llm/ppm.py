@@ -23,6 +23,13 @@ each of its distinct grams, and blocks add up costs for their texts. Words are
 counted by the same machinery, keyed by their 64-bit hash. So what moves grows
 with the input, nothing is sent whole to a task or to the driver, and a text that
 a third of all rows repeat is counted where it lies.
+
+A frequent context (". " alone has some 2 % of all grams) makes a part larger than
+others. Such a part's blocks are dealt to several tasks by salt: each merges its
+blocks' counts first, and the merged counts meet in the part; for the costs each
+has a copy of the part's piece of the trie. As many copies are made as blocks' grams
+fill tasks of ``task_bytes``, or of the piece's own size where that is larger, so
+the copies never hold more than the grams themselves and one piece a part.
 """
 
 from __future__ import annotations
@@ -48,6 +55,8 @@ BLOCK_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
 #: Text bytes for each part of the trie.
 PART_BYTES = 64 << 20
+#: Packed grams of a part that one task takes.
+TASK_BYTES = 32 << 20
 #: Counts merged at a time.
 MERGE_KEYS = 2_000_000
 
@@ -247,7 +256,7 @@ class Trie:
                 known = np.add.reduceat(up_counts[at], first)
             self.nodes[j] = (context[first], total, kinds, known)
 
-    def cost(self, keys: np.ndarray) -> np.ndarray:
+    def cost(self, keys: np.ndarray, discount: float = DISCOUNT) -> np.ndarray:
         """log10 of the probability of each gram's last byte behind the others."""
         out, open_ = np.zeros(len(keys)), np.ones(len(keys), bool)
         out_total, out_kinds = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
@@ -260,9 +269,9 @@ class Trie:
                 continue
             left, distinct = total[node] - out_total, kinds[node] - out_kinds
             coded = open_ & there & hit
-            out[coded] += np.log10((self.edges[j][1][at[coded]] - DISCOUNT) / left[coded])
+            out[coded] += np.log10((self.edges[j][1][at[coded]] - discount) / left[coded])
             passed = open_ & there & ~hit & (left > 0)
-            out[passed] += np.log10(DISCOUNT * distinct[passed] / left[passed])
+            out[passed] += np.log10(discount * distinct[passed] / left[passed])
             open_ &= ~coded
             out_total = np.where(there & open_, known[node], 0)
             out_kinds = np.where(there & open_, kinds[node], 0)
@@ -326,8 +335,9 @@ def _batch(types: dict, **values):
     return pa.RecordBatch.from_arrays([pa.array([values[n]], t) for n, t in types.items()], names=list(types))
 
 
-_COUNTED = {"block": pa.int64(), "kind": pa.string(), "part": pa.int32(), "keys": pa.binary(), "counts": pa.binary()}
-_COUNTED_SQL = "block bigint, kind string, part int, keys binary, counts binary"
+_COUNTED = {"block": pa.int64(), "kind": pa.string(), "part": pa.int32(), "keys": pa.binary(), "counts": pa.binary(),
+            "size": pa.int64()}
+_COUNTED_SQL = "block bigint, kind string, part int, keys binary, counts binary, size bigint"
 
 
 def count_blocks(blocks: DataFrame, parts: int, order: int) -> DataFrame:
@@ -340,8 +350,9 @@ def count_blocks(blocks: DataFrame, parts: int, order: int) -> DataFrame:
                 part = PART_OF[kind](keys, parts)
                 for p in np.unique(part).tolist():
                     mine = part == p
-                    yield _batch(_COUNTED, block=row["block"], kind=kind, part=p,
-                                 keys=pack(keys[mine], True), counts=pack(counts[mine].astype(np.uint32)))
+                    k, c = pack(keys[mine], True), pack(counts[mine].astype(np.uint32))
+                    yield _batch(_COUNTED, block=row["block"], kind=kind, part=p, keys=k, counts=c,
+                                 size=len(k) + len(c))
 
     return blocks.select("block", "train", "lengths", "n_bytes", "data").mapInArrow(run, _COUNTED_SQL)
 
@@ -350,13 +361,35 @@ def _dealt(df: DataFrame, tasks: int, keys: list[str], *order: str) -> DataFrame
     return df.repartition(tasks, *keys).sortWithinPartitions(*keys, *order)
 
 
-def merge_parts(counted: DataFrame, tasks: int) -> DataFrame:
-    """One row per kind and part: its keys with training counts, how many there
-    are (kinds), their sum (total), and for grams the counts of byte pairs."""
+def salts(counted: DataFrame, task_bytes: int, model: DataFrame | None = None) -> DataFrame:
+    """How many tasks share each kind and part: a row each, 65,536 at most."""
+    sizes = counted.groupBy("kind", "part").agg(F.sum("size").alias("all"))
+    room = F.lit(task_bytes)
+    if model is not None:
+        sizes = sizes.join(model.select("kind", "part", "size"), ["kind", "part"])
+        room = F.greatest(room, "size")
+    return sizes.select("kind", "part", F.ceil(F.col("all") / room).cast("int").alias("salts"))
+
+
+def _salted(counted: DataFrame, shares: DataFrame) -> DataFrame:
+    return counted.join(F.broadcast(shares), ["kind", "part"]).withColumn(
+        "salt", F.pmod(F.xxhash64("block"), F.col("salts")).cast("int")).drop("salts")
+
+
+def _groups(shares: DataFrame) -> int:
+    return max(1, shares.agg(F.coalesce(F.sum("salts"), F.lit(0))).first()[0])
+
+
+def merge_parts(counted: DataFrame, tasks: int, by: tuple[str, ...] = ("kind", "part")) -> DataFrame:
+    """One row per kind and part (and salt, if ``by`` has it): its keys with
+    training counts, how many there are (kinds), their sum (total), and for grams
+    the counts of byte pairs."""
     schema = ("kind string, part int, keys binary, counts binary, kinds bigint, total bigint, "
-              "pairs array<bigint>, pair_counts array<bigint>")
+              "pairs array<bigint>, pair_counts array<bigint>, size bigint")
     out = {"kind": pa.string(), "part": pa.int32(), "keys": pa.binary(), "counts": pa.binary(), "kinds": pa.int64(),
-           "total": pa.int64(), "pairs": pa.list_(pa.int64()), "pair_counts": pa.list_(pa.int64())}
+           "total": pa.int64(), "pairs": pa.list_(pa.int64()), "pair_counts": pa.list_(pa.int64()), "size": pa.int64()}
+
+    width = 4 if "salt" in by else 8  # bytes of a count: of one block, or merged
 
     def run(batches):
         now, keys, counts, size = None, [], [], 0
@@ -369,15 +402,18 @@ def merge_parts(counted: DataFrame, tasks: int) -> DataFrame:
             (k,), (c,) = merged()
             pairs = np.bincount((k & np.uint64(0xFFFF)).astype(np.int64), c, 65536) if now[0] == "g" else np.zeros(0)
             seen = np.flatnonzero(pairs)
-            return _batch(out, kind=now[0], part=now[1], keys=pack(k, True), counts=pack(c), kinds=len(k),
-                          total=int(c.sum()), pairs=seen, pair_counts=pairs[seen].astype(np.int64))
+            keys_, counts_ = pack(k, True), pack(c)
+            return _batch(out, kind=now[0], part=now[1], keys=keys_, counts=counts_, kinds=len(k),
+                          total=int(c.sum()), pairs=seen, pair_counts=pairs[seen].astype(np.int64),
+                          size=len(keys_) + len(counts_))
 
         for row in _rows(batches):
-            if (row["kind"], row["part"]) != now:
+            group = tuple(row[c] for c in by)
+            if group != now:
                 if now:
                     yield done()
-                now, keys, counts, size = (row["kind"], row["part"]), [], [], 0
-            k, c = unpack(row["keys"], "<u8", True), unpack(row["counts"], "<u4").astype(np.int64)
+                now, keys, counts, size = group, [], [], 0
+            k, c = unpack(row["keys"], "<u8", True), unpack(row["counts"], f"<u{width}").astype(np.int64)
             seen = c > 0
             keys.append(k[seen])
             counts.append(c[seen])
@@ -388,10 +424,11 @@ def merge_parts(counted: DataFrame, tasks: int) -> DataFrame:
         if now:
             yield done()
 
-    return _dealt(counted, tasks, ["kind", "part"]).mapInArrow(run, schema)
+    return _dealt(counted.select(*by, "keys", "counts"), tasks, list(by)).mapInArrow(run, schema)
 
 
-def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int, tasks: int) -> DataFrame:
+def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int, discount: float,
+               task_bytes: int) -> DataFrame:
     """For each block, kind and part: the costs of its grams, the counts of its
     words, in the order of its keys."""
     spark = counted.sparkSession
@@ -401,14 +438,14 @@ def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int
     def run(batches):
         now, trie, keys, counts = None, None, None, None
         for row in _rows(batches):
-            if (row["kind"], row["part"]) != now:
-                now = (row["kind"], row["part"])
+            if (row["kind"], row["part"], row["salt"]) != now:
+                now = (row["kind"], row["part"], row["salt"])
                 keys, counts = unpack(row["keys"], "<u8", True), unpack(row["counts"], "<i8")  # the model's row
                 trie = Trie(keys, counts, sent.value, order) if now[0] == "g" else None
                 continue
             wanted = unpack(row["keys"], "<u8", True)
             if trie:
-                costs = trie.cost(wanted)
+                costs = trie.cost(wanted, discount)
             else:
                 at, hit = _find(keys, wanted)
                 costs = np.zeros(len(wanted), np.int64)
@@ -416,9 +453,13 @@ def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int
             yield _batch(out, block=row["block"], kind=now[0], part=now[1],
                          costs=pack(costs.astype(np.float32) if trie else costs))
 
-    both = model.select(F.lit(-1).cast("bigint").alias("block"), "kind", "part", "keys", "counts").unionByName(
-        counted.withColumn("counts", F.lit(None).cast("binary")))
-    return _dealt(both, tasks, ["kind", "part"], "block").mapInArrow(
+    shares = salts(counted, task_bytes, model)
+    copies = model.join(F.broadcast(shares), ["kind", "part"]).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    both = copies.select(F.lit(-1).cast("bigint").alias("block"), "kind", "part", "salt", "keys", "counts").unionByName(
+        _salted(counted.select("block", "kind", "part", "keys"), shares).withColumn(
+            "counts", F.lit(None).cast("binary")))
+    return _dealt(both, _groups(shares), ["kind", "part", "salt"], "block").mapInArrow(
         run, "block bigint, kind string, part int, costs binary")
 
 
@@ -487,7 +528,8 @@ def score_blocks(blocks: DataFrame, costs: DataFrame, parts: int, order: int, tr
 
 
 def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: str = "doc_id", order: int = ORDER,
-              block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+              block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES,
+              discount: float = DISCOUNT) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out (not ``train_col``), n_tokens,
     n_known, train_tokens, base_score, score (log10 probability of the text).
 
@@ -509,7 +551,9 @@ def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: s
         F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()
     parts = int(min(max(4, -(-n_bytes // part_bytes)), 32768))
     counted = written(count_blocks(blocks, parts, order), "ppm-counts")
-    model = written(merge_parts(counted, 2 * parts), "ppm-model")
+    shares = salts(counted, task_bytes)
+    merged = merge_parts(_salted(counted, shares), _groups(shares), ("kind", "part", "salt"))
+    model = written(merge_parts(merged, 2 * parts), "ppm-model")
     low = np.zeros(65536, np.int64)
     pairs = (model.where("kind = 'g'").select(F.explode(F.arrays_zip("pairs", "pair_counts")).alias("p"))
              .groupBy("p.pairs").agg(F.sum("p.pair_counts").alias("n")))  # at most 65,536 rows
@@ -517,5 +561,5 @@ def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: s
         low[pair] = n
     known, total = model.where("kind = 'w'").agg(
         F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
-    costs = cost_parts(counted, model, low, order, 2 * parts)
+    costs = cost_parts(counted, model, low, order, discount, task_bytes)
     return score_blocks(blocks, costs, parts, order, train_docs, total, known, max(1, n_blocks))

@@ -178,6 +178,17 @@ def test_ppm_against_brute_force(spark, some, order, block, part):
     check_ppm(ppm.ppm_score(df, "train", order=order, block_bytes=block, part_bytes=part).collect(), rows, order)
 
 
+def test_ppm_splits_large_parts(spark, some):
+    rows = [(r.doc_id, r.text, r.doc_id % 10 != 0) for r in some[1][:40]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, train boolean")
+    check_ppm(ppm.ppm_score(df, "train", order=4, block_bytes=2000, task_bytes=100).collect(), rows, 4)
+    counted = spark.createDataFrame([("g", 0, 90), ("g", 0, 60), ("g", 1, 5), ("w", 0, 400)],
+                                    "kind string, part int, size bigint")
+    model = spark.createDataFrame([("g", 0, 70), ("g", 1, 5), ("w", 0, 50)], "kind string, part int, size bigint")
+    assert {tuple(r) for r in ppm.salts(counted, 20).collect()} == {("g", 0, 8), ("g", 1, 1), ("w", 0, 20)}
+    assert {tuple(r) for r in ppm.salts(counted, 20, model).collect()} == {("g", 0, 3), ("g", 1, 1), ("w", 0, 8)}
+
+
 def test_ppm_query_beats_the_base(spark):
     found = QUERIES["op6_ppm"](spark, SF_MORE).collect()
     rest = [r for r in found if r.held_out]
