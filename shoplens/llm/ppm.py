@@ -25,7 +25,7 @@ with the input, nothing is sent whole to a task or to the driver, and a text tha
 a third of all rows repeat is counted where it lies.
 
 A frequent context (". " alone has some 2 % of all grams) makes a part larger than
-others. Such a part's blocks are dealt to several tasks by salt: each merges its
+others. Such a part's blocks are dealt to several numbered tasks: each merges its
 blocks' counts first, and the merged counts meet in the part; for the costs each
 has a copy of the part's piece of the trie. As many copies are made as blocks' grams
 fill tasks of ``task_bytes``, or of the piece's own size where that is larger, so
@@ -39,7 +39,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, written
@@ -357,40 +357,51 @@ def count_blocks(blocks: DataFrame, parts: int, order: int) -> DataFrame:
     return blocks.select("block", "train", "lengths", "n_bytes", "data").mapInArrow(run, _COUNTED_SQL)
 
 
-def _dealt(df: DataFrame, tasks: int, keys: list[str], *order: str) -> DataFrame:
-    return df.repartition(tasks, *keys).sortWithinPartitions(*keys, *order)
+def numbered(blocks: DataFrame) -> DataFrame:
+    """The blocks numbered from 0 without gaps: the upper bits of the id of a block
+    are those of the task that wrote it, so only a count for each task is added up."""
+    task = F.shiftright("block", 33)
+    counts = blocks.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
+    before = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    return blocks.withColumn("task", task).join(before, "task").withColumn(
+        "block", F.col("before") + F.col("block").bitwiseAND((1 << 33) - 1)).drop("task", "before")
+
+
+def _dealt(df: DataFrame, tasks: int, to: str, *order: str) -> DataFrame:
+    """Rows sorted in task ``to``: one group in each, where a hash would put several."""
+    return df.repartitionById(tasks, F.col(to).cast("int")).sortWithinPartitions(to, *order)
 
 
 def salts(counted: DataFrame, task_bytes: int, model: DataFrame | None = None) -> DataFrame:
-    """How many tasks share each kind and part: a row each, 65,536 at most."""
+    """How many tasks share each kind and part, and the number of the first of
+    them: a row each, 65,536 at most."""
     sizes = counted.groupBy("kind", "part").agg(F.sum("size").alias("all"))
     room = F.lit(task_bytes)
     if model is not None:
         sizes = sizes.join(model.select("kind", "part", "size"), ["kind", "part"])
         room = F.greatest(room, "size")
-    return sizes.select("kind", "part", F.ceil(F.col("all") / room).cast("int").alias("salts"))
+    shares = sizes.select("kind", "part", F.ceil(F.col("all") / room).cast("int").alias("salts"))
+    return shares.withColumn("first", F.sum("salts").over(Window.orderBy("kind", "part")) - F.col("salts"))
 
 
 def _salted(counted: DataFrame, shares: DataFrame) -> DataFrame:
     return counted.join(F.broadcast(shares), ["kind", "part"]).withColumn(
-        "salt", F.pmod(F.xxhash64("block"), F.col("salts")).cast("int")).drop("salts")
+        "task", F.col("first") + F.pmod("block", "salts")).drop("salts", "first")
 
 
 def _groups(shares: DataFrame) -> int:
     return max(1, shares.agg(F.coalesce(F.sum("salts"), F.lit(0))).first()[0])
 
 
-def merge_parts(counted: DataFrame, tasks: int, by: tuple[str, ...] = ("kind", "part")) -> DataFrame:
-    """One row per kind and part (and salt, if ``by`` has it): its keys with
-    training counts, how many there are (kinds), their sum (total), and for grams
-    the counts of byte pairs."""
+def merge_parts(counted: DataFrame, tasks: int, width: int) -> DataFrame:
+    """One row per task, which is a kind and part or a share of its blocks: its
+    keys with training counts (``width`` bytes each as they come), how many there
+    are (kinds), their sum (total), and for grams the counts of byte pairs."""
     schema = ("kind string, part int, keys binary, counts binary, kinds bigint, total bigint, "
               "pairs array<bigint>, pair_counts array<bigint>, size bigint")
     out = {"kind": pa.string(), "part": pa.int32(), "keys": pa.binary(), "counts": pa.binary(), "kinds": pa.int64(),
            "total": pa.int64(), "pairs": pa.list_(pa.int64()), "pair_counts": pa.list_(pa.int64()), "size": pa.int64()}
 
-    width = 4 if "salt" in by else 8  # bytes of a count: of one block, or merged
-
     def run(batches):
         now, keys, counts, size = None, [], [], 0
 
@@ -408,11 +419,10 @@ def merge_parts(counted: DataFrame, tasks: int, by: tuple[str, ...] = ("kind", "
                           size=len(keys_) + len(counts_))
 
         for row in _rows(batches):
-            group = tuple(row[c] for c in by)
-            if group != now:
+            if (row["kind"], row["part"]) != now:
                 if now:
                     yield done()
-                now, keys, counts, size = group, [], [], 0
+                now, keys, counts, size = (row["kind"], row["part"]), [], [], 0
             k, c = unpack(row["keys"], "<u8", True), unpack(row["counts"], f"<u{width}").astype(np.int64)
             seen = c > 0
             keys.append(k[seen])
@@ -424,7 +434,7 @@ def merge_parts(counted: DataFrame, tasks: int, by: tuple[str, ...] = ("kind", "
         if now:
             yield done()
 
-    return _dealt(counted.select(*by, "keys", "counts"), tasks, list(by)).mapInArrow(run, schema)
+    return _dealt(counted.select("task", "kind", "part", "keys", "counts"), tasks, "task").mapInArrow(run, schema)
 
 
 def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int, discount: float,
@@ -438,8 +448,8 @@ def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int
     def run(batches):
         now, trie, keys, counts = None, None, None, None
         for row in _rows(batches):
-            if (row["kind"], row["part"], row["salt"]) != now:
-                now = (row["kind"], row["part"], row["salt"])
+            if (row["kind"], row["part"]) != now:
+                now = (row["kind"], row["part"])
                 keys, counts = unpack(row["keys"], "<u8", True), unpack(row["counts"], "<i8")  # the model's row
                 trie = Trie(keys, counts, sent.value, order) if now[0] == "g" else None
                 continue
@@ -455,11 +465,11 @@ def cost_parts(counted: DataFrame, model: DataFrame, low: np.ndarray, order: int
 
     shares = salts(counted, task_bytes, model)
     copies = model.join(F.broadcast(shares), ["kind", "part"]).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    both = copies.select(F.lit(-1).cast("bigint").alias("block"), "kind", "part", "salt", "keys", "counts").unionByName(
+        "task", F.explode(F.sequence("first", F.col("first") + F.col("salts") - 1)))
+    both = copies.select(F.lit(-1).cast("bigint").alias("block"), "kind", "part", "task", "keys", "counts").unionByName(
         _salted(counted.select("block", "kind", "part", "keys"), shares).withColumn(
             "counts", F.lit(None).cast("binary")))
-    return _dealt(both, _groups(shares), ["kind", "part", "salt"], "block").mapInArrow(
+    return _dealt(both, _groups(shares), "task", "block").mapInArrow(
         run, "block bigint, kind string, part int, costs binary")
 
 
@@ -524,7 +534,7 @@ def score_blocks(blocks: DataFrame, costs: DataFrame, parts: int, order: int, tr
 
     everything = blocks.withColumns({"kind": F.lit("b"), "part": F.lit(-1), "costs": F.lit(None).cast("binary")})
     everything = everything.unionByName(costs, allowMissingColumns=True)
-    return _dealt(everything, tasks, ["block"], "kind", "part").mapInArrow(run, schema)
+    return _dealt(everything, tasks, "block", "kind", "part").mapInArrow(run, schema)
 
 
 def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: str = "doc_id", order: int = ORDER,
@@ -545,15 +555,16 @@ def ppm_score(docs: DataFrame, train_col: str, text_col: str = "text", id_col: s
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
                       F.coalesce(F.col(f"`{train_col}`"), F.lit(False)).alias("train"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
-    blocks = written(pack_blocks(src, block_bytes), "ppm-blocks")
+    blocks = numbered(written(pack_blocks(src, block_bytes), "ppm-blocks"))
     n_blocks, n_bytes, train_docs = blocks.agg(
         F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0)),
         F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()
     parts = int(min(max(4, -(-n_bytes // part_bytes)), 32768))
     counted = written(count_blocks(blocks, parts, order), "ppm-counts")
     shares = salts(counted, task_bytes)
-    merged = merge_parts(_salted(counted, shares), _groups(shares), ("kind", "part", "salt"))
-    model = written(merge_parts(merged, 2 * parts), "ppm-model")
+    merged = merge_parts(_salted(counted, shares), _groups(shares), 4)
+    whole = F.col("part") + F.when(F.col("kind") == "w", parts).otherwise(0)
+    model = written(merge_parts(merged.withColumn("task", whole), 2 * parts, 8), "ppm-model")
     low = np.zeros(65536, np.int64)
     pairs = (model.where("kind = 'g'").select(F.explode(F.arrays_zip("pairs", "pair_counts")).alias("p"))
              .groupBy("p.pairs").agg(F.sum("p.pair_counts").alias("n")))  # at most 65,536 rows

@@ -185,8 +185,11 @@ def test_ppm_splits_large_parts(spark, some):
     counted = spark.createDataFrame([("g", 0, 90), ("g", 0, 60), ("g", 1, 5), ("w", 0, 400)],
                                     "kind string, part int, size bigint")
     model = spark.createDataFrame([("g", 0, 70), ("g", 1, 5), ("w", 0, 50)], "kind string, part int, size bigint")
-    assert {tuple(r) for r in ppm.salts(counted, 20).collect()} == {("g", 0, 8), ("g", 1, 1), ("w", 0, 20)}
-    assert {tuple(r) for r in ppm.salts(counted, 20, model).collect()} == {("g", 0, 3), ("g", 1, 1), ("w", 0, 8)}
+    assert {tuple(r) for r in ppm.salts(counted, 20).collect()} == {("g", 0, 8, 0), ("g", 1, 1, 8), ("w", 0, 20, 9)}
+    assert {tuple(r) for r in ppm.salts(counted, 20, model).collect()} == {
+        ("g", 0, 3, 0), ("g", 1, 1, 3), ("w", 0, 8, 4)}
+    blocks = spark.range(0, 7, 1, 3).select(F.monotonically_increasing_id().alias("block"))
+    assert sorted(r.block for r in ppm.numbered(blocks).collect()) == list(range(7))
 
 
 def test_ppm_query_beats_the_base(spark):
