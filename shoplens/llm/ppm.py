@@ -359,11 +359,13 @@ def count_blocks(blocks: DataFrame, parts: int, order: int) -> DataFrame:
 
 def numbered(blocks: DataFrame) -> DataFrame:
     """The blocks numbered from 0 without gaps: the upper bits of the id of a block
-    are those of the task that wrote it, so only a count for each task is added up."""
+    are those of the task that wrote it, so only a count for each task is added up
+    and sent (16 bytes for each split of the input that was read: 13 MB for 100 TB
+    in splits of 128 MB); the blocks stay where they are."""
     task = F.shiftright("block", 33)
     counts = blocks.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
     before = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
-    return blocks.withColumn("task", task).join(before, "task").withColumn(
+    return blocks.withColumn("task", task).join(F.broadcast(before), "task").withColumn(
         "block", F.col("before") + F.col("block").bitwiseAND((1 << 33) - 1)).drop("task", "before")
 
 
