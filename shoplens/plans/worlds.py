@@ -1,6 +1,7 @@
 """Silver layers built lazily from the driver tables.
 
-Each property is a lazy DataFrame plan; nothing runs until an action.
+Each property is a lazy DataFrame plan; nothing runs until an action, but for the
+count of the line items, which says how many tasks they are dealt to.
 """
 
 from __future__ import annotations
@@ -110,21 +111,29 @@ class CommerceWorld(_World):
     def _t(self, name, cols):
         return read_table(self.spark, self.sf_dir, name, cols)
 
+    @cached_property
+    def tasks(self) -> int | None:
+        """Tasks for the line items, by their number (which parquet files state)."""
+        return ad.line_tasks(self._t("lineitem", ["l_orderkey"]).count(),
+                             int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
     @cached_property
     def items(self) -> DataFrame:
         return ad.commerce_items(
             self._t("lineitem", ["l_orderkey"] + ad.LINE_ORDER),
             self._t("orders", ["o_orderkey", "o_orderdate"]),
-            self._t("part", ["p_partkey", "p_brand"]))
+            self._t("part", ["p_partkey", "p_brand"]), self.tasks)
 
     @cached_property
     def rollup(self) -> DataFrame:
-        return ad.commerce_rollup(self.items)
+        return ad.commerce_rollup(ad.commerce_lines(
+            self._t("lineitem", ["l_orderkey"] + ad.LINE_ORDER),
+            self._t("part", ["p_partkey", "p_brand"]), self.tasks))
 
     @cached_property
     def raw_orders(self) -> DataFrame:
         return ad.commerce_orders(self._t("orders", ["o_orderkey", "o_custkey", "o_orderdate"]),
-                                  self.rollup)
+                                  self.rollup, self.tasks)
 
     @cached_property
     def refunds(self) -> DataFrame:

@@ -184,27 +184,30 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantit
               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """Line items with P&L, product (= brand number) and refund facts.
+#: Lines that a task sorts and rolls up at most, and from how many on AQE no longer joins
+#: small partitions (its target is set in packed bytes, which unpack to a GB in a task).
+LINES_A_TASK, LINES_DEALT = 1_200_000, 5_000_000
 
-    ``line_rank`` numbers the lines of an order in LINE_ORDER (equal full rows
-    are interchangeable) and ``is_primary_item`` marks the first. Lines whose
-    order is absent stay, without an order date, for the data-quality checks.
 
-    Lines are hash-partitioned by order key exactly once, after the part
-    lookup; the order join (sort-merge on the same key when orders are too
-    big to broadcast), the window and the per-order roll-up downstream all
-    run on that one shuffle. A self-join with a ``groupBy`` would prune
-    columns differently on its two sides, defeat exchange reuse and scan
-    lineitem twice. Group size is one order's basket.
-    """
+def line_tasks(lines: int, shuffle_partitions: int) -> int | None:
+    """How many tasks so many lines are dealt to, so that one holds few enough whatever the
+    table's size; None leaves it to AQE."""
+    return max(-(-lines // LINES_A_TASK), shuffle_partitions) if lines > LINES_DEALT else None
+
+
+def _dealt(df: DataFrame, tasks: int | None, key: str) -> DataFrame:
+    return df.repartition(tasks, key) if tasks else df.repartition(key)
+
+
+def _dealt_lines(lineitem: DataFrame, part: DataFrame, tasks: int | None) -> DataFrame:
     li = lineitem.select("l_orderkey", *LINE_ORDER)
     prod = part.select("p_partkey",
                        F.substring_index("p_brand", "#", -1).cast("int").alias("product_id"))
-    o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
-    base = (li.join(prod, li.l_partkey == prod.p_partkey, "left").drop("p_partkey")
-            .repartition("l_orderkey"))
-    base = base.join(o, base.l_orderkey == o.o_orderkey, "left").drop("o_orderkey")
+    li = li.join(prod, li.l_partkey == prod.p_partkey, "left").drop("p_partkey")
+    return _dealt(li, tasks, "l_orderkey")
+
+
+def _line_facts(base: DataFrame, created_at) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
     ext = F.col("l_extendedprice").cast("decimal(15,2)")
     price = (ext * (F.lit(1).cast("decimal(15,2)") - F.col("l_discount").cast("decimal(15,2)"))).cast(MONEY)
@@ -213,17 +216,44 @@ def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> D
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").alias("line_number"), "line_rank",
                     "product_id",
-                    F.col("o_orderdate").alias("created_at"),
+                    *created_at,
                     F.when(F.col("line_rank") == 1, 1).otherwise(0).alias("is_primary_item"),
                     price.alias("price_usd"), cogs.alias("cogs_usd"),
                     (F.col("l_returnflag") == REFUND_FLAG).alias("is_refunded"),
                     F.col("l_shipdate").alias("refund_ts")))
 
 
+def commerce_items(lineitem: DataFrame, orders: DataFrame, part: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Line items with P&L, product (= brand number) and refund facts.
+
+    ``line_rank`` numbers the lines of an order in LINE_ORDER (equal full rows
+    are interchangeable) and ``is_primary_item`` marks the first. Lines whose
+    order is absent stay, without an order date, for the data-quality checks.
+
+    Lines are hash-partitioned by order key exactly once, after the part
+    lookup, to ``tasks`` tasks; the order join (sort-merge on the same key when orders are too
+    big to broadcast), the window and the per-order roll-up downstream all
+    run on that one shuffle. A self-join with a ``groupBy`` would prune
+    columns differently on its two sides, defeat exchange reuse and scan
+    lineitem twice. Group size is one order's basket.
+    """
+    o = orders.select(F.col("o_orderkey"), F.col("o_orderdate"))
+    base = _dealt_lines(lineitem, part, tasks)
+    base = base.join(o, base.l_orderkey == o.o_orderkey, "left").drop("o_orderkey")
+    return _line_facts(base, [F.col("o_orderdate").alias("created_at")])
+
+
+def commerce_lines(lineitem: DataFrame, part: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``commerce_items`` without the order date: each line once, before orders are joined."""
+    return _line_facts(_dealt_lines(lineitem, part, tasks), [])
+
+
 def commerce_rollup(items: DataFrame) -> DataFrame:
     """Everything orders need from their lines, in ONE aggregate per order:
     line count, price, cogs, primary / cross-sell product and the refund
-    roll-up (returned lines are refunded in full)."""
+    roll-up (returned lines are refunded in full). ``items`` are
+    ``commerce_lines``: what an order key that comes twice makes of them,
+    ``commerce_orders`` adds."""
     r = F.col("is_refunded")
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("line_item_count"),
@@ -231,28 +261,39 @@ def commerce_rollup(items: DataFrame) -> DataFrame:
         F.sum("cogs_usd").cast(MONEY).alias("items_cogs"),
         F.max(F.when(F.col("is_primary_item") == 1, F.col("product_id"))).alias("primary_product_id_items"),
         F.max(F.when(F.col("is_primary_item") == 0, F.col("product_id"))).alias("cross_sell_product_id"),
+        F.max("product_id").alias("last_product_id"),
         F.sum(F.when(r, F.col("price_usd"))).cast(MONEY).alias("total_refund_usd"),
         F.count(F.when(r, F.lit(1))).alias("_n_ref"),
         F.max(F.when(r, F.col("refund_ts"))).alias("last_refund_ts"),
     ).withColumn("refund_item_count", F.when(F.col("_n_ref") > 0, F.col("_n_ref"))).drop("_n_ref")
 
 
-def commerce_orders(orders: DataFrame, rollup: DataFrame) -> DataFrame:
+def commerce_orders(orders: DataFrame, rollup: DataFrame, tasks: int | None = None) -> DataFrame:
     """Orders priced from their lines (0 when an order has no lines), carrying
-    the rest of the roll-up so enrichment needs no second join."""
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    the rest of the roll-up so enrichment needs no second join.
+
+    Lines belong to each row of their order key: where a key comes ``_copies`` times, its
+    lines count as often, and the first line's copies are cross-sold beside it. The copies
+    are counted by the key that the roll-up is joined on and dealt to the same ``tasks``, so
+    orders move once."""
+    o = _dealt(orders.select("o_orderkey", "o_custkey", "o_orderdate"), tasks, "o_orderkey")
+    o = o.select("*", F.count(F.lit(1)).over(Window.partitionBy("o_orderkey")).alias("_copies"))
     roll = rollup.withColumnRenamed("order_id", "oid")
+    n = F.col("_copies").cast("decimal(10,0)")
     return (o.join(roll, o.o_orderkey == roll.oid, "left")
             .select(F.col("o_orderkey").alias("order_id"),
                     F.col("o_orderdate").alias("created_at"),
                     F.lit(None).cast("long").alias("website_session_id"),
                     F.col("o_custkey").alias("user_id"),
                     F.col("primary_product_id_items").alias("primary_product_id"),
-                    F.coalesce("line_item_count", F.lit(0)).cast("int").alias("items_purchased"),
-                    F.coalesce("items_price", F.lit(0)).cast(MONEY).alias("price_usd"),
-                    F.coalesce("items_cogs", F.lit(0)).cast(MONEY).alias("cogs_usd"),
-                    "line_item_count", "cross_sell_product_id", "total_refund_usd",
-                    "refund_item_count", "last_refund_ts"))
+                    F.coalesce(F.col("line_item_count") * F.col("_copies"), F.lit(0)).cast("int").alias("items_purchased"),
+                    F.coalesce(F.col("items_price") * n, F.lit(0)).cast(MONEY).alias("price_usd"),
+                    F.coalesce(F.col("items_cogs") * n, F.lit(0)).cast(MONEY).alias("cogs_usd"),
+                    (F.col("line_item_count") * F.col("_copies")).alias("line_item_count"),
+                    F.when(F.col("_copies") > 1, F.col("last_product_id"))
+                    .otherwise(F.col("cross_sell_product_id")).alias("cross_sell_product_id"),
+                    (F.col("total_refund_usd") * n).cast(MONEY).alias("total_refund_usd"),
+                    (F.col("refund_item_count") * F.col("_copies")).alias("refund_item_count"), "last_refund_ts"))
 
 
 def commerce_refunds(items: DataFrame) -> DataFrame:

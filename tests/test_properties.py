@@ -93,3 +93,54 @@ def test_anomaly_deviation_doesnt_cancel(spark):
 def test_forecast_appends_three_months(spark):
     f = q(spark, "gd28_revenue_forecast")
     assert f.filter("type = 'Forecast'").count() == 3
+
+
+def _small_commerce(spark, copies):
+    import datetime as dt
+    from decimal import Decimal
+
+    day = dt.datetime(1998, 1, 1)
+    lines = [(7, 2, 20, 1, day, 1.0, 100.0, 0.1, 0.0, "R", "O"), (7, 1, 10, 1, day, 1.0, 50.0, 0.0, 0.05, "N", "O"),
+             (9, 1, 20, 1, day, 1.0, 10.0, 0.0, 0.0, "N", "O"), (5, 1, 10, 1, day, 1.0, 1.0, 0.0, 0.0, "R", "O"),
+             (None, 1, 10, 1, day, 1.0, 1.0, 0.0, 0.0, "R", "O")]
+    li = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp, "
+                                      "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                                      "l_returnflag string, l_linestatus string")
+    part = spark.createDataFrame([(10, "Brand#4"), (20, "Brand#3")], "p_partkey long, p_brand string")
+    keys = [7] * copies + [9, 8, None]
+    orders = spark.createDataFrame([(k, i, day) for i, k in enumerate(keys)], "o_orderkey long, o_custkey long, o_orderdate timestamp")
+    return li, part, orders, Decimal
+
+
+def test_lines_and_orders_are_dealt_to_tasks_by_the_lines_number(spark):
+    from shoplens.sources import adapters as ad
+
+    li, part, orders, _ = _small_commerce(spark, 1)
+    assert ad.line_tasks(600_000, 200) is None  # AQE has it
+    assert ad.line_tasks(36_000_000, 200) == 200 and ad.line_tasks(36_000_000, 8) == 30
+    assert all(n / ad.line_tasks(n, 8) <= ad.LINES_A_TASK for n in (5_000_001, 216_000_000, 3_000_000_000))
+    lines = ad.commerce_lines(li, part, 7)
+    assert lines.rdd.getNumPartitions() == 7
+    assert ad.commerce_items(li, orders, part, 7).rdd.getNumPartitions() == 7
+    made = ad.commerce_orders(orders, ad.commerce_rollup(lines).hint("merge"), 7)
+    assert made.rdd.getNumPartitions() == 7 and made.count() == 4
+
+
+def test_lines_belong_to_each_row_of_their_order_key(spark):
+    from shoplens.sources import adapters as ad
+
+    for copies in (1, 2):
+        li, part, orders, D = _small_commerce(spark, copies)
+        got = ad.commerce_orders(orders, ad.commerce_rollup(ad.commerce_lines(li, part))).collect()
+        # the roll-up of the items, which come once for each row of their order
+        roll = {r.order_id: r for r in ad.commerce_rollup(ad.commerce_items(li, orders, part)).collect()}
+        assert len(got) == copies + 3
+        for r in got:
+            e = roll.get(r.order_id) if r.order_id else None
+            assert (r.items_purchased, r.price_usd, r.cogs_usd) == ((e.line_item_count, e.items_price, e.items_cogs) if e else (0, D(0), D(0)))
+            assert (r.line_item_count, r.primary_product_id, r.cross_sell_product_id, r.total_refund_usd, r.refund_item_count, r.last_refund_ts) == (
+                (e.line_item_count, e.primary_product_id_items, e.cross_sell_product_id, e.total_refund_usd, e.refund_item_count, e.last_refund_ts)
+                if e else (None,) * 6)
+        seven = next(r for r in got if r.order_id == 7)
+        assert (seven.primary_product_id, seven.cross_sell_product_id, seven.items_purchased) == ((4, 3, 2) if copies == 1 else (4, 4, 4))
+        assert seven.total_refund_usd == D(90) * copies
