@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import itertools
 import random
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
@@ -252,6 +253,7 @@ def _km_stages():
 
 
 KM_INITS, ELBOW_INITS = 5, 2  # starts of a clustering; the one with the least cost stays
+STARTS_AT_ONCE = 3  # rounds are short jobs; each start holds the features once in the executors
 
 
 def _written_features(users: DataFrame) -> DataFrame:
@@ -265,8 +267,13 @@ def _written_features(users: DataFrame) -> DataFrame:
 
 def _best_start(feats: DataFrame, k: int, inits: int, seed: int, max_iter: int):
     """The clustering with the least cost of ``inits`` starts (the first of equal ones)."""
-    models = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="customer_segment",
-                     maxIter=max_iter).fit(feats) for i in range(inits)]
+    @inheritable_thread_target(feats.sparkSession)
+    def start(i):
+        return KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="customer_segment",
+                      maxIter=max_iter).fit(feats)
+
+    with ThreadPool(STARTS_AT_ONCE) as pool:
+        models = pool.map(start, range(inits), chunksize=1)
     return min(models, key=lambda m: m.summary.trainingCost)
 
 

@@ -77,3 +77,21 @@ def test_feature_importances_of_the_best_model_are_registered(spark, monkeypatch
     assert set(ml.NUM_COLS) < set(found) and any("direct" in f for f in found)
     assert abs(sum(found.values()) - 1) < 1e-9 and max(found, key=found.get) == "session_hour"
     assert q_ml.scored_sessions(spark, "importances").count() == 400
+
+
+def test_starts_of_a_clustering_run_at_once_and_the_first_of_the_least_stays(spark, monkeypatch):
+    import threading
+    from types import SimpleNamespace
+
+    together = threading.Barrier(2, timeout=20)
+
+    class Start:
+        def __init__(self, seed, **_):
+            self.seed = seed
+
+        def fit(self, feats):
+            together.wait()  # breaks unless another start runs beside it
+            return SimpleNamespace(seed=self.seed, summary=SimpleNamespace(trainingCost={42: 3.0}.get(self.seed, 1.0)))
+
+    monkeypatch.setattr(ml, "KMeans", Start)
+    assert ml._best_start(spark.range(1), 4, 4, 42, 10).seed == 43
