@@ -46,6 +46,7 @@ N_SEARCH = 12
 MIN_FIT_ROWS = 5000  # a sample has about this many rows at least, or all there are
 MAX_FIT_ROWS = 500_000  # and about this many at most
 FOLDS = 3
+FITS_AT_ONCE = 3  # of a search: a fit is many short jobs, which leave cores idle
 KM_NUM = ["total_orders", "gross_lifetime_value", "avg_order_value", "refund_rate_pct",
           "distinct_products_ordered"]
 KM_CAT = "acquisition_channel"
@@ -159,7 +160,7 @@ def fit_logistic(train: DataFrame, label="converted_label"):
 
 
 def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, folds=FOLDS,
-               seed=SEED, space=GBT_SPACE, parallelism=1):
+               seed=SEED, space=GBT_SPACE, parallelism=FITS_AT_ONCE):
     """ML4: random search of ``n_search`` of the grid's combinations,
     ``folds``-fold CV scored by ROC-AUC; returns the refit best pipeline.
 
@@ -175,8 +176,8 @@ def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, fol
     maps = [{getattr(gbt, n): v for n, v in zip(names, c)} for c in picked]
     d = _prepare(class_weights(train, label)).withColumn(
         "is_validation", F.pmod(F.xxhash64("website_session_id", F.lit(seed + 1)), F.lit(10)) == 0)
-    # Features are made once and written: the folds' fits then read three columns, one fit
-    # after the other, and the driver holds one model's plan at a time.
+    # Features are made once and written: the folds' fits then read three columns, a few fits
+    # at a time, and the driver holds as many models' plans.
     prepared = Pipeline(stages=_features()).fit(d)
     path = scratch_path(train.sparkSession, "gbt-features")
     prepared.transform(d).select("features", label, "weight", "is_validation").write.parquet(path)
