@@ -393,20 +393,30 @@ def ltv_models(data: DataFrame, seed=SEED, horizon: int = 365) -> DataFrame:
     return spark.createDataFrame(rows, "model string, rmse double, r2 double, feature_days int")
 
 
-def ltv_history(orders: DataFrame, early_days: int = LTV_EARLY_DAYS, horizons=LTV_HORIZONS) -> DataFrame:
+def ltv_history(orders: DataFrame, early_days: int = LTV_EARLY_DAYS, horizons=LTV_HORIZONS,
+                tasks: int | None = None) -> DataFrame:
     """ML8: one row per customer: what the first ``early_days`` show, gross revenue
     within each horizon of the first order, and whether the data's last order lies
-    behind the horizon (else the label is cut short)."""
-    first = orders.groupBy("user_id").agg(
-        F.to_date(F.min("order_ts")).alias("first_day"),
-        F.min_by("acquisition_channel", F.struct("order_ts", "order_id")).alias("acquisition_channel"))
+    behind the horizon (else the label is cut short).
+
+    Orders are dealt by user and day, and what is left of them, a row a user-day, by user;
+    both to ``tasks`` tasks (None leaves it to AQE). Orders are read once, and no roll-up
+    shares a task with the lines that orders are made of."""
     end = orders.agg(F.to_date(F.max("order_ts")).alias("_end"))
     # Per user and day first: a customer with very many orders is a row a day.
     rev = F.col("gross_revenue").cast("decimal(18,4)")
-    days = orders.groupBy("user_id", F.to_date("order_ts").alias("_day")).agg(
-        F.count(F.lit(1)).alias("_orders"), F.sum(rev).alias("_rev"), F.sum("items_purchased").alias("_items"),
-        F.count_if("has_refund").alias("_refunds"))
-    d = days.join(first, "user_id").withColumn("_d", F.datediff("_day", "first_day"))
+    n = [tasks] if tasks else []
+    o = orders.where("user_id IS NOT NULL").select(
+        "user_id", F.to_date("order_ts").alias("_day"), rev.alias("_rev"), "items_purchased", "has_refund",
+        F.struct("order_ts", "order_id", "acquisition_channel").alias("_first"))
+    days = o.repartition(*n, "user_id", "_day").groupBy("user_id", "_day").agg(
+        F.count(F.lit(1)).alias("_orders"), F.sum("_rev").alias("_rev"), F.sum("items_purchased").alias("_items"),
+        F.count_if("has_refund").alias("_refunds"), F.min("_first").alias("_first"))
+    user = Window.partitionBy("user_id")  # at most a row a day of the calendar
+    d = days.repartition(*n, "user_id").select(
+        "*", F.min("_day").over(user).alias("first_day"),
+        F.min("_first").over(user)["acquisition_channel"].alias("acquisition_channel"))
+    d = d.withColumn("_d", F.datediff("_day", "first_day"))
 
     def within(col, n):
         return F.sum(F.when(F.col("_d") <= n, F.col(col)).otherwise(0)).cast("double")

@@ -301,13 +301,17 @@ SELECT user_id, arg_min(acquisition_channel, (order_ts, order_id)) AS acquisitio
 FROM o GROUP BY user_id""")
 def ml8_ltv_history(spark, sf_dir):
     """ML8: early features, revenue within 90 / 180 / 365 days, complete windows."""
-    return ml.ltv_history(CommerceWorld(spark, sf_dir).orders)
+    return _ltv_history(spark, sf_dir)
+
+
+def _ltv_history(spark, sf_dir):
+    w = CommerceWorld(spark, sf_dir)
+    return ml.ltv_history(w.orders, tasks=w.tasks)
 
 
 def _ltv_predictions(spark, sf_dir):
     return _once(spark, sf_dir, "ltv-predictions",
-                 lambda: ml.ltv_predictions(_once(spark, sf_dir, "ltv-history", lambda: ml.ltv_history(
-                     CommerceWorld(spark, sf_dir).orders))))
+                 lambda: ml.ltv_predictions(_once(spark, sf_dir, "ltv-history", lambda: _ltv_history(spark, sf_dir))))
 
 
 @register("ml8_ltv_predictions")

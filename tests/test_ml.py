@@ -95,3 +95,34 @@ def test_starts_of_a_clustering_run_at_once_and_the_first_of_the_least_stays(spa
 
     monkeypatch.setattr(ml, "KMeans", Start)
     assert ml._best_start(spark.range(1), 4, 4, 42, 10).seed == 43
+
+
+def test_customer_history_is_dealt_to_tasks_and_reads_orders_once(spark):
+    import datetime as dt
+    import io
+    from contextlib import redirect_stdout
+
+    def ts(day, hour=0):
+        return dt.datetime(2024, 1, 1, hour) + dt.timedelta(days=day)
+
+    rows = [(2, 1, ts(0, 9), "late", 10.0, 1, False), (1, 1, ts(0, 8), "early", 20.0, 2, True),
+            (3, 1, ts(30), "x", 5.0, 1, False), (4, 1, ts(31), "x", 7.0, 1, True), (5, 1, ts(181), "x", 3.0, 1, False),
+            (7, 2, ts(10), "b", 1.0, 1, False), (6, 2, ts(10), "a", 2.0, 1, False),  # the lower id of equal times
+            (8, 3, ts(5), "z", 4.0, 1, False), (9, 3, None, None, 6.0, 1, False),  # no time: before all, in no window
+            (10, 4, None, "n", 8.0, 1, True), (11, None, ts(-5), "gone", 9.0, 1, False), (12, 5, ts(200), None, 2.5, 3, False)]
+    orders = spark.createDataFrame(rows, "order_id long, user_id long, order_ts timestamp_ntz, acquisition_channel string, "
+                                         "gross_revenue double, items_purchased int, has_refund boolean")
+    cols = ["user_id", "acquisition_channel", "early_orders", "early_revenue", "early_items", "early_refunds", "revenue_90d",
+            "revenue_180d", "revenue_365d", "is_complete_90d", "is_complete_180d", "is_complete_365d"]
+    want = [(1, "early", 3.0, 35.0, 4.0, 1.0, 42.0, 42.0, 45.0, True, True, False),
+            (2, "a", 2.0, 3.0, 2.0, 0.0, 3.0, 3.0, 3.0, True, True, False),
+            (3, None, 1.0, 4.0, 1.0, 0.0, 4.0, 4.0, 4.0, True, True, False),
+            (4, "n", 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, None, None, None),
+            (5, None, 1.0, 2.5, 3.0, 0.0, 2.5, 2.5, 2.5, False, False, False)]
+    for tasks in (None, 7):
+        got = ml.ltv_history(orders, tasks=tasks)
+        assert got.columns == cols and sorted(tuple(r) for r in got.collect()) == want
+    assert got.rdd.getNumPartitions() == 7  # the session deals to 4
+    with redirect_stdout(io.StringIO()) as plan:
+        ml.ltv_history(orders, tasks=7).explain()
+    assert "MergeJoin" not in plan.getvalue() and "HashJoin" not in plan.getvalue()
