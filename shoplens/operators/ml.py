@@ -400,7 +400,7 @@ def ltv_history(orders: DataFrame, early_days: int = LTV_EARLY_DAYS, horizons=LT
     behind the horizon (else the label is cut short).
 
     Orders are dealt by user and day, and what is left of them, a row a user-day, by user;
-    both to ``tasks`` tasks (None leaves it to AQE). Orders are read once, and no roll-up
+    both to ``tasks`` tasks (None leaves it to AQE). Orders are read once (and for their last day), and no roll-up
     shares a task with the lines that orders are made of."""
     end = orders.agg(F.to_date(F.max("order_ts")).alias("_end"))
     # Per user and day first: a customer with very many orders is a row a day.
