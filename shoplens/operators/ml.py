@@ -8,6 +8,7 @@ only driver-side values are model parameters and a handful of metrics.
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from multiprocessing.pool import ThreadPool
 
@@ -46,6 +47,7 @@ N_SEARCH = 12
 MIN_FIT_ROWS = 5000  # a sample has about this many rows at least, or all there are
 MAX_FIT_ROWS = 500_000  # and about this many at most
 FOLDS = 3
+MAX_BINS = 46_340  # its square is about the largest int of the JVM
 FITS_AT_ONCE = 3  # of a search: a fit is many short jobs, which leave cores idle
 KM_NUM = ["total_orders", "gross_lifetime_value", "avg_order_value", "refund_rate_pct",
           "distinct_products_ordered"]
@@ -76,7 +78,7 @@ def stratified_sample(df: DataFrame, key="website_session_id", frac=SAMPLE_FRAC,
 
 
 def fit_sample(train: DataFrame) -> DataFrame:
-    """What the GBT search is fitted on, one rule at every size: a hash sample of
+    """What the GBT search of the scores is fitted on, one rule at every size: a hash sample of
     ``SAMPLE_FRAC`` of the rows, but of about ``MIN_FIT_ROWS`` at least (with no more
     rows than that: all) and of about ``MAX_FIT_ROWS`` at most."""
     n = max(train.count(), 1)
@@ -166,7 +168,11 @@ def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, fol
 
     Like the source search (10% validation fraction with early stopping),
     boosting stops once the error on a 10% hash-selected validation slice
-    stops improving, so ``maxIter`` is an upper bound."""
+    stops improving, so ``maxIter`` is an upper bound.
+
+    Thresholds come from all rows: with fewer than the root of the rows as ``maxBins``
+    Spark would look for them in a sample of the rows. A number has few values (at most
+    24, hours), so bins stay as few as those."""
     shared_dir(train.sparkSession)   # tree learners checkpoint node caches to the shared folder
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed,
                         validationIndicatorCol="is_validation", checkpointInterval=10)
@@ -184,7 +190,9 @@ def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, fol
     cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps,
                         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
                         numFolds=folds, seed=seed, parallelism=parallelism)
-    best = cv.fit(train.sparkSession.read.parquet(path)).bestModel
+    feats = train.sparkSession.read.parquet(path)
+    gbt.setMaxBins(min(max(gbt.getMaxBins(), math.isqrt(feats.count()) + 1), MAX_BINS))
+    best = cv.fit(feats).bestModel
     return PipelineModel(stages=[*prepared.stages, best])
 
 

@@ -141,24 +141,15 @@ def ml6_logistic_invariants(spark, sf_dir):
         F.sum(F.col("converted_label").cast("long")).alias("converted"))
 
 
-def _search(spark, sf_dir):
-    """All sessions as the best GBT scores them, and its feature importances. The search
-    runs once per application and data folder on a sample of the train side
-    (``ml.fit_sample``); every reader reads what it wrote."""
-    d = _model_set(spark, sf_dir)
-    model = []
-
-    def best():
-        if not model:
-            model.append(ml.search_gbt(ml.fit_sample(ml.split(d)[0])))
-        return model[0]
-
-    scores = _once(spark, sf_dir, "scored-sessions", lambda: ml.score(best(), d))
-    return scores, _once(spark, sf_dir, "gbt-importances", lambda: ml.feature_importances(best(), d))
-
-
 def scored_sessions(spark, sf_dir):
-    return _search(spark, sf_dir)[0]
+    """All sessions as the best GBT scores them. The search runs once per application and
+    data folder on a sample of the train side (``ml.fit_sample``); every reader reads what
+    it wrote."""
+    def make():
+        d = _model_set(spark, sf_dir)
+        return ml.score(ml.search_gbt(ml.fit_sample(ml.split(d)[0])), d)
+
+    return _once(spark, sf_dir, "scored-sessions", make)
 
 
 @register("ml4_gbt_search")
@@ -171,8 +162,13 @@ def ml4_gbt_search(spark, sf_dir):
 
 @register("ml6_feature_importances")
 def ml6_feature_importances(spark, sf_dir):
-    """ML6: feature importances of the best GBT, by name."""
-    return _search(spark, sf_dir)[1]
+    """ML6: feature importances, by name, of the best GBT of a search on the whole train
+    side (the scores' search, ``scored_sessions``, is a run of its own)."""
+    def make():
+        d = _model_set(spark, sf_dir)
+        return ml.feature_importances(ml.search_gbt(ml.split(d)[0]), d)
+
+    return _once(spark, sf_dir, "gbt-importances", make)
 
 
 @register("ml4_scored_sessions", """

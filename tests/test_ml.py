@@ -79,6 +79,35 @@ def test_feature_importances_of_the_best_model_are_registered(spark, monkeypatch
     assert q_ml.scored_sessions(spark, "importances").count() == 400
 
 
+def test_importances_come_from_all_rows_of_the_train_side(spark, monkeypatch):
+    import __spark_entry__ as E
+
+    seen = []
+    monkeypatch.setattr(ml, "search_gbt", lambda train: seen.append(train.select("website_session_id").collect()))
+    monkeypatch.setattr(ml, "score", lambda model, d: d)
+    monkeypatch.setattr(ml, "feature_importances", lambda model, d: spark.range(1))
+    for n in (300, 12_000, 50_000):
+        rows = spark.range(n).toDF("website_session_id")
+        monkeypatch.setattr(q_ml, "_train_set", lambda spark, sf_dir, rows=rows: rows)
+        assert E.queries()["ml6_feature_importances"](spark, f"whole {n}").count() == 1
+        assert sorted(seen[-1]) == sorted(ml.split(rows)[0].collect())
+    assert len(seen) == 3
+
+
+def test_thresholds_of_the_search_come_from_all_rows(spark):
+    hours = {10: 23, 20_010: 23, 39_991: 23}  # the only converted sessions; the other hours are 0 and 1
+    rows = [(i, "direct", "mobile", "Direct", hours.get(i, i % 2), 1, 0, 0, int(i in hours)) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "website_session_id long, marketing_channel string, device_type string, "
+                                     "channel_group string, session_hour int, day_of_week int, is_repeat_int int, "
+                                     "is_weekend_int int, converted_label int")
+    model = ml.search_gbt(df, n_search=1, folds=2, space={"maxIter": [1], "maxDepth": [1]}, parallelism=1)
+    found = {r.feature: r.importance for r in ml.feature_importances(model, df).collect()}
+    split = model.stages[-1].trees[0]._call_java("rootNode").split()
+    hour = df.agg(F.avg("session_hour"), F.stddev("session_hour")).first()
+    assert found["session_hour"] == 1
+    assert abs(split.threshold() * hour[1] + hour[0] - 12) < 1e-6  # between 1 and 23, not 0 and 1
+
+
 def test_starts_of_a_clustering_run_at_once_and_the_first_of_the_least_stays(spark, monkeypatch):
     import threading
     from types import SimpleNamespace
