@@ -170,9 +170,9 @@ def search_gbt(train: DataFrame, label="converted_label", n_search=N_SEARCH, fol
     boosting stops once the error on a 10% hash-selected validation slice
     stops improving, so ``maxIter`` is an upper bound.
 
-    Thresholds come from all rows: with fewer than the root of the rows as ``maxBins``
-    Spark would look for them in a sample of the rows. A number has few values (at most
-    24, hours), so bins stay as few as those."""
+    Thresholds come from all rows: Spark looks for them in as many as the square of
+    ``maxBins``, so that follows the root of the rows (up to ``MAX_BINS``, 2,147 million
+    rows). A number has few values (at most 24, hours), so bins stay as few as those."""
     shared_dir(train.sparkSession)   # tree learners checkpoint node caches to the shared folder
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed,
                         validationIndicatorCol="is_validation", checkpointInterval=10)
